@@ -21,4 +21,28 @@ ORACLES = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    "op2_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS t, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        p AS (SELECT doc_id, n, a, substring(t, 2 * a + 1, 2098) AS t FROM (SELECT doc_id, n, t, unnest(range(0, n, 1000)) AS a FROM d)),
+        w AS (SELECT doc_id, a + i AS i, sha256(substring(t, 2 * i + 1, 100)) AS s FROM (SELECT doc_id, a, t, unnest(range(least(1000, n - 49 - a))) AS i FROM p WHERE n - 49 > a)),
+        m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+        g AS (SELECT w.doc_id, w.i FROM w JOIN m USING (s) WHERE w.doc_id > m.least),
+        b AS (SELECT doc_id, a + i AS i, substring(t, 2 * i + 1, 2) AS x FROM (SELECT doc_id, a, t, unnest(range(least(1000, n - a))) AS i FROM p)),
+        c AS (SELECT b.doc_id, b.i, x, max(g.i) OVER (PARTITION BY b.doc_id ORDER BY b.i) AS last FROM b LEFT JOIN g ON g.doc_id = b.doc_id AND g.i = b.i),
+        f AS (SELECT *, coalesce(last > i - 50, false) AS gone FROM c),
+        e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM f)
+        SELECT d.doc_id, max(d.n) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE starts) AS n_spans,
+               sha256(unhex(coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE NOT gone), ''))) AS kept_sha256
+        FROM d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id
+    """,
+    "op4_substring_dedup": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        w AS (SELECT doc_id, i, sha256(array_to_string(ws[i + 1 : i + 20], ' ')) AS s FROM (SELECT doc_id, ws, unnest(range(len(ws) - 19)) AS i FROM d WHERE len(ws) >= 20)),
+        g AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS nth FROM w) WHERE nth > 1),
+        b AS (SELECT doc_id, unnest(ws) AS x, unnest(range(len(ws))) AS i FROM d),
+        c AS (SELECT b.doc_id, b.i, b.x, max(g.i) OVER (PARTITION BY b.doc_id ORDER BY b.i) AS last FROM b LEFT JOIN g ON g.doc_id = b.doc_id AND g.i = b.i),
+        f AS (SELECT *, coalesce(last > i - 20, false) AS gone FROM c)
+        SELECT d.doc_id, max(len(ws)) AS n_words, count(*) FILTER (WHERE gone) AS n_removed, sha256(coalesce(string_agg(x, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id
+    """,
 }

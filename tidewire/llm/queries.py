@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe, exact_dedup, line_dedup, packing, secret_scan, simhash
+from tidewire.llm import bpe, exact_dedup, line_dedup, packing, quality, secret_scan, simhash, substring_dedup, suffix_dedup
 from tidewire.llm.common import documents
 
 
@@ -17,6 +14,20 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_dedup.deduplicate_bytes(documents(spark, sf_dir))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("content", 256).alias("kept_sha256"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = substring_dedup.deduplicate_windows(documents(spark, sf_dir))
+    return got.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = secret_scan.scan_documents(documents(spark, sf_dir))
     return got.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
@@ -41,4 +52,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.col("lines_before").alias("n_lines"), F.col("lines_dropped").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op5_secret_scans, op6_packing, op7_simhash, op8_byte_bpe, op10_line_dedup)}
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_suffix_dedup, op3_quality, op4_substring_dedup, op5_secret_scans, op6_packing, op7_simhash, op8_byte_bpe, op10_line_dedup)}
