@@ -25,34 +25,47 @@ SEGMENTS, WIDTH = 16, 4
 CHUNK = 1 << 16
 
 
-def fingerprint(text: bytes, size: int = 3) -> bytes:
-    """8 bytes, most significant first. Words are parted by ASCII white space, A-Z is lower-cased."""
+def remixed(h: np.ndarray, table: int) -> np.ndarray:
+    """The hashes of another table, made from the first's; table 0 has them as they are."""
+    if not table:
+        return h
+    with np.errstate(over="ignore"):
+        h = h * np.uint64(0x9E3779B97F4A7C15 + 2 * table)
+        h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ h >> np.uint64(32)
+
+
+def fingerprint(text: bytes, size: int = 3, tables: int = 1) -> np.ndarray:
+    """A fingerprint for each table, as signed longs. Words are parted by ASCII white space, A-Z is lower-cased."""
     w = text.lower().split()
     if not w:
-        return bytes(8)
+        return np.zeros(tables, np.int64)
     h, join = xxhash.xxh64_digest, b" ".join
     n = max(1, len(w) - size + 1)
-    ones = np.zeros(64, np.int64)
+    ones = np.zeros((tables, 64), np.int64)
     for at in range(0, n, CHUNK):
         own = w[at : at + CHUNK + size - 1]
         packed = b"".join([h(join(s), SEED) for s in zip(*(own[k:] for k in range(size)), strict=False)]) if len(w) >= size else h(join(w), SEED)
-        ones += np.unpackbits(np.frombuffer(packed, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
-    return np.packbits(2 * ones > n).tobytes()
+        hashes = np.frombuffer(packed, ">u8").astype(np.uint64) if tables > 1 else None
+        for t in range(tables):
+            bits = remixed(hashes, t).astype(">u8").view(np.uint8) if t else np.frombuffer(packed, np.uint8)
+            ones[t] += np.unpackbits(bits.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > n, axis=1).view(">i8").ravel().astype(np.int64)
 
 
-def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, fp): one for each row of docs, fp as a signed long."""
+def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", tables: int = 1) -> DataFrame:
+    """Rows (id, fps): one for each row of docs, with a fingerprint for each table."""
 
     def run(batches):
         for batch in slices(batches):
-            seen: dict[bytes, bytes] = {}
+            seen: dict[bytes, list[int]] = {}
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for x in texts:
                 if x not in seen:
-                    seen[x] = fingerprint(x, size)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.frombuffer(b"".join([seen[x] for x in texts]), ">i8").astype(np.int64))], names=["id", "fp"])
+                    seen[x] = fingerprint(x, size, tables).tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([seen[x] for x in texts], pa.list_(pa.int64()))], names=["id", "fps"])
 
-    return docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, "id long, fp long")
+    return docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, "id long, fps array<long>")
 
 
 def _nibble(col: Column, i: int) -> Column:
@@ -65,17 +78,17 @@ def point(fp: Column) -> Column:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """Links (src, dst) between distinct fingerprints at most 2 bits apart: stars whose closure is that of all the pairs."""
-    fp = prints.select("fp", point(F.col("fp")).alias("p"))
+    """Links (table, src, dst) between distinct (table, fp) at most 2 bits apart: stars whose closure is that of all the pairs."""
+    fp = prints.select("table", "fp", point(F.col("fp")).alias("p"))
     near = [F.struct(F.col("p").alias("cell"), F.lit(-1).alias("segment"), F.lit(0).alias("step"))]
     for i in range(SEGMENTS):
         count = F.shiftrightunsigned("p", 3 * i).bitwiseAND(F.lit(7).cast("long"))
         one = F.lit(1 << (3 * i)).cast("long")
         near += [F.when(count < WIDTH, F.struct((F.col("p") + one).alias("cell"), F.lit(i).alias("segment"), F.lit(1).alias("step")))]
         near += [F.when(count > 0, F.struct((F.col("p") - one).alias("cell"), F.lit(i).alias("segment"), F.lit(-1).alias("step")))]
-    dealt = fp.select("fp", F.explode(F.filter(F.array(*near), lambda x: x.isNotNull())).alias("x")).select("fp", "x.cell", "x.segment", "x.step")
-    full = dealt.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
-    met = dealt.join(full, "cell", "left_semi")
+    dealt = fp.select("table", "fp", F.explode(F.filter(F.array(*near), lambda x: x.isNotNull())).alias("x")).select("table", "fp", "x.cell", "x.segment", "x.step")
+    full = dealt.groupBy("table", "cell").agg(F.count("*").alias("n")).where("n > 1").select("table", "cell")
+    met = dealt.join(full, ["table", "cell"], "left_semi")
     # The values within 1 bit of a fingerprint whose point is the cell: the fingerprint itself, or a bit of one segment set or cleared.
     flips = []
     for b in range(WIDTH):
@@ -83,30 +96,37 @@ def links(prints: DataFrame) -> DataFrame:
         is_set = F.col("fp").bitwiseAND(bit) != 0
         flips.append(F.when((F.col("segment") >= 0) & (is_set == (F.col("step") < 0)), F.col("fp").bitwiseXOR(bit)))
     middle = F.when(F.col("segment") < 0, F.array(F.col("fp"))).otherwise(F.filter(F.array(*flips), lambda x: x.isNotNull()))
-    groups = met.select("fp", F.explode(middle).alias("middle")).groupBy("middle").agg(F.collect_set("fp").alias("near")).where(F.size("near") > 1)
-    star = groups.select(F.array_min("near").alias("src"), F.explode("near").alias("dst"))
+    groups = met.select("table", "fp", F.explode(middle).alias("middle")).groupBy("table", "middle").agg(F.collect_set("fp").alias("near")).where(F.size("near") > 1)
+    star = groups.select("table", F.array_min("near").alias("src"), F.explode("near").alias("dst"))
     return star.where("src != dst").distinct()
 
 
-def simhash_groups(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def simhash_groups(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", tables: int = 1) -> DataFrame:
     """doc_id, fp and component_id (the smallest id reachable by links of at most 2 bits) for every row of docs.
 
-    Null, empty and blank texts have fingerprint zero and link like any other. Equal fingerprints are one group before any
-    link is sought. A null id ranks last and stays null, alone as component_id too. Rows that repeat an id and a text
-    come back as often; rows of one id and different texts are linked by their texts alone. Other columns are not read.
+    With more tables two documents link if their fingerprints of any one table do; fp is the first. Null, empty and blank texts
+    have fingerprint zero and link like any other. Equal fingerprints are one group before any link is sought. A null id
+    ranks last and stays null, alone as component_id too. Rows that repeat an id and a text come back as often; rows of one id
+    and different texts are linked by their texts alone. Other columns are not read.
     """
-    rows = staged(fingerprints(docs, size, id_col, text_col))
-    prints = staged(rows.groupBy("fp").agg(F.min("id").alias("least")))
-    edges = staged(links(prints.select("fp")))
-    linked = connected_components(edges).withColumnsRenamed({"node": "fp", "component": "root"})
-    roots = prints.join(linked, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rows = staged(fingerprints(docs, size, id_col, text_col, tables))
+    nodes = staged(rows.groupBy("fps").agg(F.min("id").alias("least")))
+    held = nodes.select("fps", F.posexplode("fps").alias("table", "fp"))
+    prints = staged(held.groupBy("table", "fp").agg(F.min("fps").alias("node")))
+    near = links(prints.select("table", "fp"))
+    a, b = prints.withColumnsRenamed({"fp": "src", "node": "a"}), prints.withColumnsRenamed({"fp": "dst", "node": "b"})
+    edges = near.join(a, ["table", "src"]).join(b, ["table", "dst"]).select("a", "b")
+    if tables > 1:  # documents that share the fingerprint of one table
+        edges = edges.unionByName(held.join(prints, ["table", "fp"]).select(F.col("node").alias("a"), F.col("fps").alias("b")).where("a != b"))
+    linked = connected_components(edges, "a", "b").withColumnsRenamed({"node": "fps", "component": "root"})
+    roots = nodes.join(linked, "fps", "left").select("fps", "least", F.coalesce("root", "fps").alias("root"))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(id_back("id").alias("doc_id"), "fp", id_back("component_id").alias("component_id"))
+    named = roots.join(least, "root").select("fps", "component_id")
+    return rows.join(named, "fps").select(id_back("id").alias("doc_id"), F.col("fps")[0].alias("fp"), id_back("component_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", tables: int = 1) -> DataFrame:
     """The rows of docs whose id is the smallest of its group, with all their columns; of rows that repeat an id one stays."""
-    groups = simhash_groups(docs, size, id_col, text_col)
+    groups = simhash_groups(docs, size, id_col, text_col, tables)
     stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("__id")).distinct()
     return docs.withColumn("__id", id_of(id_col)).join(stays, "__id", "left_semi").dropDuplicates(["__id"]).drop("__id")
