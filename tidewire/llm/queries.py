@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe, exact_dedup, line_dedup, packing, quality, secret_scan, simhash, substring_dedup, suffix_dedup
+from tidewire.llm import bpe, exact_dedup, line_dedup, media, packing, quality, secret_scan, simhash, substring_dedup, suffix_dedup
 from tidewire.llm.common import documents
 
 
@@ -47,9 +47,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = media.image_copies(media.page_images(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    return got.select(F.col("id").alias("page_id"), "n_features", "component_id")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = line_dedup.deduplicate_lines(documents(spark, sf_dir))
     return got.select("doc_id", F.col("lines_before").alias("n_lines"), F.col("lines_dropped").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_suffix_dedup, op3_quality, op4_substring_dedup, op5_secret_scans, op6_packing, op7_simhash, op8_byte_bpe, op10_line_dedup)}
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_suffix_dedup, op3_quality, op4_substring_dedup, op5_secret_scans, op6_packing, op7_simhash, op8_byte_bpe, op9_media, op10_line_dedup)}
