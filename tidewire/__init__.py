@@ -1,0 +1,26 @@
+"""A news-intelligence analytics engine on Spark DataFrames."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import zipfile
+
+_shipped: set[str] = set()
+
+
+def ship(spark) -> None:
+    """Give the executors this package, once for each application, through Spark's own file server."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidewire-"), "tidewire.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
