@@ -9,14 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write to the folder in spark.checkpoint.dir (a temporary one only where none is set) and read back."""
-    spark = df.sparkSession
+def shared_dir(spark) -> str:
+    """The folder in spark.checkpoint.dir; a temporary one only where none is set."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewire-"))
         at = spark.sparkContext.getCheckpointDir()
-    path = f"{at}/tidewire/{uuid.uuid4().hex}"
+    return at
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read back."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tidewire/{uuid.uuid4().hex}"
     df.write.parquet(path)
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)

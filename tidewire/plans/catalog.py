@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tidewire.plans import event_queries, evidence_queries, log_queries, text_queries, unit_queries  # noqa: F401
+from tidewire.plans.registry import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
-
-def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
+def FLAGSHIP(spark, sf_dir):
     return QUERIES["tier1_gate"](spark, sf_dir)
