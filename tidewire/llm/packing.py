@@ -9,6 +9,8 @@ the r-th piece of a length goes, and pieces are ranked in salted shares, never i
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from functools import lru_cache
 
@@ -35,34 +37,68 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+def _category(kind: str) -> str:
+    return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
+
+
+#: Characters that normalisation leaves alone but for case, and that the tokenizer's classes and Python's hold alike.
+_PLAIN = re.compile("[\t\n\x0b\x0c\r\x20-\x7e\xa1-\u012f\u0131-\u024f]*")
+#: The tokenizer's own splitting of lower-cased text, over those characters.
+_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_category('L')}]+|[{_category('N')}]|[^\\s{_category('L')}{_category('N')}]+")
+#: Bytes as the characters that a byte-level vocabulary writes them in: printable ones as they are, others from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOW = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _SHOWN)}
+
+
 class WordCache:
     """Ids of texts by way of their words.
 
-    The tokenizer drops white space and its pattern never matches across it, so a text's ids are those of its parts between
-    spaces and newlines. Texts that hold a special token's string are encoded whole: those are found before the text is split.
+    Texts of plain characters are lower-cased and split into words as the tokenizer does, and its model gives each new word's ids
+    once. In other texts the parts between spaces and newlines are taken, as no match goes across white space; those of other
+    characters go through the whole tokenizer. Texts that hold a special token's string are encoded whole.
     """
 
     def __init__(self, path: str):
         self.encoder = tokenizer(path)
+        self.model = self.encoder.model
         self.special = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}
+
+    def _words(self, words: list[str]) -> bytes:
+        known = self.known
+        try:
+            return b"".join([known[w] for w in words])
+        except KeyError:
+            if len(known) > WORDS:
+                known.clear()
+            for w in words:
+                if w not in known:
+                    known[w] = np.array([t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(_SHOW))], "<u4").tobytes()
+            return b"".join([known[w] for w in words])
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        if _PLAIN.fullmatch(part):
+            return self._words(_WORD.findall(part.lower()))
+        if (got := self.odd.get(part)) is None:
+            if len(self.odd) > WORDS:
+                self.odd.clear()
+            got = self.odd[part] = self._whole(part)
+        return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        odd = {i for i, x in enumerate(texts) if "<|" in x and any(s in x for s in self.special)}
-        parts = [[] if i in odd else x.replace("\n", " ").split(" ") for i, x in enumerate(texts)]
-        known = self.known
-        new = {w for own in parts for w in own if w not in known}
-        if len(known) + len(new) > WORDS:
-            known.clear()
-            known[""] = b""
-            new = {w for own in parts for w in own if w}
-        new = list(new)
-        for w, e in zip(new, self.encoder.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join([known[w] for w in own]) for own in parts]
-        for i in odd:
-            out[i] = np.array(self.encoder.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
+        out = []
+        for text in texts:
+            if "<|" in text and any(s in text for s in self.special):
+                out.append(self._whole(text))
+            elif _PLAIN.fullmatch(text):
+                out.append(self._words(_WORD.findall(text.lower())))
+            else:
+                out.append(b"".join([self._part(x) for x in text.replace("\n", " ").split(" ")]))
         return out
 
 
