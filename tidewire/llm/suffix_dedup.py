@@ -198,14 +198,20 @@ def compare(suffixes: pa.Table, size: int, lead: int) -> pa.Table:
         blocks.append(np.full(len(co), block, np.int64))
     text, lens, anchor, counts, ids, places, blocks = (np.concatenate(x) for x in (texts, lens, anchors_, counts, ids, places, blocks))
     begin, head = np.cumsum(lens) - lens, np.cumsum(counts) - counts
-    strings = lens - size + 1
-    least = ids[head]
-    # Only records whose leading tokens another record, or another document of the same record, holds.
+    # Records of several blocks that are alike throughout are one from here on, with the smallest id of them all.
+    raw, known = text.tobytes(), {}
+    same = np.array([known.setdefault((raw[f : f + n], a), len(known)) for f, n, a in zip(begin.tolist(), lens.tolist(), anchor.tolist(), strict=True)], np.int64)
+    least = np.full(len(known), (1 << 63) - 1, np.int64)
+    np.minimum.at(least, same, ids[head])
+    pick = np.zeros(len(known), np.int64)
+    pick[same] = np.arange(len(same))
+    del known
+    begin, anchor, strings = begin[pick], anchor[pick], lens[pick] - size + 1
+    # Only records whose leading tokens another record holds.
     tokens = leading(text, begin + anchor, lead)
     order = np.argsort(tokens, kind="stable")
     run = np.cumsum(np.concatenate([[True], tokens[order[1:]] != tokens[order[:-1]]])) - 1
     alone = np.bincount(run)[run] == 1
-    hit: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # record, string number, smallest id of the string
     a = 0
     order, run = order[~alone], run[~alone]
     ends = np.flatnonzero(np.append(run[1:] != run[:-1], True)) + 1 if len(run) else []
@@ -228,11 +234,11 @@ def compare(suffixes: pa.Table, size: int, lead: int) -> pa.Table:
         best[row0[which[sort]] + number[sort]] = smallest[group]
         a = b
     # A place loses a string if its document's id is above the string's smallest.
-    rec = np.repeat(np.arange(len(counts)), counts)
-    which = np.repeat(np.arange(len(places)), strings[rec])
-    number = np.arange(len(which)) - np.repeat(np.cumsum(strings[rec]) - strings[rec], strings[rec])
-    lost = ids[which] > best[row0[rec[which]] + number]
-    start, block = (places[which] + number)[lost], blocks[rec[which]][lost]
+    owner = np.repeat(np.arange(len(counts)), counts)
+    rec, held = same[owner], np.repeat(np.arange(len(places)), strings[same[owner]])
+    number = np.arange(len(held)) - np.repeat(np.cumsum(strings[rec]) - strings[rec], strings[rec])
+    lost = ids[held] > best[row0[rec[held]] + number]
+    start, block = (places[held] + number)[lost], blocks[owner[held]][lost]
     out = []
     by = np.argsort(block, kind="stable")
     names, firsts = np.unique(block[by], return_index=True)
