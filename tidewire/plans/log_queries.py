@@ -9,7 +9,7 @@ from tidewire.functions import text as T
 from tidewire.operators import merkle as M
 from tidewire.operators import vectors as V
 from tidewire.plans.registry import query
-from tidewire.sources.tables import articles, revisions, table
+from tidewire.sources.tables import revisions, table
 from tidewire.streaming import streams
 
 

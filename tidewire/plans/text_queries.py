@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import text as T
@@ -152,7 +151,6 @@ def owner_histogram(spark, sf):
 
 
 _TOPICS = {"Economy": ["the", "than"], "Health": ["heit", "ung"], "Technology": ["ción", "que"], "Geopolitics": ["eau", "ment"]}
-_HITS = ", ".join("('{}', {})".format(t, " + ".join(f"CAST(contains(lower(title), '{k}') AS INT)" for k in ks)) for t, ks in _TOPICS.items())
 
 
 @query("WITH t AS (" + " UNION ALL ".join("SELECT id, '{}' AS topic, {} AS hits FROM a".format(t, " + ".join(f"CAST(contains(lower(title), '{k}') AS INT)" for k in ks)) for t, ks in _TOPICS.items()) + """),

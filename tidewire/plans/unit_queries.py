@@ -38,9 +38,6 @@ def unit_rollup(spark, sf):
     return U.unit_rollup(a, U.reporting_units(a))
 
 
-_STORY = "hash"
-
-
 @query(f"""WITH {_UNITS} SELECT domain, count(DISTINCT unit_id) AS units, count(DISTINCT owner) AS owners, count(DISTINCT unit_id) >= 2 AND count(DISTINCT owner) >= 2 AS passed,
     CASE WHEN count(DISTINCT unit_id) < 2 THEN 'units ' || count(DISTINCT unit_id) || ' < 2' WHEN count(DISTINCT owner) < 2 THEN 'owners ' || count(DISTINCT owner) || ' < 2' ELSE 'passed' END AS reason
     FROM (SELECT lang AS domain, unit_id, j.owner FROM j JOIN a USING (id) WHERE j.tier = 1) GROUP BY domain""", articles=True)
