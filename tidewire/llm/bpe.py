@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -72,7 +71,3 @@ def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([enc.decode_bytes(np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(1).to_pylist()], pa.binary())], names=["doc_id", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
-
-
-def digest(x: bytes) -> str:
-    return hashlib.sha256(x).hexdigest()

@@ -8,7 +8,6 @@ task. All other digests go through one ordinary shuffle, where no group can hold
 from __future__ import annotations
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 

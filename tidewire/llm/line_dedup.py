@@ -12,8 +12,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidewire.llm.common import NO_ID, id_back, id_of, n_parts, slices, staged, text_of
+from tidewire.llm.common import id_of, slices, staged, text_of
 from tidewire.llm.perfect_hash import PerfectHash, words
 
 MIN_CHARS = 10
@@ -113,25 +114,12 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str =
     joined = docs.withColumns({"__id": id_of(id_col), text_col: text_of(text_col)}).join(lost, "__id", "left")
     joined = joined.withColumn("__rest", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "lines_before", "lines_dropped")]))
     rest = joined.select(F.col(text_col).alias("text"), "__lost", "__rest")
-    kind = joined.schema["__rest"].dataType.simpleString()
 
     def run(batches):
         for batch in slices(batches):
             made = [drop_lines(t, set(k or ()), min_chars) for t, k in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in made], pa.binary()).cast(pa.string()), pa.array([x[1] for x in made], pa.int64()), pa.array([x[2] for x in made], pa.int64()), batch.column(2)], names=["text", "before", "dropped", "rest"])
 
-    out = rest.mapInArrow(run, rest.schema.__class__([*[rest.schema[0]], *_longs("before", "dropped"), _named(rest.schema["__rest"], "rest")]))
+    out = rest.mapInArrow(run, StructType([StructField("text", StringType()), StructField("before", LongType()), StructField("dropped", LongType()), StructField("rest", rest.schema["__rest"].dataType)]))
     cols = [F.col("text").alias(text_col) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in ("lines_before", "lines_dropped")]
     return out.select(*cols, F.col("before").alias("lines_before"), F.col("dropped").alias("lines_dropped"))
-
-
-def _longs(*names: str):
-    from pyspark.sql.types import LongType, StructField
-
-    return [StructField(n, LongType()) for n in names]
-
-
-def _named(field, name: str):
-    from pyspark.sql.types import StructField
-
-    return StructField(name, field.dataType, field.nullable)
