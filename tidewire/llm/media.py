@@ -2,9 +2,9 @@
 
 An image is a PNG (8-bit grey, RGB or either with alpha, not interlaced) or a binary PGM or PPM. Corners are found at several
 scales; the patch around each is turned by its intensity centroid's angle and compared at fixed pairs of places, which gives 64
-bits. Descriptors are cut into three bands, so that two that differ in at most two bits agree in one; features that share a
-band's table entry are matched along a chain in the order of image ids, never all with all. The matched features of two
-images vote for one change of scale, angle and place; enough agreeing votes make them copies.
+bits. Descriptors are cut into three bands, so that two that differ in at most two bits agree in one; images
+with a match are compared feature by feature, save where too few of the features of one could match. The matched features
+of two images vote for one change of scale, angle and place; enough agreeing votes make them copies.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import id_back, id_of, staged
@@ -24,6 +24,8 @@ from tidewire.operators.graph import connected_components
 
 #: Shrinking factors of the scales; radius of a patch; least corner response; bands of a descriptor; bits that may differ.
 SCALES, RADIUS, RESPONSE, BANDS, BITS = (1.0, 0.5), 7, 8e-3, 3, 2
+#: Bits of a band; bits of a cell's number in the sketch of entries.
+WIDTH, SKETCH = -(-64 // BANDS), 16
 #: A corner is the greatest within so many pixels.
 APART = 5
 #: Votes for one placement that make a copy; cells of a vote in pixels and in angle steps.
@@ -194,6 +196,90 @@ def features(images: DataFrame, id_col: str, image_col: str) -> DataFrame:
     return images.select(id_of(id_col).alias("id"), F.col(image_col).cast("binary").alias("image")).mapInArrow(run, "id long, digest binary, n_features long, bits array<long>, place array<long>")
 
 
+def _entries(bits: np.ndarray) -> np.ndarray:
+    """The table entries of descriptors, a row for each band, numbered through all bands."""
+    at = np.arange(BANDS, dtype=np.uint64)[:, None]
+    return (at << np.uint64(WIDTH) | bits.view(np.uint64) >> at * np.uint64(WIDTH) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
+
+
+def _cells(entries: np.ndarray) -> np.ndarray:
+    return (entries.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SKETCH)).astype(np.int64)
+
+
+def candidates(first: DataFrame) -> DataFrame:
+    """Pairs (src, dst), src < dst, that share a descriptor within BITS bits: among them all pairs of VOTES matches or more.
+
+    VOTES matches are of as many features of src, so one at least is not among any VOTES - 1 of them; those in the fullest
+    entries, by a sketch of counts, are left out on that side. That choice moves the cost and never the copies found.
+    """
+
+    def count(batches):
+        total = np.zeros(1 << SKETCH, np.int64)
+        for batch in batches:
+            total += np.bincount(_cells(_entries(batch.column(0).flatten().to_numpy())).ravel(), minlength=1 << SKETCH)
+        at = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+
+    load = np.zeros(1 << SKETCH, np.int64)
+    for cell, n in first.select("bits").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
+        load[cell] = n
+
+    def deal(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                bits, sizes = part.column(1).flatten().to_numpy(), np.diff(part.column(1).offsets.to_numpy())
+                entries, owner = _entries(bits), np.repeat(np.arange(part.num_rows), sizes)
+                order = np.lexsort((-load[_cells(entries)].sum(axis=0), owner))
+                seeks = np.empty(len(bits), bool)
+                seeks[order] = np.arange(len(bits)) - np.repeat(np.cumsum(sizes) - sizes, sizes) >= VOTES - 1
+                node = np.repeat(part.column(0).to_numpy(), sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(entries.ravel().astype(np.int32)), pa.array(np.tile(bits, BANDS)), pa.array(np.tile(node, BANDS)), pa.array(np.tile(seeks, BANDS))], names=["entry", "bits", "node", "seeks"])
+
+    table = first.select("node", "bits").mapInArrow(deal, "entry int, bits long, node long, seeks boolean").repartition("entry")
+    # The random term keeps the filter above the exchange, so that both sides read the same one.
+    a, b = table.where(F.col("seeks") & (F.rand(0) >= 0)).alias("a"), table.alias("b")
+    near = a.join(b, (F.col("a.entry") == F.col("b.entry")) & (F.col("a.node") < F.col("b.node")) & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= BITS))
+    return near.select(F.col("a.node").alias("src"), F.col("b.node").alias("dst")).distinct()
+
+
+def agrees(bits_a: np.ndarray, place_a: np.ndarray, bits_b: np.ndarray, place_b: np.ndarray) -> bool:
+    """Whether VOTES features of the first image match ones of the second under one change of scale, angle and place.
+
+    A match that changes neither scale nor angle votes for a shift; any other one for the place that its scale and each of
+    the three nearest angle steps give.
+    """
+    i, j = np.nonzero(np.bitwise_count((bits_a[:, None] ^ bits_b).view(np.uint64)) <= BITS)
+    if len(np.unique(i)) < VOTES:
+        return False
+    a, b = place_a[i], place_b[j]
+    (xa, ya), (xb, yb) = ((p >> 40 & (1 << 24) - 1, p >> 16 & (1 << 24) - 1) for p in (a, b))
+    scale, turn = (b >> 8 & 255) - (a >> 8 & 255), ((b & 255) - (a & 255)) % ANGLES
+    still = (scale == 0) & ((turn <= 1) | (turn >= ANGLES - 1))
+    votes = [np.stack([scale, turn * 0 - 1, (xb - xa) // CELL, (yb - ya) // CELL, i])[:, still]]
+    grow = np.array([SCALES[0] / SCALES[1]]) ** scale
+    for near in (-1, 0, 1):
+        t = (turn + near) % ANGLES
+        cos, sin = np.cos(t * 2 * np.pi / ANGLES), np.sin(t * 2 * np.pi / ANGLES)
+        dx, dy = (np.floor((to - grow * at) / CELL).astype(np.int64) for to, at in ((xb, cos * xa - sin * ya), (yb, sin * xa + cos * ya)))
+        votes.append(np.stack([scale, t, dx, dy, i])[:, ~still])
+    votes = np.unique(np.concatenate(votes, axis=1), axis=1)
+    return bool(np.unique(votes[:4], axis=1, return_counts=True)[1].max() >= VOTES)
+
+
+def copies(pairs: DataFrame, first: DataFrame) -> DataFrame:
+    """Those of the pairs (src, dst) whose images agree."""
+
+    def run(batches):
+        for batch in batches:
+            cols = [[x.values.to_numpy() for x in batch.column(k)] for k in range(2, 6)]
+            keep = pa.array([agrees(*x) for x in zip(*cols, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["src", "dst"])
+
+    a, b = (first.toDF(x, f"bits_{x}", f"place_{x}") for x in ("src", "dst"))
+    return pairs.join(a, "src").join(b, "dst").select("src", "dst", "bits_src", "place_src", "bits_dst", "place_dst").mapInArrow(run, "src long, dst long")
+
+
 def image_copies(images: DataFrame, id_col: str = "id", image_col: str = "image") -> DataFrame:
     """id, n_features and component_id (the smallest id among the copies that are linked) for every row of images.
 
@@ -203,27 +289,8 @@ def image_copies(images: DataFrame, id_col: str = "id", image_col: str = "image"
     rows = staged(features(images, id_col, image_col))
     own = staged(rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("node")))
     # One image of each digest: those of the smallest id, which repeated rows share.
-    first = rows.select("id", "digest", "bits", "place").join(own.withColumnRenamed("node", "id"), ["digest", "id"])
-    each = first.select(F.col("id").alias("node"), F.explode(F.arrays_zip("bits", "place")).alias("f")).select("node", "f.bits", "f.place")
-    width = -(-64 // BANDS)
-    bands = [F.struct(F.lit(b).alias("band"), F.shiftrightunsigned("bits", b * width).bitwiseAND(F.lit((1 << width) - 1).cast("long")).alias("entry")) for b in range(BANDS)]
-    table = each.select("node", "bits", "place", F.explode(F.array(*bands)).alias("k")).select("node", "bits", "place", "k.band", "k.entry")
-    # A hot entry is one window; it is sorted on disk, and gives each of its rows one partner: the row before it.
-    order = Window.partitionBy("band", "entry").orderBy("node", "place")
-    chained = table.withColumns({"b": F.lag("node").over(order), "b_bits": F.lag("bits").over(order), "b_place": F.lag("place").over(order)})
-    matched = chained.where((F.col("b") != F.col("node")) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("b_bits"))) <= BITS)).select(F.col("b").alias("src"), F.col("node").alias("dst"), "b_place", "place").distinct()
-
-    def field(col: str, shift: int, bits: int):
-        return F.shiftright(F.col(col), shift).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-
-    def vote(col_a: str, col_b: str, shift: int, bits: int):
-        return field(col_b, shift, bits) - field(col_a, shift, bits)
-
-    # A match votes for a change of scale and angle and, where these are none, of place; else for the change alone.
-    scale, turn = vote("b_place", "place", 8, 8), F.pmod(vote("b_place", "place", 0, 8), F.lit(ANGLES))
-    still = (scale == 0) & ((turn <= 1) | (turn >= ANGLES - 1))
-    votes = matched.select("src", "dst", "b_place", scale.alias("scale"), F.when(still, F.lit(0)).otherwise(F.floor(turn / 4) + 1).alias("turn"), F.when(still, F.floor(vote("b_place", "place", 40, 24) / CELL)).alias("dx"), F.when(still, F.floor(vote("b_place", "place", 16, 24) / CELL)).alias("dy"))
-    agreed = votes.groupBy("src", "dst", "scale", "turn", "dx", "dy").agg(F.countDistinct("b_place").alias("n")).where(F.col("n") >= VOTES).select("src", "dst").distinct()
+    first = staged(rows.select("id", "digest", "bits", "place").join(own.withColumnRenamed("node", "id"), ["digest", "id"]).where(F.size("bits") >= VOTES).dropDuplicates(["digest"]).select(F.col("id").alias("node"), "bits", "place"))
+    agreed = copies(candidates(first), first)
     linked = connected_components(agreed).withColumnsRenamed({"node": "n", "component": "c"})
     named = own.select("digest", "node").join(linked, F.col("node") == F.col("n"), "left").select("digest", F.coalesce("c", "node").alias("component"))
     return rows.join(named, "digest", "left").select(id_back("id").alias("id"), "n_features", id_back("component").alias("component_id")).withColumn("component_id", F.coalesce("component_id", "id"))
