@@ -66,4 +66,14 @@ def test_each_link_is_found(spark, crowded):
     _, marks, links = crowded
     packed = [(i, m[0].view(np.int64).tolist(), (m[1] << 40 | m[2] << 16 | m[3] << 8 | m[4]).tolist()) for i, m in marks.items()]
     first = spark.createDataFrame(packed, "node long, bits array<long>, place array<long>")
-    assert {(r.src, r.dst) for r in media.copies(media.candidates(first), first).collect()} == links
+    for hot in (0, media.HOT):
+        assert {(r.src, r.dst) for r in media.copies(media.candidates(first, hot), first).collect()} == links
+
+
+def test_small_copies_link(spark):
+    """Seven corners a few pixels apart agree; of those five pixels apart only one would be left."""
+    small = np.kron(np.random.default_rng(4).integers(0, 256, (8, 8)), np.ones((4, 4))).astype(np.uint8)
+    edited = small.copy()
+    edited[:, :3] = 255
+    rows = [(1, media.png(small)), (2, media.png(edited))]
+    assert {r.component_id for r in media.image_copies(spark.createDataFrame(rows, "id long, image binary")).collect()} == {1}

@@ -26,8 +26,10 @@ from tidewire.operators.graph import connected_components
 SCALES, RADIUS, RESPONSE, BANDS, BITS = (1.0, 0.5), 7, 8e-3, 3, 2
 #: Bits of a band; bits of a cell's number in the sketch of entries.
 WIDTH, SKETCH = -(-64 // BANDS), 16
+#: An entry of more features than HOT is split by its other bits; pairs of descriptors compared at once.
+HOT, BLOCK = 256, 1 << 18
 #: A corner is the greatest within so many pixels.
-APART = 5
+APART = 2
 #: Votes for one placement that make a copy; cells of a vote in pixels and in angle steps.
 VOTES, CELL, ANGLES = 6, 8, 32
 _SEED = 20
@@ -206,11 +208,12 @@ def _cells(entries: np.ndarray) -> np.ndarray:
     return (entries.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SKETCH)).astype(np.int64)
 
 
-def candidates(first: DataFrame) -> DataFrame:
+def candidates(first: DataFrame, hot: int = HOT) -> DataFrame:
     """Pairs (src, dst), src < dst, that share a descriptor within BITS bits: among them all pairs of VOTES matches or more.
 
     VOTES matches are of as many features of src, so one at least is not among any VOTES - 1 of them; those in the fullest
     entries, by a sketch of counts, are left out on that side. That choice moves the cost and never the copies found.
+    Full entries are split by each third of a descriptor's other bits: of two within BITS bits one third agrees.
     """
 
     def count(batches):
@@ -234,9 +237,20 @@ def candidates(first: DataFrame) -> DataFrame:
                 seeks = np.empty(len(bits), bool)
                 seeks[order] = np.arange(len(bits)) - np.repeat(np.cumsum(sizes) - sizes, sizes) >= VOTES - 1
                 node = np.repeat(part.column(0).to_numpy(), sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(entries.ravel().astype(np.int32)), pa.array(np.tile(bits, BANDS)), pa.array(np.tile(node, BANDS)), pa.array(np.tile(seeks, BANDS))], names=["entry", "bits", "node", "seeks"])
-
-    table = first.select("node", "bits").mapInArrow(deal, "entry int, bits long, node long, seeks boolean").repartition("entry")
+                full, keys, at = load[_cells(entries)] > hot, [], []
+                for band in range(BANDS):
+                    own = entries[band] << 20
+                    keys.append(own[~full[band]])
+                    at.append(np.nonzero(~full[band])[0])
+                    x, y = (entries[(band + k) % BANDS] & (1 << WIDTH) - 1 for k in (1, 2))
+                    rest, third = x << WIDTH | y, -(-2 * WIDTH // 3)
+                    for k in range(3):
+                        keys.append((own | k + 1 << 16 | rest >> k * third & (1 << third) - 1)[full[band]])
+                        at.append(np.nonzero(full[band])[0])
+                at = np.concatenate(at)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(bits[at]), pa.array(node[at]), pa.array(seeks[at])], names=["entry", "bits", "node", "seeks"])
+
+    table = first.select("node", "bits").mapInArrow(deal, "entry long, bits long, node long, seeks boolean").repartition("entry")
     # The random term keeps the filter above the exchange, so that both sides read the same one.
     a, b = table.where(F.col("seeks") & (F.rand(0) >= 0)).alias("a"), table.alias("b")
     near = a.join(b, (F.col("a.entry") == F.col("b.entry")) & (F.col("a.node") < F.col("b.node")) & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= BITS))
@@ -249,7 +263,9 @@ def agrees(bits_a: np.ndarray, place_a: np.ndarray, bits_b: np.ndarray, place_b:
     A match that changes neither scale nor angle votes for a shift; any other one for the place that its scale and each of
     the three nearest angle steps give.
     """
-    i, j = np.nonzero(np.bitwise_count((bits_a[:, None] ^ bits_b).view(np.uint64)) <= BITS)
+    step = max(1, BLOCK // max(1, len(bits_b)))
+    met = [np.nonzero(np.bitwise_count((bits_a[at : at + step, None] ^ bits_b).view(np.uint64)) <= BITS) for at in range(0, len(bits_a), step)]
+    i, j = np.concatenate([x + k * step for k, (x, _) in enumerate(met)]), np.concatenate([y for _, y in met])
     if len(np.unique(i)) < VOTES:
         return False
     a, b = place_a[i], place_b[j]
@@ -263,8 +279,9 @@ def agrees(bits_a: np.ndarray, place_a: np.ndarray, bits_b: np.ndarray, place_b:
         cos, sin = np.cos(t * 2 * np.pi / ANGLES), np.sin(t * 2 * np.pi / ANGLES)
         dx, dy = (np.floor((to - grow * at) / CELL).astype(np.int64) for to, at in ((xb, cos * xa - sin * ya), (yb, sin * xa + cos * ya)))
         votes.append(np.stack([scale, t, dx, dy, i])[:, ~still])
-    votes = np.unique(np.concatenate(votes, axis=1), axis=1)
-    return bool(np.unique(votes[:4], axis=1, return_counts=True)[1].max() >= VOTES)
+    scale, turn, dx, dy, i = np.concatenate(votes, axis=1)
+    vote = np.unique((scale + len(SCALES)) * (ANGLES + 1) + turn + 1 << 48 | dx + (1 << 23) << 24 | dy + (1 << 23), return_inverse=True)[1]
+    return bool(np.bincount(np.unique(vote * len(bits_a) + i) // len(bits_a)).max() >= VOTES)
 
 
 def copies(pairs: DataFrame, first: DataFrame) -> DataFrame:
