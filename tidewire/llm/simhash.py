@@ -53,8 +53,8 @@ def fingerprint(text: bytes, size: int = 3, tables: int = 1) -> np.ndarray:
     return np.packbits(2 * ones > n, axis=1).view(">i8").ravel().astype(np.int64)
 
 
-def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", tables: int = 1) -> DataFrame:
-    """Rows (id, fps): one for each row of docs, with a fingerprint for each table."""
+def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", tables: int = 1, digest: bool = False) -> DataFrame:
+    """Rows (id, fps): one for each row of docs, with a fingerprint for each table; with digest, that of the text too."""
 
     def run(batches):
         for batch in slices(batches):
@@ -63,9 +63,14 @@ def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_co
             for x in texts:
                 if x not in seen:
                     seen[x] = fingerprint(x, size, tables).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([seen[x] for x in texts], pa.list_(pa.int64()))], names=["id", "fps"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([seen[x] for x in texts], pa.list_(pa.int64()))], names=["id", "fps"]) if not digest else pa.RecordBatch.from_arrays([batch.column(0), pa.array([seen[x] for x in texts], pa.list_(pa.int64())), batch.column(2)], names=["id", "fps", "digest"])
 
-    return docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, "id long, fps array<long>")
+    own = [_digest(text_col).alias("digest")] if digest else []
+    return docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text"), *own).mapInArrow(run, "id long, fps array<long>" + (", digest binary" if digest else ""))
+
+
+def _digest(text_col: str) -> Column:
+    return F.unhex(F.md5(text_of(text_col)))
 
 
 def _nibble(col: Column, i: int) -> Column:
@@ -110,6 +115,14 @@ def simhash_groups(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_
     and different texts are linked by their texts alone. Other columns are not read.
     """
     rows = staged(fingerprints(docs, size, id_col, text_col, tables))
+    roots = _roots(rows, tables)
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = roots.join(least, "root").select("fps", "component_id")
+    return rows.join(named, "fps").select(id_back("id").alias("doc_id"), F.col("fps")[0].alias("fp"), id_back("component_id").alias("component_id"))
+
+
+def _roots(rows: DataFrame, tables: int) -> DataFrame:
+    """Rows (fps, least, root): the least id of equal fingerprints and the name of their group."""
     nodes = staged(rows.groupBy("fps").agg(F.min("id").alias("least")))
     held = nodes.select("fps", F.posexplode("fps").alias("table", "fp"))
     prints = staged(held.groupBy("table", "fp").agg(F.min("fps").alias("node")))
@@ -119,14 +132,15 @@ def simhash_groups(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_
     if tables > 1:  # documents that share the fingerprint of one table
         edges = edges.unionByName(held.join(prints, ["table", "fp"]).select(F.col("node").alias("a"), F.col("fps").alias("b")).where("a != b"))
     linked = connected_components(edges, "a", "b").withColumnsRenamed({"node": "fps", "component": "root"})
-    roots = nodes.join(linked, "fps", "left").select("fps", "least", F.coalesce("root", "fps").alias("root"))
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(least, "root").select("fps", "component_id")
-    return rows.join(named, "fps").select(id_back("id").alias("doc_id"), F.col("fps")[0].alias("fp"), id_back("component_id").alias("component_id"))
+    return nodes.join(linked, "fps", "left").select("fps", "least", F.coalesce("root", "fps").alias("root"))
 
 
 def one_of_each(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", tables: int = 1) -> DataFrame:
-    """The rows of docs whose id is the smallest of its group, with all their columns; of rows that repeat an id one stays."""
-    groups = simhash_groups(docs, size, id_col, text_col, tables)
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("__id")).distinct()
-    return docs.withColumn("__id", id_of(id_col)).join(stays, "__id", "left_semi").dropDuplicates(["__id"]).drop("__id")
+    """One row of docs for each group, with all its columns: that of the smallest id, of these that of the smallest text digest.
+
+    A group whose rows all lack an id keeps one of them.
+    """
+    rows = staged(fingerprints(docs, size, id_col, text_col, tables, digest=True))
+    least = rows.join(_roots(rows, tables).select("fps", "root"), "fps").groupBy("root").agg(F.min(F.struct("id", "digest")).alias("x"))
+    stays = least.select(F.col("x.id").alias("__id"), F.col("x.digest").alias("__digest"))
+    return docs.withColumns({"__id": id_of(id_col), "__digest": _digest(text_col)}).join(stays, ["__id", "__digest"], "left_semi").dropDuplicates(["__id", "__digest"]).drop("__id", "__digest")
