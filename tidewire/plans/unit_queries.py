@@ -92,12 +92,16 @@ def story_counters(spark, sf):
 
 @query("""SELECT doc_id, string_agg(item_id, ',' ORDER BY item_id) AS items, count(*) AS n FROM (SELECT doc_id, item_id FROM documents JOIN benchmark ON contains(documents.text, benchmark.text)) GROUP BY doc_id""")
 def benchmark_containment(spark, sf):
-    """Documents that hold a whole benchmark passage: joined on the hash of the passage's first eight words, then compared."""
-    first = lambda c: F.array_join(F.slice(F.split(c, r"[ \n]"), 1, 8), " ")
+    """Documents that hold a whole benchmark passage: joined on the hash of its second to eighth words, then compared.
+
+    Its first and last words may be parts of a document's words, those between are whole; shorter passages are compared directly.
+    """
     docs = table(spark, sf, "documents").select("doc_id", "text", F.split("text", r"[ \n]").alias("w"))
-    keys = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 8), " "))))
+    keys = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 7), " "))))
     spread = docs.select("doc_id", F.explode(keys).alias("k"))
-    items = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("passage"), F.xxhash64(first(F.col("text"))).alias("k"))
-    near = spread.join(items.select("item_id", "k"), "k").select("doc_id", "item_id").distinct()
+    items = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("passage"), F.split("text", r"[ \n]").alias("pw"))
+    long = items.where("size(pw) >= 9").select("item_id", F.xxhash64(F.array_join(F.slice("pw", 2, 7), " ")).alias("k"))
+    short = docs.join(items.where("size(pw) < 9"), F.contains("text", F.col("passage"))).select("doc_id", "item_id")
+    near = spread.join(long, "k").select("doc_id", "item_id").unionByName(short).distinct()
     met = near.join(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").join(items.select("item_id", "passage"), "item_id").where(F.contains("text", F.col("passage")))
     return met.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list("item_id")), ",").alias("items"), F.count("*").alias("n"))
