@@ -67,7 +67,7 @@ def test_each_link_is_found(spark, crowded):
     packed = [(i, m[0].view(np.int64).tolist(), (m[1] << 40 | m[2] << 16 | m[3] << 8 | m[4]).tolist()) for i, m in marks.items()]
     first = spark.createDataFrame(packed, "node long, bits array<long>, place array<long>")
     for hot in (0, media.HOT):
-        assert {(r.src, r.dst) for r in media.copies(media.candidates(first, hot), first).collect()} == links
+        assert {(r.src, r.dst) for r in media.copies(media.candidates(first, hot=hot), first).collect()} == links
 
 
 def test_small_copies_link(spark):
@@ -77,3 +77,22 @@ def test_small_copies_link(spark):
     edited[:, :3] = 255
     rows = [(1, media.png(small)), (2, media.png(edited))]
     assert {r.component_id for r in media.image_copies(spark.createDataFrame(rows, "id long, image binary")).collect()} == {1}
+
+
+def test_pictures_without_an_id_stay_apart(spark):
+    """Two pictures of null ids and one of the largest id are three; a copy of one of them takes its own id."""
+    big = (1 << 63) - 1
+    a, b = (np.kron(np.random.default_rng(k).integers(0, 256, (9, 9)), np.ones((4, 4))).astype(np.uint8) for k in (11, 12))
+    edited = b.copy()
+    edited[:, :3] = 255
+    got = [(r.id, r.component_id) for r in media.image_copies(spark.createDataFrame([(None, media.png(a)), (None, media.png(b)), (big, media.png(edited))], "id long, image binary")).collect()]
+    assert sorted(got, key=str) == sorted([(None, None), (None, big), (big, big)], key=str)
+
+
+def test_many_like_features_take_bounded_room():
+    """Pictures of one tile repeated agree, and shifted noise does not, however many of their descriptors are equal."""
+    n = 20000
+    bits, place = np.zeros(n, np.int64), (np.arange(n, dtype=np.int64) * 10 << 40) | (5 << 16)
+    assert media.agrees(bits, place, bits, place)
+    far = (np.arange(n, dtype=np.int64) ** 2 % 16000000 << 40) | ((np.arange(n, dtype=np.int64) * 37 % 60000) << 16)
+    assert not media.agrees(bits[:5], place[:5], bits, far)

@@ -16,6 +16,8 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 NO_ID = (1 << 63) - 1
 #: Arrow batches are worked on in slices of about this many bytes of text.
 SLICE_BYTES = 4 << 20
+#: Rows of one key in one task of a join, about.
+SPREAD = 4096
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,6 +64,17 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, by: str, per: int = SPREAD) -> DataFrame:
+    """left joined to right, which has one row for each key; a key of more than per rows of left goes to several tasks,
+    by a hash of column by. Such keys are at most one in per rows of left; each has its row of right once for every part.
+    """
+    hot = left.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > per).select(key, F.ceil(F.col("__n") / per).cast("int").alias("__parts"))
+    parts = F.coalesce(F.col("__parts"), F.lit(1))
+    a = left.join(hot, key, "left").withColumn("__part", F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(by), F.col("__parts")).cast("int"))).drop("__parts")
+    b = right.join(hot, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return a.join(b, [key, "__part"]).drop("__part")
+
+
 def slices(batches: Iterator[pa.RecordBatch], col: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that none holds much more than SLICE_BYTES of text; a longer single text is a slice of its own."""
     for batch in batches:

@@ -19,14 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import id_back, id_of, staged
+from tidewire.llm.common import spread_join, staged
 from tidewire.operators.graph import connected_components
 
 #: Shrinking factors of the scales; radius of a patch; least corner response; bands of a descriptor; bits that may differ.
 SCALES, RADIUS, RESPONSE, BANDS, BITS = (1.0, 0.5), 7, 8e-3, 3, 2
 #: Bits of a band; bits of a cell's number in the sketch of entries.
 WIDTH, SKETCH = -(-64 // BANDS), 16
-#: An entry of more features than HOT is split by its other bits; pairs of descriptors compared at once.
+#: An entry of more descriptors than HOT is split by its other bits; pairs of descriptors compared at once.
 HOT, BLOCK = 256, 1 << 18
 #: A corner is the greatest within so many pixels.
 APART = 2
@@ -195,7 +195,7 @@ def features(images: DataFrame, id_col: str, image_col: str) -> DataFrame:
                     rows.append((xxhash.xxh3_128_digest(np.rint(img * 255).astype(np.uint8).tobytes() + struct.pack("<II", *img.shape)), len(bits), bits.view(np.int64), x << 40 | y << 16 | s << 8 | a))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.int64()))], names=["id", "digest", "n_features", "bits", "place"])
 
-    return images.select(id_of(id_col).alias("id"), F.col(image_col).cast("binary").alias("image")).mapInArrow(run, "id long, digest binary, n_features long, bits array<long>, place array<long>")
+    return images.select(F.col(id_col).cast("long").alias("id"), F.col(image_col).cast("binary").alias("image")).mapInArrow(run, "id long, digest binary, n_features long, bits array<long>, place array<long>")
 
 
 def _entries(bits: np.ndarray) -> np.ndarray:
@@ -208,23 +208,24 @@ def _cells(entries: np.ndarray) -> np.ndarray:
     return (entries.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SKETCH)).astype(np.int64)
 
 
-def candidates(first: DataFrame, hot: int = HOT) -> DataFrame:
-    """Pairs (src, dst), src < dst, that share a descriptor within BITS bits: among them all pairs of VOTES matches or more.
+def table_rows(first: DataFrame, hot: int = HOT) -> DataFrame:
+    """Rows (entry, bits, node, seeks): each distinct descriptor of an image in every table that could hold one near it.
 
-    VOTES matches are of as many features of src, so one at least is not among any VOTES - 1 of them; those in the fullest
-    entries, by a sketch of counts, are left out on that side. That choice moves the cost and never the copies found.
-    Full entries are split by each third of a descriptor's other bits: of two within BITS bits one third agrees.
+    VOTES matches are of as many features of an image, so one at least is not among any VOTES - 1 of them; those in the fullest
+    entries, by a sketch of counts, do not seek. That choice moves the cost and never the copies found. Full entries are
+    split by each third of a descriptor's other bits: of two within BITS bits one third agrees.
     """
 
     def count(batches):
         total = np.zeros(1 << SKETCH, np.int64)
         for batch in batches:
-            total += np.bincount(_cells(_entries(batch.column(0).flatten().to_numpy())).ravel(), minlength=1 << SKETCH)
+            for own in batch.column(0):
+                total += np.bincount(_cells(_entries(np.unique(own.values.to_numpy()))).ravel(), minlength=1 << SKETCH)
         at = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
     load = np.zeros(1 << SKETCH, np.int64)
-    for cell, n in first.select("bits").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():
+    for cell, n in first.select("bits").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # at most 1 << SKETCH rows
         load[cell] = n
 
     def deal(batches):
@@ -232,11 +233,15 @@ def candidates(first: DataFrame, hot: int = HOT) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 bits, sizes = part.column(1).flatten().to_numpy(), np.diff(part.column(1).offsets.to_numpy())
-                entries, owner = _entries(bits), np.repeat(np.arange(part.num_rows), sizes)
-                order = np.lexsort((-load[_cells(entries)].sum(axis=0), owner))
+                owner = np.repeat(np.arange(part.num_rows), sizes)
+                order = np.lexsort((-load[_cells(_entries(bits))].sum(axis=0), owner))
                 seeks = np.empty(len(bits), bool)
                 seeks[order] = np.arange(len(bits)) - np.repeat(np.cumsum(sizes) - sizes, sizes) >= VOTES - 1
-                node = np.repeat(part.column(0).to_numpy(), sizes)
+                # One row for each distinct descriptor of an image; it seeks if one of its features does.
+                order = np.lexsort((~seeks, bits, owner))
+                keep = order[np.concatenate([[True], (bits[order[1:]] != bits[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])])] if len(order) else order
+                bits, node, seeks = bits[keep], part.column(0).to_numpy()[owner[keep]], seeks[keep]
+                entries = _entries(bits)
                 full, keys, at = load[_cells(entries)] > hot, [], []
                 for band in range(BANDS):
                     own = entries[band] << 20
@@ -250,25 +255,41 @@ def candidates(first: DataFrame, hot: int = HOT) -> DataFrame:
                 at = np.concatenate(at)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(bits[at]), pa.array(node[at]), pa.array(seeks[at])], names=["entry", "bits", "node", "seeks"])
 
-    table = first.select("node", "bits").mapInArrow(deal, "entry long, bits long, node long, seeks boolean").repartition("entry")
-    # The random term keeps the filter above the exchange, so that both sides read the same one.
-    a, b = table.where(F.col("seeks") & (F.rand(0) >= 0)).alias("a"), table.alias("b")
-    near = a.join(b, (F.col("a.entry") == F.col("b.entry")) & (F.col("a.node") < F.col("b.node")) & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= BITS))
-    return near.select(F.col("a.node").alias("src"), F.col("b.node").alias("dst")).distinct()
+    return first.select("node", "bits").mapInArrow(deal, "entry long, bits long, node long, seeks boolean")
 
 
-def agrees(bits_a: np.ndarray, place_a: np.ndarray, bits_b: np.ndarray, place_b: np.ndarray) -> bool:
-    """Whether VOTES features of the first image match ones of the second under one change of scale, angle and place.
+def leaders(first: DataFrame) -> DataFrame:
+    """Pairs (src, dst): to each image, of the smallest images that hold one of its descriptors, the one with which it shares most."""
+    held = first.select("node", F.explode(F.array_distinct("bits")).alias("bits"))
+    least = held.groupBy("bits").agg(F.min("node").alias("src"), F.max("node").alias("last")).where("src != last").select("bits", "src")
+    shared = held.join(least, "bits").where("src != node").groupBy("node", "src").agg(F.count("*").alias("n"))
+    return shared.groupBy("node").agg(F.max_by("src", F.struct("n", -F.col("src"))).alias("src")).select("src", F.col("node").alias("dst"))
 
-    A match that changes neither scale nor angle votes for a shift; any other one for the place that its scale and each of
-    the three nearest angle steps give.
+
+def candidates(first: DataFrame, groups: DataFrame | None = None, hot: int = HOT) -> DataFrame:
+    """Pairs (src, dst), src < dst, that share a descriptor within BITS bits, but those within one of the groups (node, component).
+
+    Among them are all pairs of VOTES matches or more between groups. Descriptors that a whole group holds are one row for
+    the group, so that a group of many copies costs no more than its distinct descriptors; images are named again only for
+    the descriptors that two groups share.
     """
-    step = max(1, BLOCK // max(1, len(bits_b)))
-    met = [np.nonzero(np.bitwise_count((bits_a[at : at + step, None] ^ bits_b).view(np.uint64)) <= BITS) for at in range(0, len(bits_a), step)]
-    i, j = np.concatenate([x + k * step for k, (x, _) in enumerate(met)]), np.concatenate([y for _, y in met])
-    if len(np.unique(i)) < VOTES:
-        return False
-    a, b = place_a[i], place_b[j]
+    rows = table_rows(first, hot)
+    if groups is None:
+        rows = staged(rows.withColumn("component", F.col("node")))
+    else:
+        rows = staged(rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    a = rows.where("seeks").groupBy("entry", F.col("bits").alias("x"), F.col("component").alias("a")).agg(F.lit(1).alias("one")).drop("one")
+    b = rows.groupBy("entry", F.col("bits").alias("y"), F.col("component").alias("b")).agg(F.lit(1).alias("one")).drop("one")
+    met = a.join(b, "entry").where((F.col("a") != F.col("b")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= BITS)).select("x", "a", "y", "b").distinct()
+    nodes = rows.groupBy("component", "bits", "node").agg(F.max("seeks").alias("seeks"))
+    src = nodes.where("seeks").select(F.col("component").alias("a"), F.col("bits").alias("x"), F.col("node").alias("p"))
+    dst = nodes.select(F.col("component").alias("b"), F.col("bits").alias("y"), F.col("node").alias("q"))
+    # Either of two images may be the one that seeks: one of its features that match is not among the fullest.
+    return met.join(src, ["a", "x"]).join(dst, ["b", "y"]).select(F.least("p", "q").alias("src"), F.greatest("p", "q").alias("dst")).distinct()
+
+
+def _votes(a: np.ndarray, b: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """Distinct (vote, feature) of matches between places a and b; i numbers the first image's features."""
     (xa, ya), (xb, yb) = ((p >> 40 & (1 << 24) - 1, p >> 16 & (1 << 24) - 1) for p in (a, b))
     scale, turn = (b >> 8 & 255) - (a >> 8 & 255), ((b & 255) - (a & 255)) % ANGLES
     still = (scale == 0) & ((turn <= 1) | (turn >= ANGLES - 1))
@@ -280,8 +301,28 @@ def agrees(bits_a: np.ndarray, place_a: np.ndarray, bits_b: np.ndarray, place_b:
         dx, dy = (np.floor((to - grow * at) / CELL).astype(np.int64) for to, at in ((xb, cos * xa - sin * ya), (yb, sin * xa + cos * ya)))
         votes.append(np.stack([scale, t, dx, dy, i])[:, ~still])
     scale, turn, dx, dy, i = np.concatenate(votes, axis=1)
-    vote = np.unique((scale + len(SCALES)) * (ANGLES + 1) + turn + 1 << 48 | dx + (1 << 23) << 24 | dy + (1 << 23), return_inverse=True)[1]
-    return bool(np.bincount(np.unique(vote * len(bits_a) + i) // len(bits_a)).max() >= VOTES)
+    return np.unique(np.stack([(scale + len(SCALES)) * (ANGLES + 1) + turn + 1 << 48 | dx + (1 << 23) << 24 | dy + (1 << 23), i]), axis=1)[0]
+
+
+def agrees(bits_a: np.ndarray, place_a: np.ndarray, bits_b: np.ndarray, place_b: np.ndarray) -> bool:
+    """Whether VOTES features of the first image match ones of the second under one change of scale, angle and place.
+
+    A match that changes neither scale nor angle votes for a shift; any other one for the place that its scale and each of
+    the three nearest angle steps give. Features of the first image are taken in blocks and the votes added up, so that two
+    images of many like features need no more room than others.
+    """
+    total: dict[int, int] = {}
+    rows = max(1, min(64, BLOCK // max(1, len(bits_b))))
+    for at in range(0, len(bits_a), rows):
+        i, j = np.nonzero(np.bitwise_count((bits_a[at : at + rows, None] ^ bits_b).view(np.uint64)) <= BITS)
+        if len(i):
+            vote, n = np.unique(_votes(place_a[at : at + rows][i], place_b[j], i), return_counts=True)
+            for v, k in zip(vote.tolist(), n.tolist(), strict=True):
+                k += total.get(v, 0)
+                if k >= VOTES:
+                    return True
+                total[v] = k
+    return False
 
 
 def copies(pairs: DataFrame, first: DataFrame) -> DataFrame:
@@ -289,28 +330,35 @@ def copies(pairs: DataFrame, first: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            cols = [[x.values.to_numpy() for x in batch.column(k)] for k in range(2, 6)]
-            keep = pa.array([agrees(*x) for x in zip(*cols, strict=True)], pa.bool_())
+            keep = []
+            for k in range(batch.num_rows):
+                keep.append(agrees(*(batch.column(c)[k].values.to_numpy() for c in range(2, 6))))
+            keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["src", "dst"])
 
     a, b = (first.toDF(x, f"bits_{x}", f"place_{x}") for x in ("src", "dst"))
-    return pairs.join(a, "src").join(b, "dst").select("src", "dst", "bits_src", "place_src", "bits_dst", "place_dst").mapInArrow(run, "src long, dst long")
+    return spread_join(spread_join(pairs, b, "dst", "src"), a, "src", "dst").select("src", "dst", "bits_src", "place_src", "bits_dst", "place_dst").mapInArrow(run, "src long, dst long")
 
 
 def image_copies(images: DataFrame, id_col: str = "id", image_col: str = "image") -> DataFrame:
     """id, n_features and component_id (the smallest id among the copies that are linked) for every row of images.
 
-    Images of equal pixels are one before anything is matched. Null, empty and unreadable images have no features and are copies
-    of none. A null id ranks last and stays null. Repeated rows come back as often as they came. Other columns are not read.
+    Images of equal pixels are one before anything is matched; their name is a number of its own, never an id. Then each image is
+    held against the smallest one with which it shares most, which makes groups of most copies, and last all pairs between
+    groups that could agree are compared. Null, empty and unreadable images have no features and are copies of none. A null id
+    stays null and ranks last: a group's component_id is null only if all its ids are. Repeated rows come back as often as
+    they came. Other columns are not read.
     """
     rows = staged(features(images, id_col, image_col))
-    own = staged(rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("node")))
-    # One image of each digest: those of the smallest id, which repeated rows share.
-    first = staged(rows.select("id", "digest", "bits", "place").join(own.withColumnRenamed("node", "id"), ["digest", "id"]).where(F.size("bits") >= VOTES).dropDuplicates(["digest"]).select(F.col("id").alias("node"), "bits", "place"))
-    agreed = copies(candidates(first), first)
-    linked = connected_components(agreed).withColumnsRenamed({"node": "n", "component": "c"})
-    named = own.select("digest", "node").join(linked, F.col("node") == F.col("n"), "left").select("digest", F.coalesce("c", "node").alias("component"))
-    return rows.join(named, "digest", "left").select(id_back("id").alias("id"), "n_features", id_back("component").alias("component_id")).withColumn("component_id", F.coalesce("component_id", "id"))
+    own = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("least"), F.any_value("bits").alias("bits"), F.any_value("place").alias("place"))
+    own = staged(own.withColumn("node", F.monotonically_increasing_id()))
+    first = own.where(F.size("bits") >= VOTES).select("node", "bits", "place")
+    near = staged(copies(leaders(first), first))
+    groups = connected_components(near)
+    linked = connected_components(near.unionByName(copies(candidates(first, groups), first)))
+    rooted = own.select("digest", "node", "least").join(linked, "node", "left").withColumn("root", F.coalesce("component", "node"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("digest", "component_id")
+    return rows.join(named, "digest", "left").select("id", "n_features", F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 #: Pixels of a row, rows of a line, bytes of a pixel.
