@@ -67,7 +67,8 @@ def test_each_link_is_found(spark, crowded):
     packed = [(i, m[0].view(np.int64).tolist(), (m[1] << 40 | m[2] << 16 | m[3] << 8 | m[4]).tolist()) for i, m in marks.items()]
     first = spark.createDataFrame(packed, "node long, bits array<long>, place array<long>")
     for hot in (0, media.HOT):
-        assert {(r.src, r.dst) for r in media.copies(media.candidates(first, hot=hot), first).collect()} == links
+        shared, near = media.shared_descriptors(first, hot)
+        assert {(r.src, r.dst) for r in media.copies(media.candidates(shared, near), first).collect()} == links
 
 
 def test_small_copies_link(spark):

@@ -2,8 +2,8 @@
 
 An image is a PNG (8-bit grey, RGB or either with alpha, not interlaced) or a binary PGM or PPM. Corners are found at several
 scales; the patch around each is turned by its intensity centroid's angle and compared at fixed pairs of places, which gives 64
-bits. Descriptors are cut into three bands, so that two that differ in at most two bits agree in one; images
-with a match are compared feature by feature, save where too few of the features of one could match. The matched features
+bits. Distinct descriptors are cut into three bands, so that two that differ in at most two bits agree in one; images that hold
+near descriptors are compared feature by feature, save where too few of the features of one could match. The matched features
 of two images vote for one change of scale, angle and place; enough agreeing votes make them copies.
 """
 
@@ -16,7 +16,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import spread_join, staged
@@ -208,83 +208,100 @@ def _cells(entries: np.ndarray) -> np.ndarray:
     return (entries.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SKETCH)).astype(np.int64)
 
 
-def table_rows(first: DataFrame, hot: int = HOT) -> DataFrame:
-    """Rows (entry, bits, node, seeks): each distinct descriptor of an image in every table that could hold one near it.
+def descriptors(first: DataFrame) -> DataFrame:
+    """Rows (bits, node, m): each distinct descriptor of an image and the number of its features that have it."""
 
-    VOTES matches are of as many features of an image, so one at least is not among any VOTES - 1 of them; those in the fullest
-    entries, by a sketch of counts, do not seek. That choice moves the cost and never the copies found. Full entries are
-    split by each third of a descriptor's other bits: of two within BITS bits one third agrees.
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                bits, sizes = part.column(1).flatten().to_numpy(), np.diff(part.column(1).offsets.to_numpy())
+                both, m = np.unique(np.stack([np.repeat(np.arange(part.num_rows), sizes), bits]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(both[1]), pa.array(part.column(0).to_numpy()[both[0]]), pa.array(m.astype(np.int32))], names=["bits", "node", "m"])
+
+    return first.select("node", "bits").mapInArrow(run, "bits long, node long, m int")
+
+
+def near_bits(distinct: DataFrame, hot: int = HOT) -> DataFrame:
+    """Pairs (x, y), x < y, of the distinct descriptors (bits) that differ in at most BITS bits: the Hamming-table join.
+
+    Full entries, by a sketch of counts, are split by each third of a descriptor's other bits: of two within BITS bits one
+    third agrees too, as the BITS + 1 parts of any cut of them must.
     """
 
     def count(batches):
         total = np.zeros(1 << SKETCH, np.int64)
         for batch in batches:
-            for own in batch.column(0):
-                total += np.bincount(_cells(_entries(np.unique(own.values.to_numpy()))).ravel(), minlength=1 << SKETCH)
+            total += np.bincount(_cells(_entries(batch.column(0).to_numpy())).ravel(), minlength=1 << SKETCH)
         at = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
     load = np.zeros(1 << SKETCH, np.int64)
-    for cell, n in first.select("bits").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # at most 1 << SKETCH rows
+    for cell, n in distinct.select("bits").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # at most 1 << SKETCH rows
         load[cell] = n
 
     def deal(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                bits, sizes = part.column(1).flatten().to_numpy(), np.diff(part.column(1).offsets.to_numpy())
-                owner = np.repeat(np.arange(part.num_rows), sizes)
-                order = np.lexsort((-load[_cells(_entries(bits))].sum(axis=0), owner))
-                seeks = np.empty(len(bits), bool)
-                seeks[order] = np.arange(len(bits)) - np.repeat(np.cumsum(sizes) - sizes, sizes) >= VOTES - 1
-                # One row for each distinct descriptor of an image; it seeks if one of its features does.
-                order = np.lexsort((~seeks, bits, owner))
-                keep = order[np.concatenate([[True], (bits[order[1:]] != bits[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])])] if len(order) else order
-                bits, node, seeks = bits[keep], part.column(0).to_numpy()[owner[keep]], seeks[keep]
-                entries = _entries(bits)
-                full, keys, at = load[_cells(entries)] > hot, [], []
-                for band in range(BANDS):
-                    own = entries[band] << 20
-                    keys.append(own[~full[band]])
-                    at.append(np.nonzero(~full[band])[0])
-                    x, y = (entries[(band + k) % BANDS] & (1 << WIDTH) - 1 for k in (1, 2))
-                    rest, third = x << WIDTH | y, -(-2 * WIDTH // 3)
-                    for k in range(3):
-                        keys.append((own | k + 1 << 16 | rest >> k * third & (1 << third) - 1)[full[band]])
-                        at.append(np.nonzero(full[band])[0])
-                at = np.concatenate(at)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(bits[at]), pa.array(node[at]), pa.array(seeks[at])], names=["entry", "bits", "node", "seeks"])
-
-    return first.select("node", "bits").mapInArrow(deal, "entry long, bits long, node long, seeks boolean")
-
-
-def leaders(first: DataFrame) -> DataFrame:
+            bits = batch.column(0).to_numpy()
+            entries = _entries(bits)
+            full, keys, at = load[_cells(entries)] > hot, [], []
+            for band in range(BANDS):
+                own = entries[band] << 20
+                keys.append(own[~full[band]])
+                at.append(np.nonzero(~full[band])[0])
+                x, y = (entries[(band + k) % BANDS] & (1 << WIDTH) - 1 for k in (1, 2))
+                rest, third = x << WIDTH | y, -(-2 * WIDTH // 3)
+                for k in range(3):
+                    keys.append((own | k + 1 << 16 | rest >> k * third & (1 << third) - 1)[full[band]])
+                    at.append(np.nonzero(full[band])[0])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(bits[np.concatenate(at)])], names=["entry", "bits"])
+
+    table = distinct.select("bits").mapInArrow(deal, "entry long, bits long")
+    a, b = table.alias("a"), table.alias("b")
+    near = a.join(b, (F.col("a.entry") == F.col("b.entry")) & (F.col("a.bits") < F.col("b.bits")) & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= BITS))
+    return near.select(F.col("a.bits").alias("x"), F.col("b.bits").alias("y")).distinct()
+
+
+def shared_descriptors(first: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """Rows (bits, node, seeks) of the descriptors that another image holds, or one within BITS bits; and pairs (x, y) of these, x = y too.
+
+    A link takes VOTES features of either image, so one at least is not among any VOTES - 1 of them: an image seeks by its
+    features but the VOTES - 1 that most images hold, and not at all if it has no more than these. That choice moves the
+    cost and never the links found.
+    """
+    own = descriptors(first)
+    distinct = staged(own.groupBy("bits").agg(F.count("*").alias("n")))
+    near = staged(near_bits(distinct, hot))
+    both = near.select("x", "y").unionByName(near.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    held = distinct.join(both.groupBy(F.col("x").alias("bits")).agg(F.count("*").alias("others")), "bits", "left").where("n > 1 OR others > 0").select("bits", "n")
+    rank = Window.partitionBy("node").orderBy(F.col("n").desc(), "bits")
+    rows = staged(own.join(held, "bits").select("bits", "node", (F.sum("m").over(rank) >= VOTES).alias("seeks"), "n"))
+    return rows.drop("n"), both.unionByName(held.where("n > 1").select(F.col("bits").alias("x"), F.col("bits").alias("y")))
+
+
+def leaders(rows: DataFrame) -> DataFrame:
     """Pairs (src, dst): to each image, of the smallest images that hold one of its descriptors, the one with which it shares most."""
-    held = first.select("node", F.explode(F.array_distinct("bits")).alias("bits"))
-    least = held.groupBy("bits").agg(F.min("node").alias("src"), F.max("node").alias("last")).where("src != last").select("bits", "src")
-    shared = held.join(least, "bits").where("src != node").groupBy("node", "src").agg(F.count("*").alias("n"))
+    least = rows.groupBy("bits").agg(F.min("node").alias("src"), F.max("node").alias("last")).where("src != last").select("bits", "src")
+    shared = spread_join(rows, least, "bits", "node").where("src != node AND seeks").groupBy("node", "src").agg(F.count("*").alias("n"))
     return shared.groupBy("node").agg(F.max_by("src", F.struct("n", -F.col("src"))).alias("src")).select("src", F.col("node").alias("dst"))
 
 
-def candidates(first: DataFrame, groups: DataFrame | None = None, hot: int = HOT) -> DataFrame:
+def candidates(rows: DataFrame, near: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """Pairs (src, dst), src < dst, that share a descriptor within BITS bits, but those within one of the groups (node, component).
 
     Among them are all pairs of VOTES matches or more between groups. Descriptors that a whole group holds are one row for
     the group, so that a group of many copies costs no more than its distinct descriptors; images are named again only for
     the descriptors that two groups share.
     """
-    rows = table_rows(first, hot)
-    if groups is None:
-        rows = staged(rows.withColumn("component", F.col("node")))
-    else:
-        rows = staged(rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    a = rows.where("seeks").groupBy("entry", F.col("bits").alias("x"), F.col("component").alias("a")).agg(F.lit(1).alias("one")).drop("one")
-    b = rows.groupBy("entry", F.col("bits").alias("y"), F.col("component").alias("b")).agg(F.lit(1).alias("one")).drop("one")
-    met = a.join(b, "entry").where((F.col("a") != F.col("b")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= BITS)).select("x", "a", "y", "b").distinct()
-    nodes = rows.groupBy("component", "bits", "node").agg(F.max("seeks").alias("seeks"))
-    src = nodes.where("seeks").select(F.col("component").alias("a"), F.col("bits").alias("x"), F.col("node").alias("p"))
-    dst = nodes.select(F.col("component").alias("b"), F.col("bits").alias("y"), F.col("node").alias("q"))
-    # Either of two images may be the one that seeks: one of its features that match is not among the fullest.
+    named = rows.withColumn("component", F.col("node")) if groups is None else rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = staged(named)
+    held = named.groupBy("bits", "component").agg(F.max("seeks").alias("seeks"))
+    a = held.where("seeks").select(F.col("bits").alias("x"), F.col("component").alias("a"))
+    b = held.select(F.col("bits").alias("y"), F.col("component").alias("b"))
+    met = near.join(a, "x").join(b, "y").where("a != b")
+    src = named.where("seeks").select(F.col("component").alias("a"), F.col("bits").alias("x"), F.col("node").alias("p"))
+    dst = named.select(F.col("component").alias("b"), F.col("bits").alias("y"), F.col("node").alias("q"))
+    # Either of two images may be the one that seeks.
     return met.join(src, ["a", "x"]).join(dst, ["b", "y"]).select(F.least("p", "q").alias("src"), F.greatest("p", "q").alias("dst")).distinct()
 
 
@@ -349,16 +366,18 @@ def image_copies(images: DataFrame, id_col: str = "id", image_col: str = "image"
     stays null and ranks last: a group's component_id is null only if all its ids are. Repeated rows come back as often as
     they came. Other columns are not read.
     """
-    rows = staged(features(images, id_col, image_col))
-    own = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("least"), F.any_value("bits").alias("bits"), F.any_value("place").alias("place"))
-    own = staged(own.withColumn("node", F.monotonically_increasing_id()))
-    first = own.where(F.size("bits") >= VOTES).select("node", "bits", "place")
-    near = staged(copies(leaders(first), first))
-    groups = connected_components(near)
-    linked = connected_components(near.unionByName(copies(candidates(first, groups), first)))
-    rooted = own.select("digest", "node", "least").join(linked, "node", "left").withColumn("root", F.coalesce("component", "node"))
+    rows = staged(features(images, id_col, image_col).withColumn("row", F.monotonically_increasing_id()))
+    slim = rows.where("digest IS NOT NULL").select("digest", "id", "row")
+    own = staged(slim.groupBy("digest").agg(F.min("id").alias("least"), F.min("row").alias("node")))
+    first = rows.where(F.size("bits") >= VOTES).join(own.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "bits", "place")
+    shared, near = shared_descriptors(first)
+    agreed = staged(copies(leaders(shared), first))
+    groups = connected_components(agreed)
+    linked = connected_components(agreed.unionByName(copies(candidates(shared, near, groups), first)))
+    rooted = own.join(linked, "node", "left").withColumn("root", F.coalesce("component", "node"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("digest", "component_id")
-    return rows.join(named, "digest", "left").select("id", "n_features", F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    known = spread_join(rows.where("digest IS NOT NULL").select("digest", "id", "row", "n_features"), named, "digest", "row").select("id", "n_features", "component_id")
+    return known.unionByName(rows.where("digest IS NULL").select("id", "n_features", F.col("id").alias("component_id")))
 
 
 #: Pixels of a row, rows of a line, bytes of a pixel.
