@@ -226,7 +226,7 @@ def test_simhash(spark, small):
         want = [(back(i), p, back(g)) for (i, _), p, g in zip(own, prints, groups, strict=True)]
         assert ordered((r.doc_id, r.fp % (1 << 64), r.component_id) for r in got) == ordered(want)
     assert simhash.simhash_groups(edge.empty(spark)).count() == 0
-    kept = simhash.one_of_each(edge.frame(spark), 5, tables=4)
+    kept = simhash.one_of_each(edge.frame(spark))
     assert kept.columns == edge.frame(spark).columns
     assert [r.doc_id for r in kept.where("doc_id IN (11, 12)").collect()] == [11]
 

@@ -1,9 +1,11 @@
 """The pipeline, stage by stage, against plain versions of each."""
 
+import re
 import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -24,8 +26,19 @@ def plain_score(model, text):
     return sum(w * y for w, (_, y) in zip(weights, cos, strict=True)) / sum(weights)
 
 
+def shingle_set(text, size=5):
+    w = re.sub("[A-Z]", lambda m: m[0].lower(), text).translate({ord(c): " " for c in "\t\n\x0b\x0c\r"}).split(" ")
+    w = [x for x in w if x]
+    return {tuple(w[k : k + size]) for k in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
 def near_groups(rows):
-    prints = [simhash.fingerprint(t.encode(), corpus_pipeline.SHINGLE_WORDS, corpus_pipeline.TABLES) for _, t in rows]
+    """The ids that stay, by all pairs."""
+    sets = [shingle_set(t) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -35,7 +48,7 @@ def near_groups(rows):
 
     for a in range(len(rows)):
         for b in range(a):
-            if any((int(p) ^ int(q)) & ((1 << 64) - 1) and ((int(p) ^ int(q)) & ((1 << 64) - 1)).bit_count() <= 2 or p == q for p, q in zip(prints[a], prints[b], strict=True)):
+            if jaccard(sets[a], sets[b]) >= corpus_pipeline.SIMILARITY:
                 root[find(a)] = find(b)
     least = {}
     for k, (i, _) in enumerate(rows):
@@ -43,9 +56,46 @@ def near_groups(rows):
     return {i for k, (i, _) in enumerate(rows) if least[find(k)] == i}
 
 
-def test_first_table_is_the_plain_fingerprint(rows):
+def test_fingerprint_is_the_plain_one(rows):
     for t in list(rows.values())[:40]:
-        assert int(simhash.fingerprint(t.encode(), 5, 4)[0]) % (1 << 64) == plain_print(t, 5)
+        assert simhash.fingerprint(t.encode(), 5) % (1 << 64) == plain_print(t, 5)
+
+
+def edited(text, similarity, rng):
+    """A copy with words replaced until the shingle similarity is about that asked for, never below it."""
+    words, base = text.split(), shingle_set(text)
+    best = text
+    for k in range(len(words)):
+        words[int(rng.integers(len(words)))] = f"edit{k}"
+        got = " ".join(words)
+        if jaccard(base, shingle_set(got)) < similarity:
+            return best
+        best = got
+    return best
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9, 0.95])
+def test_recall_of_planted_copies(spark, similarity):
+    """Copies of texts of 150 words and more, edited down to a similarity, are dropped: 0.95 of them at least."""
+    docs = pq.read_table("/root/testdata/sf0.01/documents.parquet")
+    texts, rng = [t for t in docs["text"].to_pylist() if 150 <= len(t.split()) <= 3000], np.random.default_rng(5)
+    seen, base = set(), []
+    for t in texts:  # texts that have no near copy among themselves, by their rarest shingles
+        own = shingle_set(t)
+        if not own & seen:
+            base.append(t)
+            seen |= own
+    base = base[:120]
+    rows = [(k, t) for k, t in enumerate(base)] + [(1000 + k, edited(t, similarity, rng)) for k, t in enumerate(base)]
+    stay = {r.doc_id for r in simhash.one_of_each(edge.frame(spark, rows)).collect()}
+    assert stay >= set(range(len(base)))
+    assert len(stay) - len(base) <= 0.05 * len(base), (similarity, len(base))
+
+
+def test_blocks_of_pairs_are_all_pairs(spark):
+    rows = spark.createDataFrame([(k % 3, k) for k in range(60)] + [(9, 1)], "key long, item long")
+    got = [tuple(r) for r in simhash.cross_pairs(rows, per=4).collect()]
+    assert sorted(got) == sorted((k, a, b) for k in range(3) for a in range(60) for b in range(a + 1, 60) if a % 3 == b % 3 == k)
 
 
 @pytest.fixture(scope="module")

@@ -6,6 +6,10 @@ most 2 apart, and then both points lie within 1 of a common grid cell. Each dist
 cells within 1 of its point; cells with one fingerprint are left. In the others an exact check follows: two fingerprints
 are at most 2 bits apart if and only if some 64-bit value is within 1 bit of both, and that value's own point is the shared
 cell. No value is within 1 bit of more than 65 fingerprints, so no group is large, and a star of links in each stands for all its pairs.
+
+Two texts of shingle similarity 0.8 differ in about 10 of 64 bits, and no grid of segments bears that radius. ``near_groups``, which
+asks for a similarity and not for bits, therefore seeks partners by min-hash bands of the same shingle hashes too, and holds every
+pair, of the grid and of the bands, against the exact similarity of the two texts' shingle sets.
 """
 
 from __future__ import annotations
@@ -13,64 +17,76 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import id_back, id_of, slices, staged, text_of
+from tidewire.llm.common import slices, spread_join, staged, text_of
 from tidewire.operators.graph import connected_components
 
 SEED = 42
-SEGMENTS, WIDTH = 16, 4
+SEGMENTS, WIDTH, BITS = 16, 4, 2
 #: Shingles hashed at once.
 CHUNK = 1 << 16
+#: Min-hash bands and the hashes in each: two texts of similarity 0.8 share one with a probability of 0.991, of 0.9 of all but 1e-4.
+BANDS, ROWS = 12, 5
+SIMILARITY = 0.8
+#: Groups of one band in a block of its pairs.
+BLOCK = 1024
+_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 
 
-def remixed(h: np.ndarray, table: int) -> np.ndarray:
-    """The hashes of another table, made from the first's; table 0 has them as they are."""
-    if not table:
-        return h
-    with np.errstate(over="ignore"):
-        h = h * np.uint64(0x9E3779B97F4A7C15 + 2 * table)
-        h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ h >> np.uint64(32)
+def words_of(text: bytes) -> list[bytes]:
+    """Words parted by ASCII white space, A-Z lower-cased."""
+    return text.lower().split()
 
 
-def fingerprint(text: bytes, size: int = 3, tables: int = 1) -> np.ndarray:
-    """A fingerprint for each table, as signed longs. Words are parted by ASCII white space, A-Z is lower-cased."""
-    w = text.lower().split()
-    if not w:
-        return np.zeros(tables, np.int64)
+def shingle_hashes(w: list[bytes], size: int):
+    """XXH64 of the shingles in chunks, repeats included, as big-endian bytes; fewer words than size are one shingle."""
     h, join = xxhash.xxh64_digest, b" ".join
-    n = max(1, len(w) - size + 1)
-    ones = np.zeros((tables, 64), np.int64)
-    for at in range(0, n, CHUNK):
+    if w and len(w) < size:
+        yield h(join(w), SEED)
+    for at in range(0, len(w) - size + 1, CHUNK):
         own = w[at : at + CHUNK + size - 1]
-        packed = b"".join([h(join(s), SEED) for s in zip(*(own[k:] for k in range(size)), strict=False)]) if len(w) >= size else h(join(w), SEED)
-        hashes = np.frombuffer(packed, ">u8").astype(np.uint64) if tables > 1 else None
-        for t in range(tables):
-            bits = remixed(hashes, t).astype(">u8").view(np.uint8) if t else np.frombuffer(packed, np.uint8)
-            ones[t] += np.unpackbits(bits.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
-    return np.packbits(2 * ones > n, axis=1).view(">i8").ravel().astype(np.int64)
+        yield b"".join([h(join(s), SEED) for s in zip(*(own[k:] for k in range(size)), strict=False)])
+
+
+def print_and_bands(w: list[bytes], size: int, bands: bool) -> tuple[int, list[int]]:
+    """The fingerprint as a signed long and, if asked for, the keys of the min-hash bands."""
+    ones, n = np.zeros(64, np.int64), 0
+    least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
+    for packed in shingle_hashes(w, size):
+        bits = np.frombuffer(packed, np.uint8).reshape(-1, 8)
+        n += len(bits)
+        ones += np.unpackbits(bits, axis=1).sum(axis=0, dtype=np.int32)
+        if bands:
+            own = np.frombuffer(packed, ">u8").astype(np.uint64)
+            with np.errstate(over="ignore"):
+                for at in range(0, len(own), 4096):
+                    least = np.minimum(least, (own[at : at + 4096] * _ODD[:, None]).min(axis=1))
+    if not n:
+        return 0, []
+    fp = int(np.packbits(2 * ones > n).view(">i8")[0])
+    return fp, [xxhash.xxh64_intdigest(x.tobytes(), k) - (1 << 63) for k, x in enumerate(least.reshape(BANDS, ROWS))] if bands else []
+
 
+def fingerprint(text: bytes, size: int = 3) -> int:
+    """The fingerprint as a signed long; a text without words has zero."""
+    return print_and_bands(words_of(text), size, False)[0]
 
-def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", tables: int = 1, digest: bool = False) -> DataFrame:
-    """Rows (id, fps): one for each row of docs, with a fingerprint for each table; with digest, that of the text too."""
+
+def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, fp): one for each row of docs."""
 
     def run(batches):
         for batch in slices(batches):
-            seen: dict[bytes, list[int]] = {}
+            seen: dict[bytes, int] = {}
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for x in texts:
                 if x not in seen:
-                    seen[x] = fingerprint(x, size, tables).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([seen[x] for x in texts], pa.list_(pa.int64()))], names=["id", "fps"]) if not digest else pa.RecordBatch.from_arrays([batch.column(0), pa.array([seen[x] for x in texts], pa.list_(pa.int64())), batch.column(2)], names=["id", "fps", "digest"])
-
-    own = [_digest(text_col).alias("digest")] if digest else []
-    return docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text"), *own).mapInArrow(run, "id long, fps array<long>" + (", digest binary" if digest else ""))
-
+                    seen[x] = fingerprint(x, size)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([seen[x] for x in texts], pa.int64())], names=["id", "fp"])
 
-def _digest(text_col: str) -> Column:
-    return F.unhex(F.md5(text_of(text_col)))
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(run, "id long, fp long")
 
 
 def _nibble(col: Column, i: int) -> Column:
@@ -83,17 +99,17 @@ def point(fp: Column) -> Column:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """Links (table, src, dst) between distinct (table, fp) at most 2 bits apart: stars whose closure is that of all the pairs."""
-    fp = prints.select("table", "fp", point(F.col("fp")).alias("p"))
+    """Links (src, dst) between distinct fp at most 2 bits apart: stars whose closure is that of all the pairs."""
+    fp = prints.select("fp", point(F.col("fp")).alias("p"))
     near = [F.struct(F.col("p").alias("cell"), F.lit(-1).alias("segment"), F.lit(0).alias("step"))]
     for i in range(SEGMENTS):
         count = F.shiftrightunsigned("p", 3 * i).bitwiseAND(F.lit(7).cast("long"))
         one = F.lit(1 << (3 * i)).cast("long")
         near += [F.when(count < WIDTH, F.struct((F.col("p") + one).alias("cell"), F.lit(i).alias("segment"), F.lit(1).alias("step")))]
         near += [F.when(count > 0, F.struct((F.col("p") - one).alias("cell"), F.lit(i).alias("segment"), F.lit(-1).alias("step")))]
-    dealt = fp.select("table", "fp", F.explode(F.filter(F.array(*near), lambda x: x.isNotNull())).alias("x")).select("table", "fp", "x.cell", "x.segment", "x.step")
-    full = dealt.groupBy("table", "cell").agg(F.count("*").alias("n")).where("n > 1").select("table", "cell")
-    met = dealt.join(full, ["table", "cell"], "left_semi")
+    dealt = fp.select("fp", F.explode(F.filter(F.array(*near), lambda x: x.isNotNull())).alias("x")).select("fp", "x.cell", "x.segment", "x.step")
+    full = dealt.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
+    met = dealt.join(full, "cell", "left_semi")
     # The values within 1 bit of a fingerprint whose point is the cell: the fingerprint itself, or a bit of one segment set or cleared.
     flips = []
     for b in range(WIDTH):
@@ -101,46 +117,134 @@ def links(prints: DataFrame) -> DataFrame:
         is_set = F.col("fp").bitwiseAND(bit) != 0
         flips.append(F.when((F.col("segment") >= 0) & (is_set == (F.col("step") < 0)), F.col("fp").bitwiseXOR(bit)))
     middle = F.when(F.col("segment") < 0, F.array(F.col("fp"))).otherwise(F.filter(F.array(*flips), lambda x: x.isNotNull()))
-    groups = met.select("table", "fp", F.explode(middle).alias("middle")).groupBy("table", "middle").agg(F.collect_set("fp").alias("near")).where(F.size("near") > 1)
-    star = groups.select("table", F.array_min("near").alias("src"), F.explode("near").alias("dst"))
-    return star.where("src != dst").distinct()
+    groups = met.select("fp", F.explode(middle).alias("middle")).groupBy("middle").agg(F.collect_set("fp").alias("near")).where(F.size("near") > 1)
+    star = groups.select(F.array_min("near").alias("src"), F.explode("near").alias("dst"))
+    return star.where((F.col("src") != F.col("dst")) & (F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= BITS)).distinct()
 
 
-def simhash_groups(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", tables: int = 1) -> DataFrame:
+def simhash_groups(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp and component_id (the smallest id reachable by links of at most 2 bits) for every row of docs.
 
-    With more tables two documents link if their fingerprints of any one table do; fp is the first. Null, empty and blank texts
-    have fingerprint zero and link like any other. Equal fingerprints are one group before any link is sought. A null id
-    ranks last and stays null, alone as component_id too. Rows that repeat an id and a text come back as often; rows of one id
-    and different texts are linked by their texts alone. Other columns are not read.
+    Null, empty and blank texts have fingerprint zero and link like any other. Equal fingerprints are one group before any
+    link is sought. A null id stays null and ranks last: component_id is null only where no row of the group has an id. Rows that
+    repeat an id and a text come back as often; rows of one id and different texts are linked by their texts alone. Other
+    columns are not read.
+    """
+    rows = staged(fingerprints(docs, size, id_col, text_col))
+    nodes = staged(rows.groupBy("fp").agg(F.min("id").alias("least")))
+    linked = connected_components(links(nodes)).withColumnsRenamed({"node": "fp", "component": "root"})
+    rooted = nodes.join(linked, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    return spread_join(rows, named, "fp", "id").select(F.col("id").alias("doc_id"), "fp", "component_id")
+
+
+def sketched(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """Rows (id, digest, words, fp, bands): the text's digest, that of its lower-cased words, its fingerprint and band keys."""
+
+    def run(batches):
+        for batch in slices(batches):
+            seen: dict[bytes, tuple] = {}
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            for x in texts:
+                if x not in seen:
+                    w = words_of(x)
+                    seen[x] = (xxhash.xxh3_128_digest(b" ".join(w)), *print_and_bands(w, size, True))
+            got = [seen[x] for x in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.list_(pa.int64()))], names=["id", "digest", "words", "fp", "bands"])
+
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"), text_digest(text_col).alias("digest")).mapInArrow(run, "id long, digest binary, words binary, fp long, bands array<long>")
+
+
+def text_digest(text_col: str) -> Column:
+    return F.unhex(F.md5(text_of(text_col)))
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets of shingle hashes (sorted, distinct) are as similar as that, by Jaccard's index."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Those of the pairs (src, dst) whose texts' sets of shingles are similar enough."""
+
+    def run(batches):
+        last: tuple = (None, None)
+
+        def shingles(text: bytes) -> np.ndarray:
+            return np.unique(np.frombuffer(b"".join(shingle_hashes(words_of(text), size)), ">u8"))
+
+        for batch in batches:
+            keep = []
+            for k in range(batch.num_rows):
+                src, a, b = batch.column(0)[k].as_py(), batch.column(2)[k], batch.column(3)[k]
+                if last[0] != src:
+                    last = (src, shingles(a.as_py()))
+                keep.append(similar(last[1], shingles(b.as_py()), similarity))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["src", "dst"])
+
+    a, b = (texts.select(F.col("node").alias(x), F.col("text").cast("binary").alias(f"{x}_text")) for x in ("src", "dst"))
+    both = spread_join(spread_join(pairs, b, "dst", "src"), a, "src", "dst")
+    return both.select("src", "dst", "src_text", "dst_text").mapInArrow(run, "src long, dst long")
+
+
+def cross_pairs(rows: DataFrame, per: int = BLOCK) -> DataFrame:
+    """Pairs (key, a, b), a < b, of the items (key, item) of one key; keys of more than per items are paired in blocks."""
+    wide = rows.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / per).cast("int").alias("parts")).where("n > 1").select("key", "parts")
+    own = rows.join(wide, "key").withColumn("block", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", "item", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    x, y = own.select("key", "i", "j", F.col("item").alias("a"), F.col("block").alias("p")), own.select("key", "i", "j", F.col("item").alias("b"), F.col("block").alias("q"))
+    # A block meets itself where i = j, and each pair of blocks once elsewhere.
+    return x.join(y, ["key", "i", "j"]).where("a < b AND (p != q OR i = j)").select("key", "a", "b")
+
+
+def near_groups(docs: DataFrame, size: int = 5, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (digest, root, id): for each id and text digest of docs, the group of its text; nodes are distinct word sequences.
+
+    First each text is held against the one partner that the grid or most of its bands name: that makes groups of most
+    copies, however many. Then the pairs of one band between different groups are held against each other, so that no link
+    between texts that meet in a band is lost and no group is ever spread into its pairs.
     """
-    rows = staged(fingerprints(docs, size, id_col, text_col, tables))
-    roots = _roots(rows, tables)
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(least, "root").select("fps", "component_id")
-    return rows.join(named, "fps").select(id_back("id").alias("doc_id"), F.col("fps")[0].alias("fp"), id_back("component_id").alias("component_id"))
-
-
-def _roots(rows: DataFrame, tables: int) -> DataFrame:
-    """Rows (fps, least, root): the least id of equal fingerprints and the name of their group."""
-    nodes = staged(rows.groupBy("fps").agg(F.min("id").alias("least")))
-    held = nodes.select("fps", F.posexplode("fps").alias("table", "fp"))
-    prints = staged(held.groupBy("table", "fp").agg(F.min("fps").alias("node")))
-    near = links(prints.select("table", "fp"))
-    a, b = prints.withColumnsRenamed({"fp": "src", "node": "a"}), prints.withColumnsRenamed({"fp": "dst", "node": "b"})
-    edges = near.join(a, ["table", "src"]).join(b, ["table", "dst"]).select("a", "b")
-    if tables > 1:  # documents that share the fingerprint of one table
-        edges = edges.unionByName(held.join(prints, ["table", "fp"]).select(F.col("node").alias("a"), F.col("fps").alias("b")).where("a != b"))
-    linked = connected_components(edges, "a", "b").withColumnsRenamed({"node": "fps", "component": "root"})
-    return nodes.join(linked, "fps", "left").select("fps", "least", F.coalesce("root", "fps").alias("root"))
-
-
-def one_of_each(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", tables: int = 1) -> DataFrame:
-    """One row of docs for each group, with all its columns: that of the smallest id, of these that of the smallest text digest.
-
-    A group whose rows all lack an id keeps one of them.
+    rows = staged(sketched(docs, size, id_col, text_col))
+    nodes = rows.groupBy("words").agg(F.min("digest").alias("digest"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"))
+    nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()))
+    banded = nodes.select("node", F.explode("bands").alias("key"))
+    met = banded.groupBy("key").agg(F.min("node").alias("src"), F.max("node").alias("last")).where("src != last").select("key", "src")
+    banded = staged(banded.join(met, "key"))  # bands that two texts share
+    best = banded.where("src != node").groupBy("node", "src").agg(F.count("*").alias("n")).groupBy("node").agg(F.max_by("src", F.struct("n", -F.col("src"))).alias("src"))
+    prints = staged(nodes.groupBy("fp").agg(F.min("node").alias("src")))
+    a, b = prints.toDF("src_fp", "x"), prints.toDF("dst_fp", "y")
+    grid = links(prints.select("fp")).toDF("src_fp", "dst_fp").join(a, "src_fp").join(b, "dst_fp").select(F.least("x", "y").alias("src"), F.greatest("x", "y").alias("dst"))
+    grid = grid.unionByName(nodes.select("node", "fp").join(prints, "fp").where("src != node").select("src", F.col("node").alias("dst")))
+    pairs = staged(best.select("src", F.col("node").alias("dst")).unionByName(grid).distinct())
+    asked = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).unionByName(banded.select("node")).distinct()
+    named = nodes.join(asked, "node", "left_semi").select("digest", "node")
+    texts = docs.select(text_digest(text_col).alias("digest"), text_of(text_col).alias("text")).join(named, "digest").groupBy("node").agg(F.any_value("text").alias("text"))
+    texts = staged(texts)
+    near = staged(verified(pairs, texts, size, similarity))
+    groups = connected_components(near)
+    held = staged(banded.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("item")))
+    apart = cross_pairs(held.select("key", "item").distinct())
+    x, y = held.select("key", F.col("item").alias("a"), F.col("node").alias("p")), held.select("key", F.col("item").alias("b"), F.col("node").alias("q"))
+    rest = apart.join(x, ["key", "a"]).join(y, ["key", "b"]).select(F.least("p", "q").alias("src"), F.greatest("p", "q").alias("dst")).distinct()
+    linked = connected_components(near.unionByName(verified(rest, texts, size, similarity)))
+    rooted = nodes.select("node", "words").join(linked, "node", "left").select("words", F.coalesce("component", "node").alias("root"))
+    return spread_join(rows.select("id", "digest", "words"), rooted, "words", "digest").select("digest", "root", "id")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each group of near copies, with all its columns: that of the smallest id, then of the smallest text digest.
+
+    Texts link from a Jaccard similarity of their sets of shingles on; texts of the same lower-cased words are alike, and
+    so are all without words. A group whose rows all lack an id keeps one of them, and rows of one id and different texts are
+    held apart. Of rows that repeat an id and a text, that of the smallest hash of all its columns stays.
     """
-    rows = staged(fingerprints(docs, size, id_col, text_col, tables, digest=True))
-    least = rows.join(_roots(rows, tables).select("fps", "root"), "fps").groupBy("root").agg(F.min(F.struct("id", "digest")).alias("x"))
-    stays = least.select(F.col("x.id").alias("__id"), F.col("x.digest").alias("__digest"))
-    return docs.withColumns({"__id": id_of(id_col), "__digest": _digest(text_col)}).join(stays, ["__id", "__digest"], "left_semi").dropDuplicates(["__id", "__digest"]).drop("__id", "__digest")
+    order = F.struct(F.col("id").isNull().alias("without"), "id", "digest")
+    least = near_groups(docs, size, similarity, id_col, text_col).groupBy("root").agg(F.min(order).alias("x"))
+    stays = least.select(F.struct("x.without", F.coalesce("x.id", F.lit(0)).alias("id"), "x.digest").alias("key"))
+    given = F.col(f"`{id_col}`").cast("long")
+    key = F.struct(given.isNull().alias("without"), F.coalesce(given, F.lit(0)).alias("id"), text_digest(f"`{text_col}`").alias("digest"))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key")).join(stays, "key", "left_semi")
+    first = own.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64(F.to_json("row"))))).where("n = 1")
+    return first.select([F.col(f"row.`{c}`").alias(c) for c in docs.columns])
