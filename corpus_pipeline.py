@@ -9,13 +9,13 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewire.llm import line_dedup, packing, quality, secret_scan, simhash
 from tidewire.llm.common import slices, staged, text_of
 
-#: Near copies: shingles of five words, linked where fingerprints of one of the tables differ in at most 2 of 64 bits, a
-#: similarity of 0.97.
-SHINGLE_WORDS, TABLES = 5, 4
+#: Near copies: shingles of five words, linked from a Jaccard similarity of their sets on.
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
 
 
 def _with_text(docs: DataFrame, text, columns: list[str]) -> DataFrame:
@@ -40,19 +40,19 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Documents without any words left are linked with one another, as equal texts are, and one of them stays.
     """
-    return simhash.one_of_each(docs, SHINGLE_WORDS, tables=TABLES)
+    return simhash.one_of_each(docs, SHINGLE_WORDS, SIMILARITY)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets, also those in encoded layers, are replaced by a mark; documents stay."""
 
     def run(batches):
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches):
             texts = [secret_scan.masked(x)[0] for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(1)], names=["text", "row"])
 
-    rows = docs.select(text_of("text").alias("__text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"))
-    out = rows.mapInArrow(run, f"text string, row {rows.schema['row'].dataType.simpleString()}")
+    rows = docs.select(text_of("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = rows.mapInArrow(run, StructType([StructField("text", StringType()), StructField("row", rows.schema["row"].dataType)]))
     return _with_text(out.select("text", *[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "text"]), F.col("text"), docs.columns)
 
 
