@@ -66,11 +66,22 @@ def test_each_link_is_found(spark, crowded):
     _, marks, links = crowded
     packed = [(i, m[0].view(np.int64).tolist(), (m[1] << 40 | m[2] << 16 | m[3] << 8 | m[4]).tolist()) for i, m in marks.items()]
     first = spark.createDataFrame(packed, "node long, bits array<long>, place array<long>")
-    for hot in (0, media.HOT):
-        shared, near = media.shared_descriptors(first, hot)
+    for features in (1, 1 << 27, 1 << 38):
+        shared, near = media.shared_descriptors(first, media.tables(features))
         assert {(r.src, r.dst) for r in media.copies(media.candidates(shared, near), first).collect()} == links
 
 
+def test_tables_hold_all_near_descriptors():
+    rng = np.random.default_rng(3)
+    for features, n in ((1, 3), (1 << 27, 6), (1 << 38, 10)):
+        masks = media.tables(features)
+        assert len(masks) == n
+        for _ in range(500):
+            x = int(rng.integers(1 << 63))
+            y = x ^ 1 << int(rng.integers(64)) ^ 1 << int(rng.integers(64))
+            assert any(x & m == y & m for m in masks)
+
+
 def test_small_copies_link(spark):
     """Seven corners a few pixels apart agree; of those five pixels apart only one would be left."""
     small = np.kron(np.random.default_rng(4).integers(0, 256, (8, 8)), np.ones((4, 4))).astype(np.uint8)

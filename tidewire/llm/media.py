@@ -2,16 +2,18 @@
 
 An image is a PNG (8-bit grey, RGB or either with alpha, not interlaced) or a binary PGM or PPM. Corners are found at several
 scales; the patch around each is turned by its intensity centroid's angle and compared at fixed pairs of places, which gives 64
-bits. Distinct descriptors are cut into three bands, so that two that differ in at most two bits agree in one; images that hold
+bits. Distinct descriptors go to Hamming tables, so that two that differ in at most two bits meet in one; images that hold
 near descriptors are compared feature by feature, save where too few of the features of one could match. The matched features
 of two images vote for one change of scale, angle and place; enough agreeing votes make them copies.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +24,10 @@ from pyspark.sql import functions as F
 from tidewire.llm.common import spread_join, staged
 from tidewire.operators.graph import connected_components
 
-#: Shrinking factors of the scales; radius of a patch; least corner response; bands of a descriptor; bits that may differ.
-SCALES, RADIUS, RESPONSE, BANDS, BITS = (1.0, 0.5), 7, 8e-3, 3, 2
-#: Bits of a band; bits of a cell's number in the sketch of entries.
-WIDTH, SKETCH = -(-64 // BANDS), 16
-#: An entry of more descriptors than HOT is split by its other bits; pairs of descriptors compared at once.
-HOT, BLOCK = 256, 1 << 18
+#: Shrinking factors of the scales; radius of a patch; least corner response; bits of two descriptors that may differ.
+SCALES, RADIUS, RESPONSE, BITS = (1.0, 0.5), 7, 8e-3, 2
+#: Features dealt, and pairs of features compared, at once, about.
+BLOCK = 1 << 18
 #: A corner is the greatest within so many pixels.
 APART = 2
 #: Votes for one placement that make a copy; cells of a vote in pixels and in angle steps.
@@ -198,14 +198,18 @@ def features(images: DataFrame, id_col: str, image_col: str) -> DataFrame:
     return images.select(F.col(id_col).cast("long").alias("id"), F.col(image_col).cast("binary").alias("image")).mapInArrow(run, "id long, digest binary, n_features long, bits array<long>, place array<long>")
 
 
-def _entries(bits: np.ndarray) -> np.ndarray:
-    """The table entries of descriptors, a row for each band, numbered through all bands."""
-    at = np.arange(BANDS, dtype=np.uint64)[:, None]
-    return (at << np.uint64(WIDTH) | bits.view(np.uint64) >> at * np.uint64(WIDTH) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
+def tables(features: int) -> list[int]:
+    """The masks of the Hamming tables: 64 bits in k blocks, and in each table all but BITS of them.
 
-
-def _cells(entries: np.ndarray) -> np.ndarray:
-    return (entries.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SKETCH)).astype(np.int64)
+    Two descriptors within BITS bits agree in all bits of one table, whatever k. More descriptors take more blocks, so that
+    entries of a table, which have 21 bits at k = 3, 32 at 4 and 38 at 5, hold a few descriptors at any size.
+    """
+    k = BITS + 1
+    while k < 8 and 64 * (k - BITS) // k < math.log2(max(features, 1)) - 3:
+        k += 1
+    cuts = [64 * i // k for i in range(k + 1)]
+    blocks = [(1 << cuts[i + 1]) - (1 << cuts[i]) for i in range(k)]
+    return [sum(blocks[i] for i in kept) for kept in combinations(range(k), k - BITS)]
 
 
 def descriptors(first: DataFrame) -> DataFrame:
@@ -222,61 +226,80 @@ def descriptors(first: DataFrame) -> DataFrame:
     return first.select("node", "bits").mapInArrow(run, "bits long, node long, m int")
 
 
-def near_bits(distinct: DataFrame, hot: int = HOT) -> DataFrame:
-    """Pairs (x, y), x < y, of the distinct descriptors (bits) that differ in at most BITS bits: the Hamming-table join.
-
-    Full entries, by a sketch of counts, are split by each third of a descriptor's other bits: of two within BITS bits one
-    third agrees too, as the BITS + 1 parts of any cut of them must.
+def _met(tag: np.ndarray, bits: np.ndarray, many: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (x, y), x <= y, of descriptors in one entry within BITS bits; x = y, in the first table, where two images hold it."""
+    entry = bits & masks[tag]
+    xs, ys = [bits[many & (tag == 0)]], [bits[many & (tag == 0)]]
+    left = np.arange(len(bits))
+    for d in range(1, len(bits)):  # each row with the d-th after it, as long as one entry has so many
+        left = left[left + d < len(bits)]
+        left = left[(entry[left] == entry[left + d]) & (tag[left] == tag[left + d])]
+        if not len(left):
+            break
+        a, b = bits[left], bits[left + d]
+        near = (np.bitwise_count((a ^ b).view(np.uint64)) <= BITS) & ((a != b) | (tag[left] == 0))
+        xs.append(np.minimum(a[near], b[near]))
+        ys.append(np.maximum(a[near], b[near]))
+    both = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)]), axis=1)
+    return both[0], both[1]
+
+
+def near_bits(first: DataFrame, masks: list[int]) -> DataFrame:
+    """Pairs (x, y), x <= y, of descriptors that differ in at most BITS bits and that two images hold: the Hamming-table join.
+
+    A descriptor goes to each table once for a block of images, so that one that a third of them hold is a few rows. Rows of
+    one entry lie together in one sorted partition and are compared there.
     """
-
-    def count(batches):
-        total = np.zeros(1 << SKETCH, np.int64)
-        for batch in batches:
-            total += np.bincount(_cells(_entries(batch.column(0).to_numpy())).ravel(), minlength=1 << SKETCH)
-        at = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
-
-    load = np.zeros(1 << SKETCH, np.int64)
-    for cell, n in distinct.select("bits").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # at most 1 << SKETCH rows
-        load[cell] = n
+    own = np.array(masks, np.uint64).view(np.int64)
 
     def deal(batches):
         for batch in batches:
-            bits = batch.column(0).to_numpy()
-            entries = _entries(bits)
-            full, keys, at = load[_cells(entries)] > hot, [], []
-            for band in range(BANDS):
-                own = entries[band] << 20
-                keys.append(own[~full[band]])
-                at.append(np.nonzero(~full[band])[0])
-                x, y = (entries[(band + k) % BANDS] & (1 << WIDTH) - 1 for k in (1, 2))
-                rest, third = x << WIDTH | y, -(-2 * WIDTH // 3)
-                for k in range(3):
-                    keys.append((own | k + 1 << 16 | rest >> k * third & (1 << third) - 1)[full[band]])
-                    at.append(np.nonzero(full[band])[0])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(bits[np.concatenate(at)])], names=["entry", "bits"])
-
-    table = distinct.select("bits").mapInArrow(deal, "entry long, bits long")
-    a, b = table.alias("a"), table.alias("b")
-    near = a.join(b, (F.col("a.entry") == F.col("b.entry")) & (F.col("a.bits") < F.col("b.bits")) & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= BITS))
-    return near.select(F.col("a.bits").alias("x"), F.col("b.bits").alias("y")).distinct()
-
-
-def shared_descriptors(first: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+            at, sizes = 0, np.diff(batch.column(1).offsets.to_numpy())
+            while at < batch.num_rows:
+                stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), BLOCK, side="right")) + at)
+                bits = batch.column(1).slice(at, stop - at).flatten().to_numpy()
+                node = np.repeat(np.arange(stop - at), sizes[at:stop])
+                bits, images = np.unique(np.unique(np.stack([bits, node]), axis=1)[0], return_counts=True)
+                for t in range(len(masks)):
+                    yield pa.RecordBatch.from_arrays([pa.array((np.full(len(bits), t) << 1 | (images > 1)).astype(np.int16)), pa.array(bits)], names=["tag", "bits"])
+                at = stop
+
+    def compare(batches):
+        held = None
+        for batch in batches:
+            now = np.stack([batch.column(0).to_numpy().astype(np.int64), batch.column(1).to_numpy()])
+            now = now if held is None else np.concatenate([held, now], axis=1)
+            entry = now[1] & own[now[0] >> 1]
+            last = np.flatnonzero((entry != entry[-1]) | (now[0] >> 1 != now[0, -1] >> 1)) if now.shape[1] else np.zeros(0, np.int64)
+            cut = int(last[-1]) + 1 if len(last) else 0  # the last entry may go on in the next batch
+            held = now[:, cut:]
+            x, y = _met(now[0, :cut] >> 1, now[1, :cut], (now[0, :cut] & 1) > 0, own)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+        if held is not None and held.shape[1]:
+            x, y = _met(held[0] >> 1, held[1], (held[0] & 1) > 0, own)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+
+    table = F.shiftright("tag", 1)
+    entry = F.col("bits").bitwiseAND(F.element_at(F.array(*[F.lit(int(m)) for m in own]), (table + 1).cast("int")))
+    dealt = first.select("node", "bits").mapInArrow(deal, "tag short, bits long")
+    parts = max(1, int(first.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.repartition(parts, table, entry).sortWithinPartitions(table, entry).mapInArrow(compare, "x long, y long").distinct()
+
+
+def shared_descriptors(first: DataFrame, masks: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows (bits, node, seeks) of the descriptors that another image holds, or one within BITS bits; and pairs (x, y) of these, x = y too.
 
     A link takes VOTES features of either image, so one at least is not among any VOTES - 1 of them: an image seeks by its
     features but the VOTES - 1 that most images hold, and not at all if it has no more than these. That choice moves the
     cost and never the links found.
     """
-    own = descriptors(first)
-    distinct = staged(own.groupBy("bits").agg(F.count("*").alias("n")))
-    near = staged(near_bits(distinct, hot))
-    both = near.select("x", "y").unionByName(near.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    held = distinct.join(both.groupBy(F.col("x").alias("bits")).agg(F.count("*").alias("others")), "bits", "left").where("n > 1 OR others > 0").select("bits", "n")
+    near = staged(near_bits(first, masks or tables(first.agg(F.sum(F.size("bits"))).first()[0] or 0)))
+    both = near.unionByName(near.where("x != y").select(F.col("y").alias("x"), F.col("x").alias("y")))
+    held = staged(descriptors(first).join(both.select(F.col("x").alias("bits")).distinct(), "bits", "left_semi"))
+    load = held.groupBy("bits").agg(F.count("*").alias("n"))
     rank = Window.partitionBy("node").orderBy(F.col("n").desc(), "bits")
-    rows = staged(own.join(held, "bits").select("bits", "node", (F.sum("m").over(rank) >= VOTES).alias("seeks"), "n"))
-    return rows.drop("n"), both.unionByName(held.where("n > 1").select(F.col("bits").alias("x"), F.col("bits").alias("y")))
+    rows = staged(spread_join(held, load, "bits", "node").select("bits", "node", (F.sum("m").over(rank) >= VOTES).alias("seeks")))
+    return rows, both
 
 
 def leaders(rows: DataFrame) -> DataFrame:
