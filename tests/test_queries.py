@@ -39,8 +39,15 @@ def test_query(spark, duck, name):
 @pytest.mark.parametrize(
     ("url", "want"),
     [
-        ("http://www.Example.com:80/a/./b/../c/?utm_source=x&B=2&a=1#f", "https://example.com/a/c?a=1&b=2"), ("//m.example.org", "https://example.org"), ("https://amp.co.uk/x", "https://amp.co.uk/x"),
-        ("https://example.com/story/amp/", "https://example.com/story"), ("https://example.com/?amp=1&id=3", "https://example.com?id=3"), ("mailto:a@b", "mailto:a@b"), (" https://u:p@example.com:8080/x ", "https://example.com:8080/x"),
+        ("http://www.Example.com:80/a/./b/../c/?utm_source=x&B=2&a=1#f", "https://example.com/a/c?a=1&b=2"), ("//m.example.org", "https://example.org/"), ("https://amp.co.uk/x", "https://amp.co.uk/x"),
+        ("https://example.com/story/amp/", "https://example.com/story"), ("https://example.com/?amp=1&id=3", "https://example.com/?id=3"), ("mailto:a@b", "mailto:a@b"), (" https://u:p@example.com:8080/x ", "https://example.com:8080/x"),
+        ("https://www.m.example", "https://m.example/"), ("https://www.amp.co.uk", "https://amp.co.uk/"), ("https://m.in.gr/x", "https://in.gr/x"), ("https://example.amp.com/a", "https://example.com/a"), ("https://example.com./a", "https://example.com/a"),
+        ("https://[2001:DB8::1]:8443/a", "https://[2001:db8::1]:8443/a"), ("https://bücher.example/x", "https://xn--bcher-kva.example/x"), ("https://example.com:99999/a", "https://example.com:99999/a"), ("http:///a", "http:///a"),
+        ("https://example.com/%7euser/%2fa%c3%a9", "https://example.com/~user/%2Fa%C3%A9"), ("https://example.com/a//../b", "https://example.com/a/b"), ("https://example.com/amp/news/s", "https://example.com/news/s"), ("https://example.com/a/amp/b", "https://example.com/a/amp/b"),
+        ("https://example.com/a?b=x+y&c=%7E*&empty", "https://example.com/a?b=x+y&c=~%2A&empty="), ("https://example.com/?fb_ref=1&trk=2&_hsci=3&ito=4", "https://example.com/?ito=4"), ("https://example.com/?output=html", "https://example.com/?output=html"),
+        ("https://www.google.com/url?q=https%3A%2F%2Fwww.example.com%2Fa%3Futm_x%3D1", "https://example.com/a"), ("https://www-example-com.cdn.ampproject.org/c/s/www.example.com/a/amp", "https://example.com/a"), ("https://google.com/search?q=https://example.com", "https://google.com/search?q=https%3A%2F%2Fexample.com"),
+        ("https://feedproxy.google.com/~r/x?url=http://example.com/1", "https://feedproxy.google.com/~r/x?url=http%3A%2F%2Fexample.com%2F1"), ("http://feeds.feedburner.com/x?target=http://m.example.com/1", "https://example.com/1"), ("javascript:alert(1)", "javascript:alert(1)"), ("", ""),
+        ("https://example.com/a?x=%zz", "https://example.com/a?x=%25zz"), ("https://example.com/" + "a/" * 20000, "https://example.com/" + ("a/" * 20000)[:-1]),
     ],
 )
 def test_url(spark, url, want):

@@ -87,28 +87,57 @@ def viewpoint_label(spark, sf):
     return articles(spark, sf).select("id", T.label_key(F.col("title")).alias("label"))
 
 
-_NAMES = "'fbclid','gclid','dclid','msclkid','mc_cid','mc_eid','igshid','ref','ref_src','cmpid','ito','smid','yclid'"
+_NAMES = ", ".join(f"'{x}'" for x in U.TRACKING)
+_PREFIXES = "|".join(U.TRACKING_PREFIXES)
+_SUFFIXES = ", ".join(f"'{x}'" for x in U.PUBLIC_SUFFIXES)
+#: The rules for absolute URLs, labels off one at a time; the pages' queries hold nothing that is encoded.
 _CANONICAL = rf"""u AS (SELECT page_id, trim(url) AS url FROM pages),
-    x AS (SELECT page_id, url, regexp_replace(lower(regexp_extract(url, '^https?://([^/?#:]*)', 1)), '^((www|m|mobile|amp)\.)+', '') AS host,
-        regexp_replace(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
-        list_sort(list_filter(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> ''),
-            lambda p: NOT list_contains([{_NAMES}], lower(string_split(p, '=')[1])) AND NOT regexp_matches(lower(p), '^(utm_|piwik_|matomo_|at_|mtm_|pk_|hsa_|vero_|oly_|ns_|_ga_)'))) AS q FROM u),
-    c AS (SELECT page_id, 'https://' || host || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS canonical, host FROM x)"""
-
-
-@query(f"WITH {_CANONICAL} SELECT page_id, canonical, sha256(lower(canonical)) AS url_hash FROM c")
+    h0 AS (SELECT page_id, url, lower(regexp_extract(url, '^https?://([^/?#:]*)', 1)) AS host, 0 AS n FROM u),
+    h1 AS (SELECT * FROM h0 UNION ALL SELECT page_id, url, array_to_string(string_split(host, '.')[2:], '.'), n + 1 FROM h1
+        WHERE string_split(host, '.')[1] IN ('www', 'm', 'mobile', 'amp') AND len(string_split(host, '.')) >= 3 AND array_to_string(string_split(host, '.')[2:], '.') NOT IN ({_SUFFIXES})),
+    h AS (SELECT page_id, any_value(url) AS url, arg_max(host, n) AS host FROM h1 GROUP BY page_id),
+    x AS (SELECT page_id, url, host,
+        regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/+$', ''), '^/(?i:amp)/', '/'), '/(?i:amp)$', ''), '/+$', '') AS path,
+        list_sort(list_filter(list_transform(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> ''), lambda p: lower(string_split(p, '=')[1]) || '=' || array_to_string(string_split(p, '=')[2:], '=')),
+            lambda p: NOT list_contains([{_NAMES}], string_split(p, '=')[1]) AND NOT regexp_matches(p, '^({_PREFIXES})') AND NOT regexp_matches(p, '^(amp|ampmode|amp_js_v|output)=(|1|(?i:amp|true))$'))) AS q FROM h),
+    c AS (SELECT page_id, url, 'https://' || host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS canonical, host FROM x)"""
+
+
+@query(f"WITH RECURSIVE {_CANONICAL} SELECT page_id, canonical, sha256(lower(canonical)) AS url_hash FROM c")
 def url_canonical(spark, sf):
     return table(spark, sf, "pages").select("page_id", U.canonical(F.col("url")).alias("canonical"), U.url_hash(F.col("url")).alias("url_hash"))
 
 
-@query(f"WITH {_CANONICAL} SELECT canonical, min(page_id) AS first_page, count(*) AS copies FROM c GROUP BY canonical")
+@query(f"WITH RECURSIVE {_CANONICAL} SELECT canonical, min(page_id) AS first_page, count(*) AS copies FROM c GROUP BY canonical")
 def url_hash_dedup(spark, sf):
-    return table(spark, sf, "pages").groupBy(U.canonical(F.col("url")).alias("canonical")).agg(F.min("page_id").alias("first_page"), F.count("*").alias("copies"))
+    return table(spark, sf, "pages").select("page_id", U.canonical(F.col("url")).alias("canonical")).groupBy("canonical").agg(F.min("page_id").alias("first_page"), F.count("*").alias("copies"))
 
 
-@query(f"WITH {_CANONICAL} SELECT host, count(*) AS n FROM c GROUP BY host ORDER BY n DESC, host LIMIT 60")
+@query(f"WITH RECURSIVE {_CANONICAL} SELECT host, count(*) AS n FROM c GROUP BY host ORDER BY n DESC, host LIMIT 60")
 def url_domain_top(spark, sf):
-    return table(spark, sf, "pages").groupBy(U.host(F.trim("url")).alias("host")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "host").limit(60)
+    return table(spark, sf, "pages").select(U.host(F.trim("url")).alias("host")).groupBy("host").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "host").limit(60)
+
+
+@query(f"WITH RECURSIVE {_CANONICAL} SELECT page_id, canonical AS from_search, canonical AS from_cache, canonical AS from_feed FROM c")
+def url_unwrap(spark, sf):
+    """The pages' URLs as three redirectors would carry them, one inside the other too."""
+    u = F.trim("url")
+    wrap = lambda lead, x: F.concat(F.lit(lead), F.url_encode(x))
+    search = wrap("https://www.google.com/url?sa=t&utm_source=x&url=", u)
+    feed = wrap("http://feeds.feedburner.com/~r/x?u=", wrap("https://www.google.com/url?q=", u))
+    # A cache carries the path alone, so the query goes behind it through a search redirector.
+    cache = wrap("https://news.google.com/url?dest=", u)
+    return table(spark, sf, "pages").select("page_id", U.canonical(search).alias("from_search"), U.canonical(cache).alias("from_cache"), U.canonical(feed).alias("from_feed"))
+
+
+@query(f"WITH RECURSIVE {_CANONICAL} SELECT page_id, canonical, canonical AS again FROM c")
+def url_variants(spark, sf):
+    """Each URL in another dress (user, port, case, labels, dots, escapes, tracking, fragment), which all fold to the same form."""
+    u = F.trim("url")
+    rest = F.regexp_extract(u, "^https?://[^/?#]*([^?#]*)", 1)
+    q = F.regexp_extract(u, r"^[^?#]*(\?[^#]*)", 1)
+    dressed = F.concat(F.lit("HTTP://me:pw@AMP."), F.upper(F.regexp_extract(u, "^https?://([^/?#]*)", 1)), F.lit(".:443/./x/.."), F.replace(rest, F.lit("a"), F.lit("%61")), F.lit("/AMP/"), F.when(q == "", "?").otherwise(F.concat(q, F.lit("&"))), F.lit("UTM_x=1&GCLID=2&amp=TRUE#top"))
+    return table(spark, sf, "pages").select("page_id", U.canonical(dressed).alias("canonical"), U.canonical(U.canonical(u)).alias("again"))
 
 
 @query(f"""WITH h AS (SELECT id, domain, title, sha256({_COLLAPSED}) AS content_hash FROM a),
