@@ -295,17 +295,18 @@ def shared_descriptors(first: DataFrame, masks: list[int] | None = None) -> tupl
     """
     near = staged(near_bits(first, masks or tables(first.agg(F.sum(F.size("bits"))).first()[0] or 0)))
     both = near.unionByName(near.where("x != y").select(F.col("y").alias("x"), F.col("x").alias("y")))
-    held = staged(descriptors(first).join(both.select(F.col("x").alias("bits")).distinct(), "bits", "left_semi"))
-    load = held.groupBy("bits").agg(F.count("*").alias("n"))
-    rank = Window.partitionBy("node").orderBy(F.col("n").desc(), "bits")
-    rows = staged(spread_join(held, load, "bits", "node").select("bits", "node", (F.sum("m").over(rank) >= VOTES).alias("seeks")))
-    return rows, both
+    held = descriptors(first).join(both.select(F.col("x").alias("bits")).distinct(), "bits", "left_semi")
+    named = held.join(held.groupBy("bits").agg(F.count("*").alias("n")), "bits")
+    rank, whole = Window.partitionBy("node").orderBy(F.col("n").desc(), "bits"), Window.partitionBy("node")
+    rows = named.select("bits", "node", (F.sum("m").over(rank) >= VOTES).alias("seeks"), F.sum("m").over(whole).alias("all"))
+    # An image with fewer features than that which others hold links to none.
+    return staged(rows.where(F.col("all") >= VOTES).drop("all")), both
 
 
 def leaders(rows: DataFrame) -> DataFrame:
     """Pairs (src, dst): to each image, of the smallest images that hold one of its descriptors, the one with which it shares most."""
     least = rows.groupBy("bits").agg(F.min("node").alias("src"), F.max("node").alias("last")).where("src != last").select("bits", "src")
-    shared = spread_join(rows, least, "bits", "node").where("src != node AND seeks").groupBy("node", "src").agg(F.count("*").alias("n"))
+    shared = rows.join(least, "bits").where("src != node AND seeks").groupBy("node", "src").agg(F.count("*").alias("n"))
     return shared.groupBy("node").agg(F.max_by("src", F.struct("n", -F.col("src"))).alias("src")).select("src", F.col("node").alias("dst"))
 
 
