@@ -19,13 +19,14 @@ def node_hash(left: Column, right: Column) -> Column:
     return F.sha2(F.concat(F.unhex(F.lit("01")), F.unhex(left), F.unhex(right)), 256)
 
 
-def levels(leaves: DataFrame) -> list[DataFrame]:
-    """(i, h) per level, leaves first; an odd last node is promoted. leaves has gapless i from 0."""
+def levels(leaves: DataFrame, repeat: bool = False) -> list[DataFrame]:
+    """(i, h) per level, leaves first; an odd last node is promoted, or paired with itself in the older scheme. leaves has gapless i from 0."""
     out, n = [leaves.select("i", "h")], leaves.count()
     while n > 1:
         below = out[-1]
         pair = below.groupBy(F.floor(F.col("i") / 2).alias("i")).agg(F.max(F.when(F.col("i") % 2 == 0, F.col("h"))).alias("l"), F.max(F.when(F.col("i") % 2 == 1, F.col("h"))).alias("r"))
-        up = pair.select("i", F.when(F.col("r").isNull(), F.col("l")).otherwise(node_hash(F.col("l"), F.col("r"))).alias("h"))
+        right = F.coalesce("r", "l") if repeat else F.col("r")
+        up = pair.select("i", F.when(right.isNull(), F.col("l")).otherwise(node_hash(F.col("l"), right)).alias("h"))
         out.append(cut_lineage(up) if len(out) % 8 == 0 else up)
         n = (n + 1) // 2
     return out
@@ -53,3 +54,23 @@ def verify(leaves: DataFrame, proofs: DataFrame, root: DataFrame) -> DataFrame:
     fold = lambda acc, s: F.when(s["is_left"], node_hash(s["sibling"], acc)).otherwise(node_hash(acc, s["sibling"]))
     folded = leaves.join(path, "i", "left").select("i", F.coalesce(F.aggregate("path", F.col("h"), fold), F.col("h")).alias("got"))
     return folded.crossJoin(F.broadcast(root)).select("i", (F.col("got") == F.col("root")).alias("valid"))
+
+
+def proof_paths(leaves: DataFrame) -> DataFrame:
+    """(i, path, valid) for every leaf: its audit path (sibling, is_left), and whether that folds to the root.
+
+    Paths are made from the root down: a node hands its own path, behind its sibling, to its children. Each level is one join of
+    that level's nodes, so n leaves cost about two n rows, and not n for each level.
+    """
+    tree = [cut_lineage(x) for x in levels(leaves)]
+    path = "array<struct<sibling:string,is_left:boolean>>"
+    at = tree[-1].select("i", F.array().cast(path).alias("path"))
+    for level in reversed(tree[:-1]):
+        pair = level.groupBy(F.floor(F.col("i") / 2).alias("up")).agg(F.max(F.when(F.col("i") % 2 == 0, F.col("h"))).alias("l"), F.max(F.when(F.col("i") % 2 == 1, F.col("h"))).alias("r"))
+        both = pair.join(at.withColumnRenamed("i", "up"), "up")
+        step = lambda sibling, left: F.when(F.col("r").isNull(), F.col("path")).otherwise(F.concat(F.array(F.struct(sibling.alias("sibling"), F.lit(left).alias("is_left"))), "path"))
+        children = F.array(F.struct((F.col("up") * 2).alias("i"), step(F.col("r"), False).alias("path")), F.when(F.col("r").isNotNull(), F.struct((F.col("up") * 2 + 1).alias("i"), step(F.col("l"), True).alias("path"))))
+        at = cut_lineage(both.select(F.inline(F.array_compact(children))))
+    fold = lambda acc, s: F.when(s["is_left"], node_hash(s["sibling"], acc)).otherwise(node_hash(acc, s["sibling"]))
+    folded = tree[0].join(at, "i").select("i", "path", F.aggregate("path", F.col("h"), fold).alias("got"))
+    return folded.crossJoin(F.broadcast(tree[-1].select(F.col("h").alias("root")))).select("i", "path", (F.col("got") == F.col("root")).alias("valid"))  # one row

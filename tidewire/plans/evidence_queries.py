@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewire.plans.registry import query
-from tidewire.sources.tables import articles, evidence, table
+from tidewire.sources.tables import evidence, table
 
 _EVIDENCE = """v AS (SELECT l_orderkey AS claim_id, l_suppkey AS domain, p_brand AS topic, CASE l_returnflag WHEN 'A' THEN 'disputes' WHEN 'R' THEN 'supports' ELSE 'neutral' END AS stance, CAST(l_quantity AS INTEGER) AS confidence
     FROM lineitem JOIN part ON l_partkey = p_partkey)"""
@@ -71,9 +71,13 @@ def verdict_aggregation(spark, sf):
     return t.select("domain", "score", "checks", band.alias("verdict"))
 
 
-@query(f"""WITH {_EVIDENCE}, s AS (SELECT domain, topic, claim_id, confidence FROM v) SELECT domain, arg_max(topic, (claim_id, topic)) AS latest_topic, max(claim_id) AS latest_claim, count(*) AS n FROM s GROUP BY domain""")
+@query("""WITH s AS (SELECT l_suppkey AS domain, date_trunc('month', l_shipdate) AS month, CAST(trunc(avg(l_quantity) * 2) AS INTEGER) AS score, count(*) AS n FROM lineitem GROUP BY ALL)
+    SELECT domain, arg_max(score, month) AS score, CAST(epoch(max(month)) AS BIGINT) AS snapshot, count(*) AS snapshots FROM s GROUP BY domain""")
 def latest_reliability(spark, sf):
-    return evidence(spark, sf).groupBy("domain").agg(F.max_by("topic", F.struct("claim_id", "topic")).alias("latest_topic"), F.max("claim_id").alias("latest_claim"), F.count("*").alias("n"))
+    """The newest of each source's monthly snapshots: aggregated, then one maximum for each source."""
+    month = F.date_trunc("month", F.col("l_shipdate").cast("timestamp"))
+    s = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("domain"), month.alias("month")).agg((F.avg("l_quantity") * 2).cast("int").alias("score"))
+    return s.groupBy("domain").agg(F.max_by("score", "month").alias("score"), F.unix_timestamp(F.max("month")).alias("snapshot"), F.count("*").alias("snapshots"))
 
 
 @query("""WITH RECURSIVE t AS (SELECT r_regionkey AS key, r_name AS path, 0 AS depth FROM region UNION ALL SELECT n_nationkey + 100, t.path || ' > ' || n_name, 1 FROM nation JOIN t ON t.depth = 0 AND n_regionkey = t.key) SELECT key, path, depth FROM t""")
@@ -82,34 +86,3 @@ def topic_tree_paths(spark, sf):
     top = table(spark, sf, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("path"), F.lit(0).alias("depth"))
     below = table(spark, sf, "nation").join(top, F.col("n_regionkey") == F.col("key")).select((F.col("n_nationkey") + 100).alias("key"), F.concat_ws(" > ", "path", "n_name").alias("path"), F.lit(1).alias("depth"))
     return top.unionByName(below)
-
-
-@query(f"""WITH {_EVIDENCE}, p AS (SELECT DISTINCT claim_id, topic FROM v), n AS (SELECT claim_id, count(*) AS n FROM p GROUP BY claim_id),
-    i AS (SELECT a.claim_id AS a, b.claim_id AS b, count(*) AS inter FROM p a JOIN p b ON a.topic = b.topic AND a.claim_id < b.claim_id WHERE b.claim_id - a.claim_id <= 20 GROUP BY a.claim_id, b.claim_id)
-    SELECT a, b, round(inter / CAST(x.n + y.n - inter AS DOUBLE), 6) AS jaccard FROM i JOIN n x ON x.claim_id = a JOIN n y ON y.claim_id = b WHERE inter / CAST(x.n + y.n - inter AS DOUBLE) >= 0.5""")
-def narrative_edges(spark, sf):
-    """Jaccard of at least 0.5 between topic sets of claims at most 20 apart: an inverted index in buckets of 20, each row in two."""
-    p = evidence(spark, sf).select("claim_id", "topic").distinct()
-    sets = p.groupBy("claim_id").agg(F.collect_set("topic").alias("s"))
-    left = sets.select(F.col("claim_id").alias("a"), F.col("s").alias("sa"), F.explode("s").alias("topic"), F.floor(F.col("claim_id") / 20).alias("bucket"))
-    right = sets.select(F.col("claim_id").alias("b"), F.col("s").alias("sb"), F.explode("s").alias("topic")).withColumn("bucket", F.explode(F.array(F.floor(F.col("b") / 20), F.floor(F.col("b") / 20) - 1)))
-    near = left.join(right, ["topic", "bucket"]).where("b > a AND b - a <= 20").select("a", "b", "sa", "sb").dropDuplicates(["a", "b"])
-    j = F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))
-    return near.withColumn("j", j).where("j >= 0.5").select("a", "b", F.round("j", 6).alias("jaccard"))
-
-
-@query(f"""WITH {_EVIDENCE}, e AS (SELECT domain, count(DISTINCT topic) AS n FROM v GROUP BY domain), b AS (SELECT least(floor(n / 25.0 * 10 + 1e-9) / 10, 1.0) AS bucket FROM e) SELECT CAST(bucket AS DOUBLE) AS bucket, count(*) AS n FROM b GROUP BY bucket""")
-def jaccard_histogram(spark, sf):
-    e = evidence(spark, sf).groupBy("domain").agg(F.countDistinct("topic").alias("n"))
-    return e.groupBy(F.least(F.floor(F.col("n") / 25 * 10 + 1e-9) / 10, F.lit(1.0)).alias("bucket")).agg(F.count("*").alias("n"))
-
-
-@query(f"""WITH {_EVIDENCE} SELECT domain, round(avg(confidence), 6) AS mean, min(confidence) AS low, max(confidence) AS high, round(stddev_pop(confidence), 6) AS spread FROM v WHERE stance <> 'neutral' GROUP BY domain""")
-def consensus_alignment(spark, sf):
-    v = evidence(spark, sf).where("stance <> 'neutral'")
-    return v.groupBy("domain").agg(F.round(F.avg("confidence"), 6).alias("mean"), F.min("confidence").alias("low"), F.max("confidence").alias("high"), F.round(F.stddev_pop("confidence"), 6).alias("spread"))
-
-
-@query("""SELECT lang, count(DISTINCT domain) AS domains, count(*) AS n FROM a GROUP BY GROUPING SETS ((lang), ())""", articles=True)
-def version_audit(spark, sf):
-    return articles(spark, sf).groupingSets([["lang"], []], "lang").agg(F.countDistinct("domain").alias("domains"), F.count("*").alias("n"))

@@ -50,21 +50,6 @@ def merkle_root(spark, sf):
     return M.root(_leaves(spark, sf))
 
 
-@query("SELECT doc_id AS i, true AS valid FROM documents")
-def inclusion_proofs(spark, sf):
-    """Every leaf's audit path folded to the root."""
-    leaves = _leaves(spark, sf)
-    return M.verify(leaves, M.inclusion_proofs(leaves), M.root(leaves))
-
-
-@query("WITH h AS (SELECT conv_id, turn, sha256(coalesce(text, '')) AS leaf FROM conversations) SELECT conv_id, count(*) AS entries, max(turn) + 1 - min(turn) = count(*) AS gapless, sha256(string_agg(leaf, '' ORDER BY turn)) AS head FROM h GROUP BY conv_id")
-def chain_verify(spark, sf):
-    """Per log: its entries, whether their indices are gapless, and a commitment to the leaves in order."""
-    h = revisions(spark, sf).select("article_id", "revision", F.sha2(F.col("content").cast("binary"), 256).alias("leaf"))
-    g = h.groupBy(F.col("article_id").alias("conv_id")).agg(F.count("*").alias("entries"), F.min("revision").alias("lo"), F.max("revision").alias("hi"), F.array_sort(F.collect_list(F.struct("revision", "leaf"))).alias("l"))
-    return g.select("conv_id", "entries", (F.col("hi") + 1 - F.col("lo") == F.col("entries")).alias("gapless"), F.sha2(F.array_join(F.transform("l", lambda x: x["leaf"]), "").cast("binary"), 256).alias("head"))
-
-
 @query("WITH e AS (SELECT label, unnest(embedding) AS x, unnest(range(1, len(embedding) + 1)) AS k FROM embeddings), m AS (SELECT label, k, avg(CAST(x AS DOUBLE)) AS x FROM e GROUP BY ALL) SELECT label, count(*) AS dimensions, round(sqrt(sum(x * x)), 5) AS norm FROM m GROUP BY label")
 def embedding_centroids(spark, sf):
     c = V.centroids(table(spark, sf, "embeddings"), "label", "embedding")

@@ -36,18 +36,6 @@ def viewpoint_children(spark, sf):
     return S.viewpoints(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("story_id"), F.col("l_linenumber").alias("unit_id"), F.col("l_returnflag").alias("label")))
 
 
-@query(f"""WITH {_EVIDENCE}, p AS (SELECT DISTINCT claim_id, topic FROM v), n AS (SELECT claim_id, count(*) AS n FROM p GROUP BY claim_id),
-    i AS (SELECT a.claim_id AS a, b.claim_id AS b, count(*) AS inter FROM p a JOIN p b ON a.topic = b.topic AND a.claim_id < b.claim_id AND b.claim_id - a.claim_id <= 20 GROUP BY ALL),
-    j AS (SELECT a, b, round(inter / CAST(x.n + y.n - inter AS DOUBLE), 6) AS jaccard FROM i JOIN n x ON x.claim_id = a JOIN n y ON y.claim_id = b) SELECT * FROM j WHERE jaccard < 0.5 ORDER BY jaccard DESC, a, b LIMIT 25""")
-def near_misses_top25(spark, sf):
-    sets = evidence(spark, sf).select("claim_id", "topic").distinct().groupBy("claim_id").agg(F.collect_set("topic").alias("s"))
-    left = sets.select(F.col("claim_id").alias("a"), F.col("s").alias("sa"), F.explode("s").alias("topic"), F.floor(F.col("claim_id") / 20).alias("bucket"))
-    right = sets.select(F.col("claim_id").alias("b"), F.col("s").alias("sb"), F.explode("s").alias("topic")).withColumn("bucket", F.explode(F.array(F.floor(F.col("b") / 20), F.floor(F.col("b") / 20) - 1)))
-    near = left.join(right, ["topic", "bucket"]).where("b > a AND b - a <= 20").select("a", "b", "sa", "sb").dropDuplicates(["a", "b"])
-    j = near.select("a", "b", F.round(F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb")), 6).alias("jaccard"))
-    return j.where("jaccard < 0.5").orderBy(F.desc("jaccard"), "a", "b").limit(25)
-
-
 @query("WITH l AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) AS nth FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type) AS place FROM l WHERE nth = 1) SELECT user_id, event_type, event_id FROM k WHERE place <= 3")
 def lead_media(spark, sf):
     return sinks.lead_media(table(spark, sf, "events"), "user_id", "event_type", "ts", 3).select("user_id", "event_type", "event_id")

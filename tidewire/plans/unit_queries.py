@@ -48,36 +48,43 @@ def tier1_gate(spark, sf):
     return U.tier1_gate(tier1, "domain")
 
 
-_SCORE = """s AS (SELECT domain || lang AS story, count(DISTINCT owner) FILTER (WHERE tier <= 2) AS owners, count(DISTINCT title) FILTER (WHERE tier <= 2) AS units, coalesce(max(length(body)) FILTER (WHERE tier >= 3), 0) // 1000 AS virality,
-        bool_or(contains(body, 'idiot')) AS harm FROM a GROUP BY domain || lang),
-    t AS (SELECT *, owners >= 1 AND units >= 2 AS ok FROM s),
+#: Orders stand for stories, their parts for units (a part's size is its article count), a supplier for a source with its tier and
+#: owner; a returned line is an allegation, every third customer a person.
+_SCORE = """k AS (SELECT l_orderkey AS story, l_partkey AS unit, 1 + l_suppkey % 4 AS tier, l_suppkey % 7 AS owner, p_size AS size, l_returnflag AS flag FROM lineitem JOIN part ON p_partkey = l_partkey),
+    s AS (SELECT story, count(DISTINCT owner) FILTER (WHERE tier = 1) AS owners, count(DISTINCT unit) FILTER (WHERE tier = 1) AS units, coalesce(max(size) FILTER (WHERE tier >= 3), 0) AS virality, bool_or(flag = 'R') AND any_value(o_custkey) % 3 = 0 AS harm FROM k JOIN orders ON o_orderkey = story GROUP BY story),
+    t AS (SELECT *, owners >= 2 AND units >= 2 AS ok FROM s),
     v AS (SELECT story, owners, units, ok AS gate_passed, CAST(greatest(0, least(100, CASE WHEN ok THEN 40 + least(owners * 10, 30) + least(owners * 5, 20) ELSE 0 END + least(virality * 2, 10) - CASE WHEN harm THEN 20 ELSE 0 END)) AS BIGINT) AS score, CASE WHEN harm THEN 70 ELSE 50 END AS threshold FROM t)"""
 
 
 def _scored(spark, sf):
-    a = articles(spark, sf)
-    s = a.groupBy(F.concat("domain", "lang").alias("story")).agg(
-        F.countDistinct(F.when(F.col("tier") <= 2, F.col("owner"))).alias("owners"), F.countDistinct(F.when(F.col("tier") <= 2, F.col("title"))).alias("units"),
-        F.floor(F.coalesce(F.max(F.when(F.col("tier") >= 3, F.length("body"))), F.lit(0)) / 1000).alias("virality"), F.bool_or(F.contains("body", F.lit("idiot"))).alias("harm"),
-    )
-    ok = (F.col("owners") >= 1) & (F.col("units") >= 2)
+    """Admission scores: independence, owners, virality of tier 3 and 4 units, less harm, which also raises the bar."""
+    size = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("size"))
+    person = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 3 == 0).alias("person"))
+    n = F.col("l_suppkey")
+    k = table(spark, sf, "lineitem").join(size, "l_partkey").select(F.col("l_orderkey"), "l_partkey", (1 + n % 4).alias("tier"), (n % 7).alias("owner"), "size", F.col("l_returnflag").alias("flag"))
+    first = F.col("tier") == 1
+    s = k.groupBy("l_orderkey").agg(
+        F.countDistinct(F.when(first, F.col("owner"))).alias("owners"), F.countDistinct(F.when(first, F.col("l_partkey"))).alias("units"),
+        F.coalesce(F.max(F.when(F.col("tier") >= 3, F.col("size"))), F.lit(0)).alias("virality"), F.bool_or(F.col("flag") == "R").alias("alleged"),
+    ).join(person, "l_orderkey").select(F.col("l_orderkey").alias("story"), "owners", "units", "virality", (F.col("alleged") & F.col("person")).alias("harm"))
+    ok = (F.col("owners") >= 2) & (F.col("units") >= 2)
     base = F.when(ok, 40 + F.least(F.col("owners") * 10, F.lit(30)) + F.least(F.col("owners") * 5, F.lit(20))).otherwise(0) + F.least(F.col("virality") * 2, F.lit(10))
     score = F.greatest(F.lit(0), F.least(F.lit(100), base - F.when(F.col("harm"), 20).otherwise(0))).cast("long")
     return s.select("story", "owners", "units", ok.alias("gate_passed"), score.alias("score"), F.when(F.col("harm"), 70).otherwise(50).alias("threshold"))
 
 
-@query(f"WITH {_SCORE} SELECT *, score >= threshold AS admitted FROM v", articles=True)
+@query(f"WITH {_SCORE} SELECT *, score >= threshold AS admitted FROM v")
 def admission_score(spark, sf):
     return _scored(spark, sf).withColumn("admitted", F.col("score") >= F.col("threshold"))
 
 
-@query(f"WITH {_SCORE} SELECT count(*) AS stories, count(*) FILTER (WHERE gate_passed <> (score >= threshold)) AS disagree, round(avg(CASE WHEN gate_passed <> (score >= threshold) THEN 1.0 ELSE 0.0 END), 6) AS rate FROM v", articles=True)
+@query(f"WITH {_SCORE} SELECT count(*) AS stories, count(*) FILTER (WHERE gate_passed <> (score >= threshold)) AS disagree, round(avg(CASE WHEN gate_passed <> (score >= threshold) THEN 1.0 ELSE 0.0 END), 6) AS rate FROM v")
 def gate_disagreement(spark, sf):
     off = F.col("gate_passed") != (F.col("score") >= F.col("threshold"))
     return _scored(spark, sf).agg(F.count("*").alias("stories"), F.count_if(off).alias("disagree"), F.round(F.avg(off.cast("double")), 6).alias("rate"))
 
 
-@query(f"WITH {_SCORE} SELECT story, 'tier1' AS gate_name, gate_passed AS passed, sha256(concat_ws('|', story, owners, units, score)) AS input_hash FROM v UNION ALL SELECT story, 'dynamic', score >= threshold, sha256(concat_ws('|', story, owners, units, score)) FROM v", articles=True)
+@query(f"WITH {_SCORE} SELECT story, 'tier1' AS gate_name, gate_passed AS passed, sha256(concat_ws('|', story, owners, units, score)) AS input_hash FROM v UNION ALL SELECT story, 'dynamic', score >= threshold, sha256(concat_ws('|', story, owners, units, score)) FROM v")
 def gate_decision_ledger(spark, sf):
     s = _scored(spark, sf).withColumn("input_hash", F.sha2(F.concat_ws("|", "story", F.col("owners").cast("string"), F.col("units").cast("string"), F.col("score").cast("string")).cast("binary"), 256))
     gates = F.array(F.struct(F.lit("tier1").alias("gate_name"), F.col("gate_passed").alias("passed")), F.struct(F.lit("dynamic").alias("gate_name"), (F.col("score") >= F.col("threshold")).alias("passed")))
