@@ -92,10 +92,29 @@ def test_recall_of_planted_copies(spark, similarity):
     assert len(stay) - len(base) <= 0.05 * len(base), (similarity, len(base))
 
 
-def test_blocks_of_pairs_are_all_pairs(spark):
-    rows = spark.createDataFrame([(k % 3, k) for k in range(60)] + [(9, 1)], "key long, item long")
-    got = [tuple(r) for r in simhash.cross_pairs(rows, per=4).collect()]
-    assert sorted(got) == sorted((k, a, b) for k in range(3) for a in range(60) for b in range(a + 1, 60) if a % 3 == b % 3 == k)
+def test_blocks_lose_no_link(spark):
+    """Groups that several blocks hold are joined wherever two of their texts are alike."""
+    rng = np.random.default_rng(2)
+    base = [rng.integers(0, 1 << 60, 100, dtype=np.uint64) for _ in range(3)]
+    sets = []
+    for k in range(60):
+        own = base[k % 3].copy()
+        own[rng.integers(0, 100, 7)] = rng.integers(0, 1 << 60, 7, dtype=np.uint64)
+        sets.append(np.unique(own))
+    held = spark.createDataFrame([(key, k, 0 if k % 6 == 0 else k) for key in (1, 2) for k in range(60)], "key long, node long, item long")
+    packed = spark.createDataFrame([(k, bytearray(x.astype("<u8").tobytes())) for k, x in enumerate(sets)], "node long, shingles binary")
+
+    def groups(links):
+        root = {k: 0 if k % 6 == 0 else k for k in range(60)}
+        for a, b in links:
+            x, y = root[a], root[b]
+            root = {k: min(x, y) if v in (x, y) else v for k, v in root.items()}
+        return root
+
+    want = groups([(a, b) for a in range(60) for b in range(a) if simhash.similar(sets[a], sets[b], 0.8)])
+    assert len(set(want.values())) < 40
+    for per in (4, 8, 256):
+        assert groups([tuple(r) for r in simhash.links_between(held, packed, 0.8, per).collect()]) == want
 
 
 @pytest.fixture(scope="module")

@@ -30,8 +30,8 @@ CHUNK = 1 << 16
 #: Min-hash bands and the hashes in each: two texts of similarity 0.8 share one with a probability of 0.991, of 0.9 of all but 1e-4.
 BANDS, ROWS = 12, 5
 SIMILARITY = 0.8
-#: Groups of one band in a block of its pairs.
-BLOCK = 1024
+#: Texts of one band in a block, about.
+BLOCK = 256
 _ODD = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 
 
@@ -159,55 +159,87 @@ def text_digest(text_col: str) -> Column:
     return F.unhex(F.md5(text_of(text_col)))
 
 
+def shingle_sets(docs: DataFrame, named: DataFrame, size: int, text_col: str) -> DataFrame:
+    """(node, shingles) of the texts whose digests are named (digest, node): distinct shingle hashes in order, packed."""
+
+    def run(batches):
+        for batch in slices(batches):
+            sets = [np.unique(np.frombuffer(b"".join(shingle_hashes(words_of(x), size)), ">u8")).astype("<u8").tobytes() for x in batch.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    texts = docs.select(text_digest(text_col).alias("digest"), text_of(text_col).alias("text")).join(named, "digest").groupBy("node").agg(F.any_value("text").alias("text"))
+    return texts.mapInArrow(run, "node long, shingles binary")
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     """Whether two sets of shingle hashes (sorted, distinct) are as similar as that, by Jaccard's index."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both >= similarity * (len(a) + len(b) - both)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Those of the pairs (src, dst) whose texts' sets of shingles are similar enough."""
 
     def run(batches):
-        last: tuple = (None, None)
-
-        def shingles(text: bytes) -> np.ndarray:
-            return np.unique(np.frombuffer(b"".join(shingle_hashes(words_of(text), size)), ">u8"))
-
         for batch in batches:
-            keep = []
-            for k in range(batch.num_rows):
-                src, a, b = batch.column(0)[k].as_py(), batch.column(2)[k], batch.column(3)[k]
-                if last[0] != src:
-                    last = (src, shingles(a.as_py()))
-                keep.append(similar(last[1], shingles(b.as_py()), similarity))
+            keep = [similar(np.frombuffer(batch.column(2)[k].as_buffer(), "<u8"), np.frombuffer(batch.column(3)[k].as_buffer(), "<u8"), similarity) for k in range(batch.num_rows)]
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["src", "dst"])
 
-    a, b = (texts.select(F.col("node").alias(x), F.col("text").cast("binary").alias(f"{x}_text")) for x in ("src", "dst"))
+    a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_set")) for x in ("src", "dst"))
     both = spread_join(spread_join(pairs, b, "dst", "src"), a, "src", "dst")
-    return both.select("src", "dst", "src_text", "dst_text").mapInArrow(run, "src long, dst long")
+    return both.select("src", "dst", "src_set", "dst_set").mapInArrow(run, "src long, dst long")
 
 
-def cross_pairs(rows: DataFrame, per: int = BLOCK) -> DataFrame:
-    """Pairs (key, a, b), a < b, of the items (key, item) of one key; keys of more than per items are paired in blocks."""
-    wide = rows.groupBy("key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / per).cast("int").alias("parts")).where("n > 1").select("key", "parts")
-    own = rows.join(wide, "key").withColumn("block", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
-    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("key", "item", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    x, y = own.select("key", "i", "j", F.col("item").alias("a"), F.col("block").alias("p")), own.select("key", "i", "j", F.col("item").alias("b"), F.col("block").alias("q"))
-    # A block meets itself where i = j, and each pair of blocks once elsewhere.
-    return x.join(y, ["key", "i", "j"]).where("a < b AND (p != q OR i = j)").select("key", "a", "b")
+def links_between(held: DataFrame, sets: DataFrame, similarity: float, per: int = BLOCK) -> DataFrame:
+    """Links (src, dst) that join the groups within each band, of rows (key, node, item: the node's group).
+
+    A band's nodes are cut into blocks of about ``per``: a group that large has blocks of its own, smaller ones share blocks. Each
+    pair of blocks, but those of one large group, is compared in one task, which links what is not yet linked and so tests
+    few pairs of a group that hangs together. Links come out, never pairs: at most one less than the nodes of a task.
+    """
+    sizes = held.groupBy("key", "item").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("large", F.when(F.col("n") >= per, F.col("item")))
+    bands = sizes.groupBy("key").agg(F.count("*").alias("groups"), F.ceil(F.sum(F.when(F.col("large").isNull(), F.col("n")).otherwise(0)) / per).cast("int").alias("shared")).where("groups > 1").select("key", "shared")
+    own = held.join(sizes.select("key", "item", "n", "large"), ["key", "item"]).join(bands, "key")
+    block = F.when(F.col("large").isNull(), F.pmod(F.xxhash64("item"), F.greatest("shared", F.lit(1)))).otherwise(F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / per)))
+    own = staged(own.select("key", "node", "item", F.struct(F.coalesce("large", F.lit(-1)).alias("large"), block.cast("long").alias("part")).alias("block")))
+    blocks = own.select("key", "block").distinct()
+    pairs = blocks.select("key", F.col("block").alias("i")).join(blocks.select("key", F.col("block").alias("j")), "key").where("i <= j AND NOT (i.large = j.large AND i.large >= 0)")
+    dealt = own.join(pairs.select("key", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"), "i", "j"), ["key", "block"]).select("node", "item", "key", "i", "j")
+    rows = spread_join(dealt, sets, "node", "key")
+
+    def link(table: pa.Table) -> pa.Table:
+        nodes = table["node"].to_numpy()
+        own_sets = [np.frombuffer(x.as_buffer(), "<u8") for x in table["shingles"]]
+        root = np.unique(table["item"].to_numpy(), return_inverse=True)[1]
+        order = np.argsort([len(x) for x in own_sets], kind="stable")
+        src, dst = [], []
+        for n, k in enumerate(order.tolist()):
+            for m in order[:n][::-1].tolist():
+                if len(own_sets[m]) < similarity * len(own_sets[k]):
+                    break  # smaller ones are too small as well
+                if root[m] != root[k] and similar(own_sets[m], own_sets[k], similarity):
+                    src.append(min(nodes[m], nodes[k]))
+                    dst.append(max(nodes[m], nodes[k]))
+                    root[root == root[m]] = root[k]
+        return pa.table([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
+
+    return rows.groupBy("key", "i", "j").applyInArrow(link, "src long, dst long").distinct()
 
 
 def near_groups(docs: DataFrame, size: int = 5, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (digest, root, id): for each id and text digest of docs, the group of its text; nodes are distinct word sequences.
+    """Rows (words, root, first): each distinct word sequence, its group, and the first of its rows as (without, id, digest).
 
     First each text is held against the one partner that the grid or most of its bands name: that makes groups of most
-    copies, however many. Then the pairs of one band between different groups are held against each other, so that no link
-    between texts that meet in a band is lost and no group is ever spread into its pairs.
+    copies, however many. Then bands that hold several groups are compared in blocks, so that no link between texts that
+    meet in a band is lost and no group is ever spread into its pairs.
     """
-    rows = staged(sketched(docs, size, id_col, text_col))
-    nodes = rows.groupBy("words").agg(F.min("digest").alias("digest"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"))
+    rows = sketched(docs, size, id_col, text_col)
+    first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "digest")).alias("first")
+    nodes = rows.groupBy("words").agg(first, F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"))
     nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()))
     banded = nodes.select("node", F.explode("bands").alias("key"))
     met = banded.groupBy("key").agg(F.min("node").alias("src"), F.max("node").alias("last")).where("src != last").select("key", "src")
@@ -219,18 +251,12 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = SIMILARITY,
     grid = grid.unionByName(nodes.select("node", "fp").join(prints, "fp").where("src != node").select("src", F.col("node").alias("dst")))
     pairs = staged(best.select("src", F.col("node").alias("dst")).unionByName(grid).distinct())
     asked = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).unionByName(banded.select("node")).distinct()
-    named = nodes.join(asked, "node", "left_semi").select("digest", "node")
-    texts = docs.select(text_digest(text_col).alias("digest"), text_of(text_col).alias("text")).join(named, "digest").groupBy("node").agg(F.any_value("text").alias("text"))
-    texts = staged(texts)
-    near = staged(verified(pairs, texts, size, similarity))
+    sets = staged(shingle_sets(docs, nodes.join(asked, "node", "left_semi").select(F.col("first.digest").alias("digest"), "node"), size, text_col))
+    near = staged(verified(pairs, sets, similarity))
     groups = connected_components(near)
     held = staged(banded.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("item")))
-    apart = cross_pairs(held.select("key", "item").distinct())
-    x, y = held.select("key", F.col("item").alias("a"), F.col("node").alias("p")), held.select("key", F.col("item").alias("b"), F.col("node").alias("q"))
-    rest = apart.join(x, ["key", "a"]).join(y, ["key", "b"]).select(F.least("p", "q").alias("src"), F.greatest("p", "q").alias("dst")).distinct()
-    linked = connected_components(near.unionByName(verified(rest, texts, size, similarity)))
-    rooted = nodes.select("node", "words").join(linked, "node", "left").select("words", F.coalesce("component", "node").alias("root"))
-    return spread_join(rows.select("id", "digest", "words"), rooted, "words", "digest").select("digest", "root", "id")
+    linked = connected_components(near.unionByName(links_between(held, sets, similarity)))
+    return nodes.select("node", "words", "first").join(linked, "node", "left").select("words", F.coalesce("component", "node").alias("root"), "first")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,8 +266,7 @@ def one_of_each(docs: DataFrame, size: int = 5, similarity: float = SIMILARITY,
     so are all without words. A group whose rows all lack an id keeps one of them, and rows of one id and different texts are
     held apart. Of rows that repeat an id and a text, that of the smallest hash of all its columns stays.
     """
-    order = F.struct(F.col("id").isNull().alias("without"), "id", "digest")
-    least = near_groups(docs, size, similarity, id_col, text_col).groupBy("root").agg(F.min(order).alias("x"))
+    least = near_groups(docs, size, similarity, id_col, text_col).groupBy("root").agg(F.min("first").alias("x"))
     stays = least.select(F.struct("x.without", F.coalesce("x.id", F.lit(0)).alias("id"), "x.digest").alias("key"))
     given = F.col(f"`{id_col}`").cast("long")
     key = F.struct(given.isNull().alias("without"), F.coalesce(given, F.lit(0)).alias("id"), text_digest(f"`{text_col}`").alias("digest"))
