@@ -10,52 +10,83 @@ from tidewire.operators.graph import connected_components
 
 JACCARD = 0.4
 STORED = 10
+#: Hours for which a story that is pending or blocked takes further units.
+RECENT_HOURS = 48
 
 
-def attach(units: list[tuple[int, int, frozenset]], threshold: float = JACCARD, stored: int = STORED) -> list[int]:
-    """For units in order, the first unit of the story that each joins.
+def attach(units: list[tuple[int, int, frozenset]], threshold: float = JACCARD, stored: int = STORED, stories: list[tuple[int, frozenset]] = ()) -> list[int]:
+    """For units in order, the story that each joins: one of those given, in their order, or one that an earlier unit founded.
 
     A unit joins the story of the greatest Jaccard similarity from the threshold on, the oldest of equals, and adds its entities; a
-    unit without entities, or without a story near enough, founds one of its first ``stored`` entities in order.
+    unit without entities, or without a story near enough, founds one of its first ``stored`` entities in order. Only stories
+    that share an entity with a unit are looked at.
     """
-    stories: list[tuple[int, set]] = []
+    names, sets = [s for s, _ in stories], [set(e) for _, e in stories]
+    holders: dict = {}
+    for k, own in enumerate(sets):
+        for e in own:
+            holders.setdefault(e, []).append(k)
     out = []
     for _, unit, entities in units:
+        shared: dict[int, int] = {}
+        for e in entities:
+            for k in holders.get(e, ()):
+                shared[k] = shared.get(k, 0) + 1
         best, most = None, 0.0
-        for k, (_, own) in enumerate(stories):
-            if entities and own:
-                j = len(entities & own) / len(entities | own)
-                if j > most and j >= threshold:
-                    best, most = k, j
+        for k in sorted(shared):
+            j = shared[k] / (len(entities) + len(sets[k]) - shared[k])
+            if j > most and j >= threshold:
+                best, most = k, j
         if best is None:
-            stories.append((unit, set(sorted(entities)[:stored])))
-            out.append(unit)
-        else:
-            stories[best][1].update(entities)
-            out.append(stories[best][0])
+            best = len(sets)
+            names.append(unit)
+            sets.append(set())
+            entities = sorted(entities)[:stored]
+        for e in entities:
+            if e not in sets[best]:
+                sets[best].add(e)
+                holders.setdefault(e, []).append(best)
+        out.append(names[best])
     return out
 
 
-def build_stories(units: DataFrame, threshold: float = JACCARD) -> DataFrame:
-    """unit_id and story_id (the story's first unit) for units of (unit_id, day, entities array<string>), in the order of day and unit.
+def build_stories(units: DataFrame, threshold: float = JACCARD, recent: DataFrame | None = None) -> DataFrame:
+    """unit_id and story_id (a recent story, or the first unit of a new one) for units of (unit_id, day, entities array<string>), in the order of day and unit.
 
-    A story only grows by units that share an entity with it, so units that no chain of shared entities links never meet: each
-    component of that graph is folded by itself. Units link to the first unit of each of their entities, never all with all.
+    recent holds (story_id, entities) of the stories that still take units. A story only grows by units that share an entity
+    with it, so units that no chain of shared entities links never meet: each component of that graph is folded by itself. Units
+    link to the first unit or story of each of their entities, never all with all.
     """
-    each = units.select("unit_id", F.explode(F.array_distinct("entities")).alias("e"))
-    hub = each.groupBy("e").agg(F.min("unit_id").alias("src"))
-    edges = each.join(hub, "e").select("src", F.col("unit_id").alias("dst")).where("src != dst")
-    parts = connected_components(edges).withColumnsRenamed({"node": "unit_id", "component": "part"})
-    keyed = units.join(parts, "unit_id", "left").select("unit_id", "day", "entities", F.coalesce("part", "unit_id").alias("part"))
+    rows = units.select(F.lit(1).alias("kind"), F.col("unit_id").alias("node"), F.col("day").cast("long").alias("day"), "entities")
+    if recent is not None:
+        rows = rows.unionByName(recent.select(F.lit(0).alias("kind"), F.col("story_id").alias("node"), F.lit(None).cast("long").alias("day"), "entities"))
+    # Stories and units may have the same number: a node's name is twice it, and one more for a unit.
+    rows = rows.withColumn("key", F.col("node") * 2 + F.col("kind"))
+    each = rows.select("key", F.explode(F.array_distinct("entities")).alias("e"))
+    hub = each.groupBy("e").agg(F.min("key").alias("src"))
+    edges = each.join(hub, "e").select("src", F.col("key").alias("dst")).where("src != dst")
+    parts = connected_components(edges).withColumnsRenamed({"node": "key", "component": "part"})
+    keyed = rows.join(parts, "key", "left").select("kind", "node", "day", "entities", F.coalesce("part", "key").alias("part"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["day", "unit_id"])
-        rows = [(d, u, frozenset(e if e is not None else ())) for d, u, e in zip(pdf["day"], pdf["unit_id"], pdf["entities"], strict=True)]
-        return pd.DataFrame({"unit_id": pdf["unit_id"], "story_id": attach(rows, threshold)})
+        sets = [frozenset(e if e is not None else ()) for e in pdf["entities"]]
+        pdf = pdf.assign(own=sets).sort_values(["kind", "day", "node"])
+        old, new = pdf[pdf["kind"] == 0], pdf[pdf["kind"] == 1]
+        stories = attach([*zip(new["day"], new["node"], new["own"], strict=True)], threshold, stories=[*zip(old["node"], old["own"], strict=True)])
+        return pd.DataFrame({"unit_id": new["node"], "story_id": stories})
 
     return keyed.groupBy("part").applyInPandas(fold, "unit_id long, story_id long")
 
 
+def grown(units: DataFrame, assigned: DataFrame, recent: DataFrame | None = None) -> DataFrame:
+    """(story_id, entities, updated) of the stories that units joined: the first STORED entities in order, and their latest unit's day."""
+    each = assigned.join(units, "unit_id").select("story_id", "day", "entities")
+    if recent is not None:
+        each = each.unionByName(recent.join(assigned.select("story_id").distinct(), "story_id", "left_semi").select("story_id", F.lit(None).cast("long").alias("day"), "entities"))
+    sets = each.groupBy("story_id").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("entities")))), 1, STORED).alias("entities"), F.max("day").alias("updated"))
+    return sets.select("story_id", "entities", "updated")
+
+
 def viewpoints(members: DataFrame, least: int = 3) -> DataFrame:
     """(story_id, label, units) of stories with at least ``least`` units and two labels, of rows (story_id, unit_id, label)."""
     per = members.groupBy("story_id", "label").agg(F.countDistinct("unit_id").alias("units"))

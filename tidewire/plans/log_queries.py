@@ -131,6 +131,21 @@ def stream_day_counts(spark, sf):
     return streams.day_counts(spark, sf)
 
 
+@query("SELECT CAST(floor(epoch(ts) / 900) * 900 AS BIGINT) AS start, count(*) AS n, max(value) AS most FROM events GROUP BY 1")
+def stream_quarter_hours(spark, sf):
+    return streams.quarter_hours(spark, sf)
+
+
+@query("SELECT c.event_id AS click, p.event_id AS purchase FROM events c JOIN events p ON c.user_id = p.user_id AND p.ts > c.ts AND p.ts <= c.ts + INTERVAL 1 HOUR WHERE c.event_type = 'click' AND p.event_type = 'purchase'")
+def stream_interval_join(spark, sf):
+    return streams.cross_owner_matches(spark, sf)
+
+
+@query("WITH e AS (SELECT user_id, ts, event_id, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS ok FROM events), r AS (SELECT user_id, count(*) OVER w AS tries, sum(ok) OVER w AS good FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT user_id, count(*) AS tries, bool_or(tries >= 8 AND good < 0.6 * tries) AS opened FROM r GROUP BY user_id")
+def stream_breakers(spark, sf):
+    return streams.breaker_states(spark, sf)
+
+
 @query("SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) FROM events) GROUP BY ALL")
 def stream_dedup(spark, sf):
     return streams.hourly_distinct(spark, sf)
