@@ -32,6 +32,8 @@ BLOCK = 1 << 18
 APART = 2
 #: Votes for one placement that make a copy; cells of a vote in pixels and in angle steps.
 VOTES, CELL, ANGLES = 6, 8, 32
+#: Features, the most widely held of an image, by which it does not seek.
+LEFT = 2
 _SEED = 20
 
 
@@ -287,26 +289,25 @@ def near_bits(first: DataFrame, masks: list[int]) -> DataFrame:
 
 
 def shared_descriptors(first: DataFrame, masks: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows (bits, node, seeks) of the descriptors that another image holds, or one within BITS bits; and pairs (x, y) of these, x = y too.
+    """Rows (bits, node, w) of the descriptors that another image holds, or one within BITS bits; and pairs (x, y) of these, x = y too.
 
-    A link takes VOTES features of either image, so one at least is not among any VOTES - 1 of them: an image seeks by its
-    features but the VOTES - 1 that most images hold, and not at all if it has no more than these. That choice moves the
-    cost and never the links found.
+    A link takes VOTES features of its first image, so VOTES - LEFT at least are not among any LEFT of them: an image seeks by
+    its features but the LEFT that most images hold, w of one descriptor, and not at all if it has less than VOTES that others
+    hold. That choice moves the cost and never the links found.
     """
     near = staged(near_bits(first, masks or tables(first.agg(F.sum(F.size("bits"))).first()[0] or 0)))
     both = near.unionByName(near.where("x != y").select(F.col("y").alias("x"), F.col("x").alias("y")))
     held = descriptors(first).join(both.select(F.col("x").alias("bits")).distinct(), "bits", "left_semi")
     named = held.join(held.groupBy("bits").agg(F.count("*").alias("n")), "bits")
     rank, whole = Window.partitionBy("node").orderBy(F.col("n").desc(), "bits"), Window.partitionBy("node")
-    rows = named.select("bits", "node", (F.sum("m").over(rank) >= VOTES).alias("seeks"), F.sum("m").over(whole).alias("all"))
-    # An image with fewer features than that which others hold links to none.
-    return staged(rows.where(F.col("all") >= VOTES).drop("all")), both
+    w = F.least("m", F.greatest(F.lit(0), F.sum("m").over(rank) - LEFT))
+    return staged(named.select("bits", "node", F.when(F.sum("m").over(whole) >= VOTES, w).otherwise(0).cast("int").alias("w"))), both
 
 
 def leaders(rows: DataFrame) -> DataFrame:
     """Pairs (src, dst): to each image, of the smallest images that hold one of its descriptors, the one with which it shares most."""
     least = rows.groupBy("bits").agg(F.min("node").alias("src"), F.max("node").alias("last")).where("src != last").select("bits", "src")
-    shared = rows.join(least, "bits").where("src != node AND seeks").groupBy("node", "src").agg(F.count("*").alias("n"))
+    shared = rows.join(least, "bits").where("src != node AND w > 0").groupBy("node", "src").agg(F.count("*").alias("n"))
     return shared.groupBy("node").agg(F.max_by("src", F.struct("n", -F.col("src"))).alias("src")).select("src", F.col("node").alias("dst"))
 
 
@@ -319,14 +320,14 @@ def candidates(rows: DataFrame, near: DataFrame, groups: DataFrame | None = None
     """
     named = rows.withColumn("component", F.col("node")) if groups is None else rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = staged(named)
-    held = named.groupBy("bits", "component").agg(F.max("seeks").alias("seeks"))
-    a = held.where("seeks").select(F.col("bits").alias("x"), F.col("component").alias("a"))
+    held = named.groupBy("bits", "component").agg(F.max("w").alias("w"))
+    a = held.where("w > 0").select(F.col("bits").alias("x"), F.col("component").alias("a"))
     b = held.select(F.col("bits").alias("y"), F.col("component").alias("b"))
     met = near.join(a, "x").join(b, "y").where("a != b")
-    src = named.where("seeks").select(F.col("component").alias("a"), F.col("bits").alias("x"), F.col("node").alias("p"))
+    src = named.where("w > 0").select(F.col("component").alias("a"), F.col("bits").alias("x"), F.col("node").alias("p"), "w")
     dst = named.select(F.col("component").alias("b"), F.col("bits").alias("y"), F.col("node").alias("q"))
-    # Either of two images may be the one that seeks.
-    return met.join(src, ["a", "x"]).join(dst, ["b", "y"]).select(F.least("p", "q").alias("src"), F.greatest("p", "q").alias("dst")).distinct()
+    found = met.join(src, ["a", "x"]).join(dst, ["b", "y"]).where("p < q").groupBy(F.col("p").alias("src"), F.col("q").alias("dst")).agg(F.sum("w").alias("n"))
+    return found.where(F.col("n") >= VOTES - LEFT).select("src", "dst")
 
 
 def _votes(a: np.ndarray, b: np.ndarray, i: np.ndarray) -> np.ndarray:
