@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import id_back, id_of, text_of
+from tidewire.llm.common import id_of, text_of
 from tidewire.llm.substring_dedup import _SKETCH, framed, merged, mixed, pack, pack_sorted, unframed, unpack, unpack_sorted
 
 SIZE, LEAD = 50, 24
@@ -27,6 +27,8 @@ SIZE, LEAD = 50, 24
 CELLS, SHARD_CELLS, BLOCK_BYTES, PASS_BYTES = 16, 1 << 25, 12 << 20, 1 << 20
 #: Suffix records of a bucket, about; suffixes sampled for a splitter; strings sorted at once.
 BUCKET_RECORDS, SAMPLED, STRINGS = 1 << 17, 32, 1 << 18
+#: Rows of a range that is sorted outright.
+SMALL = 1024
 
 
 def anchors(text: np.ndarray, size: int = SIZE, lead: int = LEAD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -163,23 +165,27 @@ def records(docs: pa.Table, replies: pa.Table, splitters: np.ndarray, size: int,
 def multikey_sort(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of n rows of big-endian 8-byte words, and for each in that order whether it differs from the one before.
 
-    A quicksort on the first word parts the rows into runs; only runs of more than one row are sorted on the next.
+    A multikey quicksort: a range of rows is parted at a pivot into those whose word is less, the same and more; only the same go
+    on to the next word. Ranges of up to SMALL rows are sorted outright on the words that are left.
     """
     n, words = strings.shape
-    order = np.argsort(strings[:, 0])
+    order, ranges = np.arange(n), [(0, n, 0)]
+    while ranges:
+        lo, hi, w = ranges.pop()
+        if hi - lo < 2 or w == words:
+            continue
+        rows = order[lo:hi]
+        if hi - lo <= SMALL:
+            order[lo:hi] = rows[np.lexsort(strings[rows, w:].T[::-1])]
+            continue
+        key = strings[rows, w]
+        pivot = np.sort(key[:: len(key) // 9][:9])[4]
+        less, more = key < pivot, key > pivot
+        order[lo:hi] = np.concatenate([rows[less], rows[~(less | more)], rows[more]])
+        a, b = lo + int(less.sum()), hi - int(more.sum())
+        ranges += [(lo, a, w), (a, b, w + 1), (b, hi, w)]
     new = np.ones(n, bool)
-    new[1:] = strings[order[1:], 0] != strings[order[:-1], 0]
-    for w in range(1, words):
-        tied = ~(new & np.append(new[1:], True))  # rows of a run of at least two
-        at = np.flatnonzero(tied)
-        if not len(at):
-            break
-        run = np.cumsum(new)[at]
-        rows = order[at]
-        rows = rows[np.lexsort((strings[rows, w], run))]
-        order[at] = rows
-        word = strings[rows, w]
-        new[at[1:]] |= (word[1:] != word[:-1]) & (run[1:] == run[:-1])
+    new[1:] = (strings[order[1:]] != strings[order[:-1]]).any(axis=1)
     return order, new
 
 
@@ -242,14 +248,14 @@ def compare(suffixes: pa.Table, size: int, lead: int) -> pa.Table:
     out = []
     by = np.argsort(block, kind="stable")
     names, firsts = np.unique(block[by], return_index=True)
-    for x, s in zip(names.tolist(), np.split(start[by], firsts[1:]), strict=True):
+    for x, s in zip(names.tolist(), np.split(start[by], firsts[1:]) if len(names) else (), strict=True):
         out.append((x, pack_sorted(np.sort(s).astype(np.uint64))))
     cols = list(zip(*out, strict=True)) if out else [()] * 2
     return pa.table([pa.array(c, t) for c, t in zip(cols, _RUNS.types, strict=True)], schema=_RUNS)
 
 
 def remove(docs: pa.Table, starts: pa.Table, size: int) -> pa.Table:
-    schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("content", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("content", pa.binary()), ("none", pa.bool_())])
     own = Block(docs) if docs.num_rows else None
     if own is None:
         return schema.empty_table()
@@ -265,19 +271,20 @@ def remove(docs: pa.Table, starts: pa.Table, size: int) -> pa.Table:
         spans = int((g & ~np.concatenate([[False], g[:-1]])).sum()) if b > a else 0
         done[pair] = (pair[0], b - a, int(g.sum()), spans, own.bytes[a:b][~g].tobytes() if spans else pair[1])
     out = [done[x] for x in zip(docs["id"].to_pylist(), docs["text"].cast(pa.binary()).to_pylist(), strict=True)]
-    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+    cols = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=False)]
+    return pa.table([*cols, docs["none"]], schema=schema)
 
 
 def deduplicate_bytes(docs: DataFrame, size: int = SIZE, lead: int = LEAD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and content (the bytes left) for every row of docs.
 
     Texts are UTF-8 bytes. A byte goes if a string of ``size`` bytes over it also starts in a document of smaller id; what is
-    left may be cut within a character. Null, empty and shorter texts lose nothing (null: no bytes). A null id ranks last and
-    stays null. Rows of one id never cost each other anything, whatever their texts, and come back as often as they came.
+    left may be cut within a character. Null, empty and shorter texts lose nothing (null: no bytes). A null id ranks last, with
+    the largest one, and stays null. Rows of one id never cost each other anything, whatever their texts, and come back as often as they came.
     Other columns are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text"))
+    rows = docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text"), F.col(id_col).isNull().alias("none"))
     n_bytes = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-n_bytes // BLOCK_BYTES))
     n_anchors = max(1, 2 * n_bytes // (size - lead + 2))
@@ -285,7 +292,7 @@ def deduplicate_bytes(docs: DataFrame, size: int = SIZE, lead: int = LEAD, id_co
     shards = max(1, -(-width // SHARD_CELLS))
     buckets = max(1, -(-n_anchors // BUCKET_RECORDS))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(blocks, 100_000))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long")).repartition(parts, "block")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("long")).repartition(parts, "block")
     splitters = sampled_splitters(rows, n_bytes, buckets, size, lead)
 
     def first_pass(docs: pa.Table) -> pa.Table:
@@ -307,8 +314,8 @@ def deduplicate_bytes(docs: DataFrame, size: int = SIZE, lead: int = LEAD, id_co
     replies = sketched.groupBy("shard").applyInArrow(merge, "row int, shard int, block long, bits binary")
     suffixes = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(second_pass, "bucket int, block long, records binary")
     starts = suffixes.groupBy("bucket").applyInArrow(sort, "block long, starts binary")
-    done = dealt.groupBy("block").cogroup(starts.groupBy("block")).applyInArrow(last_pass, "id long, n_bytes long, n_removed long, n_spans long, content binary")
-    return done.select(id_back("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "content")
+    done = dealt.groupBy("block").cogroup(starts.groupBy("block")).applyInArrow(last_pass, "id long, n_bytes long, n_removed long, n_spans long, content binary, none boolean")
+    return done.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "content")
 
 
 def sampled_splitters(rows: DataFrame, n_bytes: int, buckets: int, size: int, lead: int) -> np.ndarray:
