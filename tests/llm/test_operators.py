@@ -180,7 +180,9 @@ def test_bytes(spark, small, monkeypatch):
     assert suffix_dedup.deduplicate_bytes(edge.empty(spark)).count() == 0
 
 
-def test_multikey_sort():
+@pytest.mark.parametrize("small_range", [16, 1024])
+def test_multikey_sort(monkeypatch, small_range):
+    monkeypatch.setattr(suffix_dedup, "SMALL", small_range)
     rng = np.random.default_rng(3)
     rows = rng.integers(0, 3, (500, 4)).astype(np.uint64)
     order, new = suffix_dedup.multikey_sort(rows)
@@ -333,6 +335,24 @@ def test_word_cache():
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_largest_id_and_no_id(spark):
+    """The largest id stays what it is beside rows without one, in every operator."""
+    long = " ".join(f"w{k}" for k in range(60)) + "\na line that two rows hold"
+    rows = [(LAST, long), (None, long), (None, long + " more"), (None, "another one"), (7, "short"), (LAST - 1, "x\na line that two rows hold")]
+    df, want = edge.frame(spark, rows), sorted((i for i, _ in rows), key=str)
+    got = {
+        "exact": exact_dedup.exact_duplicates(df), "bytes": suffix_dedup.deduplicate_bytes(df), "windows": substring_dedup.deduplicate_windows(df), "lines": line_dedup.deduplicate_lines(df),
+        "simhash": simhash.simhash_groups(df), "bpe": bpe.encode_documents(df),
+    }
+    for name, out in got.items():
+        assert sorted((r.doc_id for r in out.select("doc_id").collect()), key=str) == want, name
+    assert {r.doc_id for r in packing.pack(df).collect()} == set(want)
+    assert {(r.doc_id, r.keep_id, r.kept) for r in got["exact"].collect() if r.doc_id in (LAST, None) and r.group_size == 2} == {(LAST, LAST, True), (None, LAST, False)}
+    lines = got["lines"].where("lines_dropped > 0").select("doc_id").collect()
+    assert LAST - 1 not in {r.doc_id for r in lines} and LAST in {r.doc_id for r in lines}
+    assert [c for c in got["lines"].columns if not c.startswith("lines_")] == [c for c in df.columns if not c.startswith("lines_")]
+
+
 def test_queries_have_their_columns(spark, sf):
     want = {
         "op1_exact_dedup": "doc_id keep_id group_size kept text_sha256", "op2_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256", "op3_quality": "doc_id held_out score predicted",

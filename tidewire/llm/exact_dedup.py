@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import SPACES, id_back, id_of, n_parts, staged, text_of
+from tidewire.llm.common import SPACES, n_parts, staged, text_of
 
 #: Counters of a summary: the bound on what is broadcast, in rows of about 120 bytes.
 COUNTERS = 1024
@@ -61,10 +61,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     text = text_of(text_col)
     slim = staged(docs.select(
-        id_of(id_col).alias("id"), F.length(text).cast("long").alias("n_chars"),
+        F.col(id_col).cast("long").alias("id"), F.length(text).cast("long").alias("n_chars"),
         F.unhex(F.sha2(F.translate(text, SPACES, "").cast("binary"), 256)).alias("digest"), F.monotonically_increasing_id().alias("row"),
     ))
-    rank = F.struct((-F.col("n_chars")).alias("most"), "id", "row")
+    rank = F.struct((-F.col("n_chars")).alias("most"), F.col("id").isNull().alias("without"), "id", "row")
     rows = slim.count()  # from the staged files' footers
     winners = staged(
         slim.join(F.broadcast(frequent(slim, counters)), "digest").groupBy("digest").agg(F.min(rank).alias("best"), F.count("*").alias("group_size"))
@@ -74,14 +74,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     group = Window.partitionBy("digest")
     light = slim.join(F.broadcast(winners.select("digest")), "digest", "left_anti").select("*", F.min(rank).over(group).alias("best"), F.count("*").over(group).alias("group_size"))
     return heavy.unionByName(light).select(
-        id_back("id").alias("doc_id"), F.when(F.col("best.id") != (1 << 63) - 1, F.col("best.id")).alias("keep_id"), "group_size",
+        F.col("id").alias("doc_id"), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("best.row") == F.col("row")).alias("kept"), "digest", "n_chars",
     )
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
     """The rows of docs that stay, with all their columns; of rows that repeat id and text one stays."""
-    kept = exact_duplicates(docs, id_col, text_col, counters).where("kept").select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("__id"), F.col("digest").alias("__digest"), F.col("n_chars").alias("__n"))
-    text = text_of(text_col)
-    keyed = docs.withColumns({"__id": id_of(id_col), "__digest": F.unhex(F.sha2(F.translate(text, SPACES, "").cast("binary"), 256)), "__n": F.length(text).cast("long")})
-    return keyed.join(kept, ["__id", "__digest", "__n"], "left_semi").dropDuplicates(["__id", "__digest"]).drop("__id", "__digest", "__n")
+    key = lambda i, d, n: F.struct(i.isNull().alias("without"), F.coalesce(i, F.lit(0)).alias("id"), d.alias("digest"), n.alias("n"))
+    kept = exact_duplicates(docs, id_col, text_col, counters).where("kept").select(key(F.col("doc_id"), F.col("digest"), F.col("n_chars")).alias("key"))
+    text = text_of(f"`{text_col}`")
+    own = key(F.col(f"`{id_col}`").cast("long"), F.unhex(F.sha2(F.translate(text, SPACES, "").cast("binary"), 256)), F.length(text).cast("long"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("key")).join(kept, "key", "left_semi").dropDuplicates(["key"])
+    return rows.select([F.col(f"row.`{c}`").alias(c) for c in docs.columns])

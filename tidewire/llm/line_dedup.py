@@ -38,18 +38,24 @@ def key_hash(key: bytes, min_chars: int) -> bytes | None:
 
 
 def line_hashes(docs: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows (key, id): the distinct hashes of each document's long enough lines."""
+    """Rows (key, id, doc): the distinct hashes of each row's long enough lines; doc is the digest of its id and text."""
 
     def run(batches):
         for batch in slices(batches):
-            keys, ids = [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            keys, ids, docs = [], [], []
+            for i, text, doc in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 own = {key_hash(line_key(x), min_chars) for x in text.split(b"\n")} - {None}
                 keys += own
                 ids += [i] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], names=["key", "id"])
+                docs += [doc] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(docs, pa.binary())], names=["key", "id", "doc"])
 
-    return docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, "key binary, id long")
+    return docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text"), doc_key(id_col, text_col).alias("doc")).mapInArrow(run, "key binary, id long, doc binary")
+
+
+def doc_key(id_col: str, text_col: str):
+    """A digest of id and text, so that rows without an id, or with one that many share, are no single key."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("none")), F.lit(" "), text_of(text_col))))
 
 
 def build_shard(shard: int, keys: list[bytes], first: np.ndarray, last: np.ndarray) -> dict:
@@ -61,7 +67,7 @@ def build_shard(shard: int, keys: list[bytes], first: np.ndarray, last: np.ndarr
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, keys): the hashes of the lines that a document loses, as one array."""
+    """Rows (doc, keys): the hashes of the lines that a row loses, as one array; doc is the digest of its id and text."""
     spark = docs.sparkSession
     lines = staged(line_hashes(docs, min_chars, id_col, text_col))
     shards = max(1, -(-lines.count() // SHARD_LINES))
@@ -76,11 +82,11 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "d
     probes = lines.withColumn("shard", shard)
     parts = probes.groupBy("shard").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("parts"))  # a row for each shard
     parts = staged(parts)
-    probes = probes.join(F.broadcast(parts) if shards <= 1 << 16 else parts, "shard").select("shard", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "key", "id")
+    probes = probes.join(F.broadcast(parts) if shards <= 1 << 16 else parts, "shard").select("shard", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), "key", "id", "doc")
     index = index.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "keys", "prints", "counts", "firsts")
 
     def probe(index: pa.Table, asked: pa.Table) -> pa.Table:
-        schema = pa.schema([("key", pa.binary()), ("id", pa.int64())])
+        schema = pa.schema([("key", pa.binary()), ("doc", pa.binary())])
         if not index.num_rows or not asked.num_rows:
             return schema.empty_table()
         one = {k: index[k][0].as_py() for k in ("keys", "prints", "counts", "firsts")}
@@ -89,10 +95,10 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "d
         at = PerfectHash(own)(key)
         prints, counts, firsts = np.frombuffer(one["prints"], "<u4"), np.frombuffer(one["counts"], "u1"), np.frombuffer(one["firsts"], "<i8")
         hit = (at >= 0) & (prints[at] == (key[:, 1] & np.uint64(0xFFFFFFFF))) & (counts[at] > 1) & (firsts[at] != asked["id"].to_numpy())
-        return asked.select(["key", "id"]).filter(pa.array(hit)).cast(schema)
+        return asked.select(["key", "doc"]).filter(pa.array(hit)).cast(schema)
 
-    lost = index.groupBy("shard", "part").cogroup(probes.groupBy("shard", "part")).applyInArrow(probe, "key binary, id long")
-    return lost.groupBy("id").agg(F.collect_list("key").alias("keys"))
+    lost = index.groupBy("shard", "part").cogroup(probes.groupBy("shard", "part")).applyInArrow(probe, "key binary, doc binary")
+    return lost.distinct().groupBy("doc").agg(F.collect_list("key").alias("keys"))
 
 
 def drop_lines(text: bytes, lost: set[bytes], min_chars: int = MIN_CHARS) -> tuple[bytes, int, int]:
@@ -107,19 +113,18 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str =
 
     A line's key is the line stripped of white space with A-Z lower-cased. Keys of at least min_chars code points that two
     documents hold lose all their lines except in the document of the smallest id. A null or empty text is one empty line
-    and comes back as an empty text. A null id ranks last and stays null; rows with one id count as one document. All other
-    columns pass. Columns of docs named lines_before or lines_dropped are replaced.
+    and comes back as an empty text. A null id ranks last, with the largest one, and stays null; rows with one id count as one document. All other
+    columns pass, whatever their names. Columns of docs named lines_before or lines_dropped are replaced.
     """
-    lost = repeated_lines(docs, min_chars, id_col, text_col).select(F.col("id").alias("__id"), F.col("keys").alias("__lost"))
-    joined = docs.withColumns({"__id": id_of(id_col), text_col: text_of(text_col)}).join(lost, "__id", "left")
-    joined = joined.withColumn("__rest", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "lines_before", "lines_dropped")]))
-    rest = joined.select(F.col(text_col).alias("text"), "__lost", "__rest")
+    lost = repeated_lines(docs, min_chars, f"`{id_col}`", f"`{text_col}`")
+    own = docs.select(doc_key(f"`{id_col}`", f"`{text_col}`").alias("doc"), text_of(f"`{text_col}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest"))
+    rest = own.join(lost, "doc", "left").select("text", "keys", "rest")
 
     def run(batches):
         for batch in slices(batches):
             made = [drop_lines(t, set(k or ()), min_chars) for t, k in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in made], pa.binary()).cast(pa.string()), pa.array([x[1] for x in made], pa.int64()), pa.array([x[2] for x in made], pa.int64()), batch.column(2)], names=["text", "before", "dropped", "rest"])
 
-    out = rest.mapInArrow(run, StructType([StructField("text", StringType()), StructField("before", LongType()), StructField("dropped", LongType()), StructField("rest", rest.schema["__rest"].dataType)]))
+    out = rest.mapInArrow(run, StructType([StructField("text", StringType()), StructField("before", LongType()), StructField("dropped", LongType()), StructField("rest", rest.schema["rest"].dataType)]))
     cols = [F.col("text").alias(text_col) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in ("lines_before", "lines_dropped")]
     return out.select(*cols, F.col("before").alias("lines_before"), F.col("dropped").alias("lines_dropped"))

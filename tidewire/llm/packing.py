@@ -4,7 +4,7 @@ Every full window of a document is a sequence of its own; what is left of each d
 length alone. The lengths' histogram has at most capacity - 1 entries however many documents there are, so the plan is made on
 the driver: for each window the longest length left is taken, and a bitset subset-sum over the others finds the multiset that
 fills the window closest; it is backtracked to counts and repeated as often as the histogram allows. The plan then says where
-the r-th piece of a length goes, and pieces are ranked in salted shares, never in one task.
+the r-th piece of a length goes, and pieces are ranked in shares, never in one task.
 """
 
 from __future__ import annotations
@@ -21,14 +21,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewire.llm.common import id_back, id_of, slices, staged, text_of
+from tidewire.llm.common import slices, staged, text_of
 
 CAPACITY = 4096
 END_ID = 2
 #: Words whose ids a process keeps; it starts afresh beyond.
 WORDS = 400_000
-#: Shares in which the pieces of one length are ranked.
-SHARES = 64
 
 
 @lru_cache(maxsize=2)
@@ -127,7 +125,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str,
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = "id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
-    return docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def padding(fill: int, capacity: int) -> int:
@@ -205,8 +203,10 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
     path = path or public_tokenizers.path("word_bpe_49k.json")
     spark = docs.sparkSession
     rows = pieces(docs, path, capacity, end_id, id_col, text_col, with_ids)
-    rows = staged(rows.withColumns({"row": F.monotonically_increasing_id(), "share": F.pmod(F.xxhash64("id", "start"), F.lit(SHARES)).cast("int")}))
-    sizes = rows.groupBy("length", "share").agg(F.count("*").alias("n"))  # at most capacity x SHARES rows
+    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()))
+    # A share is what one task of that scan made, so that shares are as many as the input asks for.
+    rows = rows.withColumn("share", F.shiftright("row", 33).cast("int"))
+    sizes = rows.groupBy("length", "share").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
     sizes = staged(sizes.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long"))).select("length", "share", "base", "n"))
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
@@ -216,8 +216,8 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
     places = sorted([(capacity, 0, 0, 1, 0)] * (full > 0) + [(k, r, s + full, m, o) for k, r, s, m, o in places])
     table = np.array(places, np.int64).reshape(-1, 5)
     shared = spark.sparkContext.broadcast(table)
-    ranked = rows.withColumn("own", F.row_number().over(Window.partitionBy("length", "share").orderBy("id", "start", "row")) - 1)
-    ranked = ranked.join(F.broadcast(sizes.drop("n")), ["length", "share"]).withColumn("rank", F.col("base") + F.col("own"))
+    ranked = rows.withColumn("own", F.row_number().over(Window.partitionBy("length", "share").orderBy("row")) - 1)
+    ranked = ranked.join(sizes.drop("n"), ["length", "share"]).withColumn("rank", F.col("base") + F.col("own"))
     cols = ["id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
 
     def place(batches):
@@ -231,4 +231,4 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
 
     schema = "id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids + ", sequence_id long, offset long"
     out = ranked.select(*cols, "rank").mapInArrow(place, schema)
-    return out.withColumn("doc_id", id_back("id")).select("doc_id", *cols[1:5], "sequence_id", "offset", *cols[5:])
+    return out.withColumnRenamed("id", "doc_id").select("doc_id", *cols[1:5], "sequence_id", "offset", *cols[5:])

@@ -114,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             x = features([t.as_buffer().to_pybytes() for t in batch.column(1).cast(pa.binary())])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([r.astype("<f4").tobytes() for r in x], pa.binary())], names=["id", "y", "x"])
 
-    vectors = rows.select("id", "text", "y").mapInArrow(run, "id long, y int, x binary").dropDuplicates(["id"])
+    vectors = rows.select("id", "text", "y").mapInArrow(run, "id long, y int, x binary").groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x"))  # of several texts of one id the least vector
     got = sorted((r["id"], r["y"], r["x"]) for r in vectors.collect())  # at most 2 x per_label vectors
     if not got:
         return Model(np.zeros((0, TERMS + BANDS), np.float32), np.zeros(0))

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import id_back, id_of, text_of
+from tidewire.llm.common import id_of, text_of
 
 WINDOW = 20
 DEPTH, CELLS = 2, 4
@@ -201,8 +201,9 @@ def later(windows: pa.Table) -> pa.Table:
     parts = [[f(x) for f, x in zip((unpack_sorted, unpack, unpack, unpack, unpack), unframed(w), strict=True)] for w in windows["windows"].to_pylist()]
     h1, h2 = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
     ids = np.concatenate([p[2] for p in parts]).view(np.int64)
-    # Ids of different blocks differ, and within a block a window has one entry: the smallest id has the first occurrence.
-    order = np.lexsort((ids, h2, h1))
+    # Within a block a window has one entry: the smallest id has the first occurrence, and of one id with several texts the first block.
+    blocks = np.repeat(windows["block"].to_numpy(), [len(p[0]) for p in parts])
+    order = np.lexsort((blocks, ids, h2, h1))
     a, b = h1[order], h2[order]
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
     first = np.zeros(len(order), bool)
@@ -232,19 +233,19 @@ def deduplicate_windows(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_
     """doc_id, n_words, n_removed and text (the words kept, joined by one space) for every row of docs.
 
     Words are parted by ASCII white space. A word goes if a window of ``size`` words over it also starts earlier: in a document of
-    smaller id, or before in the same one. Null, empty and short texts lose nothing (null: no words). A null id ranks last
-    and stays null. Rows that repeat an id and a text are one document and come back alike, as often as they came; of rows
-    with one id and different texts, the order of their texts decides. Other columns are not read.
+    smaller id, or before in the same one. Null, empty and short texts lose nothing (null: no words). A null id ranks last,
+    with the largest one, and stays null. Rows that repeat an id and a text are one document and come back alike, as often as they
+    came; rows with one id and different texts are taken in a fixed order of their hashes. Other columns are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text"))
+    rows = docs.select(id_of(id_col).alias("id"), text_of(text_col).alias("text"), F.col(id_col).isNull().alias("none"))
     total = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum(F.length("text") - F.length(F.translate("text", "\x20\x09\x0a\x0b\x0c\x0d", "")) + 1).alias("words")).first()
     n_bytes, n_words = total["bytes"] or 0, total["words"] or 0
     blocks = max(1, -(-n_bytes // BLOCK_BYTES))
     width = max(1024, CELLS * n_words)
     shards = max(1, -(-n_words // SHARD_WINDOWS))
     # Shuffled by block: once for all three uses, which share the exchange.
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long"))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("long"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(blocks, 100_000))
     dealt = dealt.repartition(parts, "block")
 
@@ -263,7 +264,7 @@ def deduplicate_windows(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_
     starts = asked.groupBy("shard").applyInArrow(later, "block long, starts binary")
 
     def remove(docs: pa.Table, starts: pa.Table) -> pa.Table:
-        schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.binary())])
+        schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.binary()), ("none", pa.bool_())])
         places = np.sort(np.concatenate([unpack_sorted(x) for x in starts["starts"].to_pylist()] or [np.zeros(0, np.uint64)])).astype(np.int64)
         pairs = [*zip(docs["id"].to_pylist(), docs["text"].cast(pa.binary()).to_pylist(), strict=True)]
         out, done, begin = [], {}, 0
@@ -277,7 +278,7 @@ def deduplicate_windows(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_
             done[pair] = (pair[0], len(words), len(words) - len(kept), b" ".join(kept))
         out = [done[x] for x in pairs]
         cols = list(zip(*out, strict=True)) if out else [()] * 4
-        return pa.table([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+        return pa.table([*(pa.array(c, f.type) for c, f in zip(cols, schema, strict=False)), docs["none"]], schema=schema)
 
-    done = dealt.groupBy("block").cogroup(starts.groupBy("block")).applyInArrow(remove, "id long, n_words long, n_removed long, text binary")
-    return done.select(id_back("id").alias("doc_id"), "n_words", "n_removed", F.col("text").cast("string").alias("text"))
+    done = dealt.groupBy("block").cogroup(starts.groupBy("block")).applyInArrow(remove, "id long, n_words long, n_removed long, text binary, none boolean")
+    return done.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_words", "n_removed", F.col("text").cast("string").alias("text"))
