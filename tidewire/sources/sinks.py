@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -25,13 +27,46 @@ def upsert_sum(old: DataFrame, new: DataFrame, keys: list[str], value: str) -> D
 def capped_spend(requests: DataFrame, caps: DataFrame, key: str, order: list[str], amount: str, cap: str) -> DataFrame:
     """Each request with ``admitted``: it fits what is left of its key's cap, those before it that did not fit aside.
 
-    A fold over one key's requests in order; a key's requests of a day are held in one row.
+    Whether a request fits hangs on all before it, so a key's requests (of one day, by contract) are folded in order in one task.
     """
-    rows = requests.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, amount))).alias("r")).join(caps.select(key, cap), key)
-    start = F.struct(F.lit(0.0).alias("used"), F.array().cast("array<boolean>").alias("ok"))
-    step = lambda acc, x: F.when(acc["used"] + x[amount] <= F.col(cap), F.struct((acc["used"] + x[amount]).alias("used"), F.concat(acc["ok"], F.array(F.lit(True))).alias("ok"))).otherwise(F.struct(acc["used"].alias("used"), F.concat(acc["ok"], F.array(F.lit(False))).alias("ok")))
-    done = rows.select(key, F.explode(F.arrays_zip("r", F.aggregate("r", start, step, lambda acc: acc["ok"]).alias("admitted"))).alias("x"))
-    return done.select(key, *[F.col(f"x.r.{c}").alias(c) for c in [*order, amount]], F.col("x.admitted").alias("admitted"))
+    rows = requests.join(caps.select(key, F.col(cap).alias("_cap")), key).select(key, *order, amount, "_cap")
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, used, ok = pdf.sort_values(order), 0.0, []
+        for x, top in zip(pdf[amount], pdf["_cap"], strict=True):
+            ok.append(used + x <= top)
+            used += x if ok[-1] else 0.0
+        return pdf.drop(columns="_cap").assign(admitted=ok)
+
+    schema = StructType([*[f for f in rows.schema.fields if f.name != "_cap"], StructField("admitted", BooleanType())])
+    return rows.groupBy(key).applyInPandas(fold, schema)
+
+
+def save_state(df: DataFrame, path: str) -> None:
+    """A small table as a new version beside the old ones; readers see a version once it is whole."""
+    spark = df.sparkSession
+    df.withColumn("saved", F.lit(_versions(spark, path) + 1)).write.mode("append").partitionBy("saved").parquet(path)
+
+
+def load_state(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version."""
+    return spark.read.parquet(path).where(F.col("saved") == _versions(spark, path)).drop("saved")
+
+
+def _versions(spark: SparkSession, path: str) -> int:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return 0
+    names = [x.getPath().getName() for x in fs.listStatus(at)]
+    return max((int(n.split("=")[1]) for n in names if n.startswith("saved=")), default=0)
+
+
+def report_lines(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows as lines of a Markdown table, its head first: (place, line)."""
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), F.lit(" |"))
+    head = df.sparkSession.createDataFrame([(-2, "| " + " | ".join(columns) + " |"), (-1, "|" + "-|" * len(columns))], "place long, line string")
+    return head.unionByName(df.select(F.monotonically_increasing_id().alias("place"), line.alias("line")))
 
 
 def stage_ledger(stages: DataFrame, stage: str, reason: str, n: str) -> DataFrame:
