@@ -13,6 +13,8 @@ def shared_dir(spark) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where none is set."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: driver and executors need a folder that they share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewire-"))
         at = spark.sparkContext.getCheckpointDir()
     return at

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.functions.text import with_shingles
+from tidewire.functions.text import words
 from tidewire.operators.graph import connected_components, cut_lineage
 
 CONTAINMENT, REVERSE, OVERLAP = 0.9, 0.5, 5
 
 
 def shingle_sets(articles: DataFrame, k: int = 5) -> DataFrame:
-    """One row for each day and distinct shingle set: day, id (the smallest article), n, s (64-bit shingle hashes), and all its articles."""
-    sets = with_shingles(articles.select("id", "day", "body"), "body", "s", k)
-    hashed = sets.select("id", "day", F.array_sort(F.array_distinct(F.transform("s", lambda x: F.xxhash64(x)))).alias("s"))
-    return hashed.withColumn("key", F.sha2(F.array_join(F.transform("s", lambda x: x.cast("string")), ",").cast("binary"), 256))
+    """One row for each article: id, day, s (64-bit hashes of its distinct shingles, in order), key (the same for equal sets).
+
+    Words are hashed once, and a shingle is the hash of its words' hashes, so no shingle is ever a string. A shorter text is one
+    shingle, an empty one the empty shingle.
+    """
+    own = articles.select("id", "day", F.transform(words(F.col("body")), lambda w: F.xxhash64(w)).alias("w"))
+    n = F.size("w")
+    many = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, k)))
+    hashed = own.select("id", "day", F.array_sort(F.array_distinct(many)).alias("s"))
+    return hashed.withColumn("key", F.struct(F.xxhash64("s").alias("a"), F.xxhash64(F.reverse("s"), F.lit(7)).alias("b")))
 
 
 def containment_pairs(articles: DataFrame, containment: float = CONTAINMENT, reverse: float = REVERSE, overlap: int = OVERLAP) -> tuple[DataFrame, DataFrame]:
@@ -33,12 +39,11 @@ def containment_pairs(articles: DataFrame, containment: float = CONTAINMENT, rev
     each = reps.select("day", "rep", "n", F.explode("s").alias("h"))
     rank = each.groupBy("day", "h").agg(F.count("*").alias("df")).where("df > 1")
     # Shingles of one set are in no pair; the others' places count from the front, the lone ones first.
-    common = each.join(rank, ["day", "h"])
-    ordered = common.groupBy("day", "rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("own"))
-    ordered = ordered.withColumn("lone", F.col("n") - F.size("own"))
-    first = lambda share: F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * share - 1e-9).cast("int") + 1 - F.col("lone"))
-    prefix = lambda share: ordered.select("day", "rep", "n", F.explode(F.slice("own", 1, first(share))).alias("x")).select("day", "rep", "n", "x.h")
-    small, large = prefix(containment).withColumnsRenamed({"rep": "a", "n": "na"}), prefix(reverse).withColumnsRenamed({"rep": "b", "n": "nb"})
+    own = Window.partitionBy("day", "rep")
+    common = each.join(rank, ["day", "h"]).select("day", "rep", "n", "h", (F.row_number().over(own.orderBy("df", "h")) + F.col("n") - F.count("*").over(own)).alias("place"))
+    within = lambda share: F.col("place") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9).cast("int") + 1
+    prefix = cut_lineage(common.where(within(reverse)).select("day", "rep", "n", "h", within(containment).alias("small")))
+    small, large = prefix.where("small").select("day", "h", F.col("rep").alias("a"), F.col("n").alias("na")), prefix.select("day", "h", F.col("rep").alias("b"), F.col("n").alias("nb"))
     near = small.join(large, ["day", "h"]).where("a != b AND na <= nb AND na >= " + repr(reverse) + " * nb").select("day", "a", "b").distinct()
     sets = reps.select("day", "rep", "s", "n")
     checked = near.join(sets.withColumnsRenamed({"rep": "a", "s": "sa", "n": "na"}), ["day", "a"]).join(sets.withColumnsRenamed({"rep": "b", "s": "sb", "n": "nb"}), ["day", "b"])

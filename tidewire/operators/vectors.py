@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewire.functions.text import with_shingles
 
 #: Queries of one block of a search.
-BLOCK = 1024
+BLOCK = 4096
 
 
 def norm(v: str) -> Column:
@@ -30,32 +30,47 @@ def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
 def top_k(queries: DataFrame, vectors: DataFrame, id_col: str, vector: str, k: int) -> DataFrame:
     """(q, id, cosine): the k nearest of each query among all vectors but itself.
 
-    Queries travel in packed blocks, each vector partition answers a block with one matrix product and its own k best, and these are
-    merged by a window; nothing is sent that is not among the k best of its partition.
+    Queries are taken in blocks of about BLOCK, the bound on what is broadcast; each block is one pass over the vectors where
+    they lie. A partition answers with matrix products and keeps its own k best for each query, and these alone are merged.
     """
+    spark = queries.sparkSession
     q = queries.select(F.col(id_col).alias("q"), F.col(vector).alias("v"))
-    packed = q.groupBy(F.pmod(F.xxhash64("q"), F.lit(64)).alias("block")).agg(F.sort_array(F.collect_list(F.struct("q", "v"))).alias("rows"))
-    chunks = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(id_col), F.lit(32)).alias("chunk"))
-    dealt = chunks.groupBy("chunk").agg(F.collect_list(F.struct("id", "v")).alias("base"))
-    met = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(63)))).join(packed, "block")
+    blocks = max(1, -(-q.count() // BLOCK))
+    out = None
+    for b in range(blocks):
+        rows = q.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b).toPandas()  # about BLOCK rows
+        if not len(rows):
+            continue
+        shared = spark.sparkContext.broadcast((rows["q"].to_numpy(), _unit(np.stack(rows["v"].to_numpy()).astype(np.float64))))
+        best = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v")).mapInPandas(_nearest(shared, k), "q long, id long, cosine double")
+        out = best if out is None else out.unionByName(best)
+    if out is None:
+        return spark.createDataFrame([], f"q long, {id_col} long, cosine double")
+    w = Window.partitionBy("q").orderBy(F.desc("cosine"), "id")
+    return out.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k).select("q", F.col("id").alias(id_col), "cosine")
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
-    def score(batches):
+
+def _nearest(shared, k: int):
+    def run(batches):
+        qs, a = shared.value
+        held = None
         for pdf in batches:
-            out = []
-            for base, rows in zip(pdf["base"], pdf["rows"], strict=True):
-                ids, b = np.array([x["id"] for x in base]), np.array([x["v"] for x in base], np.float64)
-                qs, a = np.array([x["q"] for x in rows]), np.array([x["v"] for x in rows], np.float64)
-                b, a = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300) for m in (b, a))
-                cos = np.round(a @ b.T, 6)
-                for i, own in enumerate(qs):
-                    order = np.lexsort((ids, -cos[i]))
-                    order = order[ids[order] != own][:k]
-                    out.append(pd.DataFrame({"q": own, "id": ids[order], "cosine": cos[i][order]}))
-            yield pd.concat(out) if out else pd.DataFrame({"q": [], "id": [], "cosine": []})
-
-    best = met.select("base", "rows").mapInPandas(score, "q long, id long, cosine double")
-    w = Window.partitionBy("q").orderBy(F.desc("cosine"), "id")
-    return best.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k).select("q", F.col("id").alias(id_col), "cosine")
+            if len(pdf):
+                ids, cos = pdf["id"].to_numpy(), np.round(a @ _unit(np.stack(pdf["v"].to_numpy()).astype(np.float64)).T, 6)
+                own = pd.DataFrame({"q": np.repeat(qs, len(ids)), "id": np.tile(ids, len(qs)), "cosine": cos.ravel()})
+                # Of a batch, only what is not worse than a query's k-th best can be among its k.
+                kth = np.partition(cos, max(0, len(ids) - k - 1), axis=1)[:, max(0, len(ids) - k - 1)]
+                own = own[(own["q"] != own["id"]) & (own["cosine"] >= np.repeat(kth, len(ids)))]
+                held = own if held is None else pd.concat([held, own])
+                held = held.sort_values(["q", "cosine", "id"], ascending=[True, False, True]).groupby("q").head(k)
+        if held is not None:
+            yield held
+
+    return run
 
 
 def leader_clusters(df: DataFrame, group: str, id_col: str, vector: str, threshold: float) -> DataFrame:
