@@ -115,6 +115,9 @@ def test_perfect_hash():
     h = PerfectHash(keys)
     assert sorted(h(keys).tolist()) == list(range(5000))
     assert len(PerfectHash(keys[:0])(keys)) == 5000
+    again = PerfectHash.unpacked(h.packed())
+    assert (again(keys) == h(keys)).all() and again.n == 5000 and len(h.packed()) < 5000
+    assert PerfectHash.unpacked(PerfectHash(keys[:0]).packed()).n == 0
 
 
 def plain_windows(rows, size=20):

@@ -2,7 +2,8 @@
 
 Each shard of the hash space has one perfect hash over its distinct lines and three flat arrays in its order:
 fingerprints, counts (1, or 2 for "two or more documents") and the smallest document. Documents send the hashes of their lines
-to the shards in packed form; a shard that a third of all lines fall on is probed in several salted parts.
+to the shards in packed form. An index holds no keys: about four bits of levels, a fingerprint, a count and an id for each line; all
+lines that probe it were put into it, so none can be taken for another. A shard that a third of all lines fall on is probed in several salted parts.
 """
 
 from __future__ import annotations
@@ -60,10 +61,11 @@ def doc_key(id_col: str, text_col: str):
 
 def build_shard(shard: int, keys: list[bytes], first: np.ndarray, last: np.ndarray) -> dict:
     own = words(b"".join(keys))
-    at = PerfectHash(own)(own)
+    index = PerfectHash(own)
+    at = index(own)
     prints, counts, firsts = np.zeros(len(own), "<u4"), np.zeros(len(own), "u1"), np.zeros(len(own), "<i8")
     prints[at], counts[at], firsts[at] = own[:, 1] & np.uint64(0xFFFFFFFF), 1 + (first != last), first
-    return {"shard": shard, "keys": b"".join(keys), "prints": prints.tobytes(), "counts": counts.tobytes(), "firsts": firsts.tobytes()}
+    return {"shard": shard, "levels": index.packed(), "prints": prints.tobytes(), "counts": counts.tobytes(), "firsts": firsts.tobytes()}
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -76,23 +78,22 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "d
 
     def build(table: pa.Table) -> pa.Table:
         made = build_shard(table["shard"][0].as_py(), table["key"].to_pylist(), table["first"].to_numpy(), table["last"].to_numpy())
-        return pa.table({k: [v] for k, v in made.items()}, pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("prints", pa.binary()), ("counts", pa.binary()), ("firsts", pa.binary())]))
+        return pa.table({k: [v] for k, v in made.items()}, pa.schema([("shard", pa.int32()), ("levels", pa.binary()), ("prints", pa.binary()), ("counts", pa.binary()), ("firsts", pa.binary())]))
 
-    index = staged(distinct.groupBy("shard").applyInArrow(build, "shard int, keys binary, prints binary, counts binary, firsts binary"))
+    index = staged(distinct.groupBy("shard").applyInArrow(build, "shard int, levels binary, prints binary, counts binary, firsts binary"))
     probes = lines.withColumn("shard", shard)
     parts = probes.groupBy("shard").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("parts"))  # a row for each shard
     parts = staged(parts)
     probes = probes.join(F.broadcast(parts) if shards <= 1 << 16 else parts, "shard").select("shard", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), "key", "id", "doc")
-    index = index.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "keys", "prints", "counts", "firsts")
+    index = index.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "levels", "prints", "counts", "firsts")
 
     def probe(index: pa.Table, asked: pa.Table) -> pa.Table:
         schema = pa.schema([("key", pa.binary()), ("doc", pa.binary())])
         if not index.num_rows or not asked.num_rows:
             return schema.empty_table()
-        one = {k: index[k][0].as_py() for k in ("keys", "prints", "counts", "firsts")}
-        own = words(one["keys"])
+        one = {k: index[k][0].as_py() for k in ("levels", "prints", "counts", "firsts")}
         key = words(b"".join(asked["key"].to_pylist()))
-        at = PerfectHash(own)(key)
+        at = PerfectHash.unpacked(one["levels"])(key)
         prints, counts, firsts = np.frombuffer(one["prints"], "<u4"), np.frombuffer(one["counts"], "u1"), np.frombuffer(one["firsts"], "<i8")
         hit = (at >= 0) & (prints[at] == (key[:, 1] & np.uint64(0xFFFFFFFF))) & (counts[at] > 1) & (firsts[at] != asked["id"].to_numpy())
         return asked.select(["key", "doc"]).filter(pa.array(hit)).cast(schema)

@@ -39,6 +39,22 @@ class PerfectHash:
             keys = keys[~alone[at]]
             level += 1
 
+    def packed(self) -> bytes:
+        """The bit arrays alone, about four bits a key: sizes first, then the bits of each level."""
+        head = np.array([self.n, len(self.levels), *(m for m, _, _ in self.levels)], "<i8").tobytes()
+        return head + b"".join(np.packbits(alone).tobytes() for _, alone, _ in self.levels)
+
+    @classmethod
+    def unpacked(cls, raw: bytes) -> PerfectHash:
+        out = cls(np.zeros((0, 2), np.uint64))
+        out.n, count = np.frombuffer(raw, "<i8", 2).tolist()
+        at, base = 8 * (2 + count), 0
+        for m in np.frombuffer(raw, "<i8", count, 16).tolist():
+            alone = np.unpackbits(np.frombuffer(raw, np.uint8, -(-m // 8), at), count=m).astype(bool)
+            out.levels.append((m, alone, np.cumsum(alone) - 1 + base))
+            at, base = at + -(-m // 8), base + int(alone.sum())
+        return out
+
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         out = np.full(len(keys), -1, np.int64)
         left = np.arange(len(keys))
