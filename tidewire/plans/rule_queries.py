@@ -79,18 +79,18 @@ def statistics_and_claims(spark, sf):
 
 
 _URLS = """u AS (SELECT event_id AS id, CASE event_id % 7 WHEN 0 THEN 'https://www.youtube.com/watch?v=abc' || lpad(CAST(event_id AS VARCHAR), 8, '0') WHEN 1 THEN 'https://youtu.be/xyz' || lpad(CAST(event_id AS VARCHAR), 8, '0') WHEN 2 THEN 'https://vimeo.com/' || event_id WHEN 3 THEN 'https://x.com/someone/status/' || event_id
-    WHEN 4 THEN 'https://bsky.app/profile/a.b/post/p' || event_id WHEN 5 THEN 'https://open.spotify.com/' || event_id ELSE 'https://example.com/' || event_id END AS url FROM events)"""
+    WHEN 4 THEN 'https://bsky.app/profile/a.b/post/p' || event_id WHEN 5 THEN 'https://open.spotify.com/' || event_id ELSE CASE WHEN event_id % 2 = 0 THEN 'https://example.com/' ELSE 'https://www.instagram.com/reel/' END || event_id END AS url FROM events)"""
 
 
-@query(f"""WITH {_URLS} SELECT id, CASE id % 7 WHEN 0 THEN 'youtube' WHEN 1 THEN 'youtube' WHEN 2 THEN 'vimeo' WHEN 3 THEN 'twitter' WHEN 4 THEN 'bluesky' WHEN 5 THEN 'spotify' ELSE 'embed' END AS platform,
+@query(f"""WITH {_URLS} SELECT id, CASE id % 7 WHEN 0 THEN 'youtube' WHEN 1 THEN 'youtube' WHEN 2 THEN 'vimeo' WHEN 3 THEN 'twitter' WHEN 4 THEN 'bluesky' WHEN 5 THEN 'spotify' ELSE CASE WHEN id % 2 = 0 THEN 'embed' ELSE 'instagram' END END AS platform,
     CASE id % 7 WHEN 0 THEN 'https://www.youtube.com/embed/abc' || lpad(CAST(id AS VARCHAR), 8, '0') WHEN 1 THEN 'https://www.youtube.com/embed/xyz' || lpad(CAST(id AS VARCHAR), 8, '0') WHEN 2 THEN 'https://player.vimeo.com/video/' || id
-    WHEN 3 THEN 'https://publish.twitter.com/oembed?url=https://twitter.com/user/status/' || id WHEN 4 THEN 'https://bsky.app/profile/user/post/p' || id END AS embed_url FROM u""")
+    WHEN 3 THEN 'https://publish.twitter.com/oembed?url=https://twitter.com/user/status/' || id WHEN 4 THEN 'https://bsky.app/profile/user/post/p' || id WHEN 6 THEN CASE WHEN id % 2 = 1 THEN 'https://www.instagram.com/p/' || id || '/embed/' END END AS embed_url FROM u""")
 def embeds(spark, sf):
     """Platforms of addresses, ids of videos and posts, and the addresses that embed them."""
     n = F.col("event_id")
     s, p = n.cast("string"), F.lpad(n.cast("string"), 8, "0")
     lead = lambda a, b: F.concat(F.lit(a), b)
-    url = F.when(n % 7 == 0, lead("https://www.youtube.com/watch?v=abc", p)).when(n % 7 == 1, lead("https://youtu.be/xyz", p)).when(n % 7 == 2, lead("https://vimeo.com/", s)).when(n % 7 == 3, lead("https://x.com/someone/status/", s)).when(n % 7 == 4, lead("https://bsky.app/profile/a.b/post/p", s)).when(n % 7 == 5, lead("https://open.spotify.com/", s)).otherwise(lead("https://example.com/", s))
+    url = F.when(n % 7 == 0, lead("https://www.youtube.com/watch?v=abc", p)).when(n % 7 == 1, lead("https://youtu.be/xyz", p)).when(n % 7 == 2, lead("https://vimeo.com/", s)).when(n % 7 == 3, lead("https://x.com/someone/status/", s)).when(n % 7 == 4, lead("https://bsky.app/profile/a.b/post/p", s)).when(n % 7 == 5, lead("https://open.spotify.com/", s)).when(n % 2 == 0, lead("https://example.com/", s)).otherwise(lead("https://www.instagram.com/reel/", s))
     u = table(spark, sf, "events").select(n.alias("id"), url.alias("url"))
     return u.select("id", X.platform(F.col("url")).alias("platform"), F.get(X.embeds(F.col("url")), F.lit(0))["url"].alias("embed_url"))
 
