@@ -17,7 +17,7 @@ NO_ID = (1 << 63) - 1
 #: Arrow batches are worked on in slices of about this many bytes of text.
 SLICE_BYTES = 4 << 20
 #: Rows of one key in one task of a join, about.
-SPREAD = 4096
+SPREAD = 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
