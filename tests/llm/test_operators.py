@@ -172,7 +172,8 @@ def plain_bytes(rows, size=50):
 
 
 def test_bytes(spark, small, monkeypatch):
-    for block, records, at_once, per_pass in ((12 << 20, 1 << 17, 1 << 18, 1 << 20), (60_000, 500, 2000, 9000)):
+    for block, records, at_once, per_pass, ranges in ((12 << 20, 1 << 17, 1 << 18, 1 << 20, 1 << 16), (60_000, 500, 2000, 9000, 3)):
+        monkeypatch.setattr(suffix_dedup, "RANGES", ranges)
         monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)
         monkeypatch.setattr(suffix_dedup, "BUCKET_RECORDS", records)
         monkeypatch.setattr(suffix_dedup, "STRINGS", at_once)

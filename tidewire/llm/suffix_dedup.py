@@ -27,6 +27,8 @@ SIZE, LEAD = 50, 24
 CELLS, SHARD_CELLS, BLOCK_BYTES, PASS_BYTES = 16, 1 << 25, 12 << 20, 1 << 20
 #: Suffix records of a bucket, about; suffixes sampled for a splitter; strings sorted at once.
 BUCKET_RECORDS, SAMPLED, STRINGS = 1 << 17, 32, 1 << 18
+#: Splitters at most, the bound on what the driver samples; beyond, each range is dealt to several buckets by the leading tokens' hash.
+RANGES = 1 << 16
 #: Rows of a range that is sorted outright.
 SMALL = 1024
 
@@ -130,24 +132,24 @@ def leading(text: np.ndarray, at: np.ndarray, lead: int) -> np.ndarray:
     return np.ascontiguousarray(text[at[:, None] + np.arange(lead)]).view(f"S{lead}").ravel()
 
 
-_SUFFIX = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("records", pa.binary())])
+_SUFFIX = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("records", pa.binary())])
 _RUNS = pa.schema([("block", pa.int64()), ("starts", pa.binary())])
 
 
-def records(docs: pa.Table, replies: pa.Table, splitters: np.ndarray, size: int, lead: int, width: int, shards: int) -> pa.Table:
+def records(docs: pa.Table, replies: pa.Table, splitters: np.ndarray, size: int, lead: int, width: int, shards: int, parts: int = 1) -> pa.Table:
     """A block's suffix records, dealt to buckets; equal ones are one record with several places."""
     if not docs.num_rows:
         return _SUFFIX.empty_table()
     own = Block(docs)
-    at, first, last, _, doc = shared_anchors(own, replies, size, lead, width, shards)
+    at, first, last, h, doc = shared_anchors(own, replies, size, lead, width, shards)
     if not len(at):
         return _SUFFIX.empty_table()
     bucket = np.searchsorted(splitters, leading(own.bytes, at, lead), side="right") if len(splitters) else np.zeros(len(at), np.int64)
+    bucket = bucket * parts + (h >> np.uint64(7)).astype(np.int64) % parts
     raw, block, out = own.bytes.tobytes(), docs["block"][0].as_py(), []
     order = np.argsort(bucket, kind="stable")
-    cut = np.searchsorted(bucket[order], np.arange(len(splitters) + 2))
-    for b in np.flatnonzero(np.diff(cut)):
-        mine = order[cut[b] : cut[b + 1]]
+    names, cut = np.unique(bucket[order], return_index=True)
+    for b, mine in zip(names.tolist(), np.split(order, cut[1:]), strict=True):
         same: dict[tuple[bytes, int], list[tuple[int, int]]] = {}
         for a, f, z, d in zip(at[mine].tolist(), first[mine].tolist(), last[mine].tolist(), doc[mine].tolist(), strict=True):
             same.setdefault((raw[f : z + size], a - f), []).append((d, f))
@@ -293,7 +295,8 @@ def deduplicate_bytes(docs: DataFrame, size: int = SIZE, lead: int = LEAD, id_co
     buckets = max(1, -(-n_anchors // BUCKET_RECORDS))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(blocks, 100_000))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("long")).repartition(parts, "block")
-    splitters = sampled_splitters(rows, n_bytes, buckets, size, lead)
+    ranges = min(buckets, RANGES)
+    splitters, per_range = sampled_splitters(rows, n_bytes, ranges, size, lead), -(-buckets // ranges)
 
     def first_pass(docs: pa.Table) -> pa.Table:
         return prefilter(docs["block"][0].as_py(), docs, size, lead, width, shards)
@@ -302,7 +305,7 @@ def deduplicate_bytes(docs: DataFrame, size: int = SIZE, lead: int = LEAD, id_co
         return merged(rows, width, shards)
 
     def second_pass(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        return records(docs, replies, splitters, size, lead, width, shards)
+        return records(docs, replies, splitters, size, lead, width, shards, per_range)
 
     def sort(rows: pa.Table) -> pa.Table:
         return compare(rows, size, lead)
@@ -312,7 +315,7 @@ def deduplicate_bytes(docs: DataFrame, size: int = SIZE, lead: int = LEAD, id_co
 
     sketched = dealt.groupBy("block").applyInArrow(first_pass, "row int, shard int, block long, cells binary, many binary")
     replies = sketched.groupBy("shard").applyInArrow(merge, "row int, shard int, block long, bits binary")
-    suffixes = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(second_pass, "bucket int, block long, records binary")
+    suffixes = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(second_pass, "bucket long, block long, records binary")
     starts = suffixes.groupBy("bucket").applyInArrow(sort, "block long, starts binary")
     done = dealt.groupBy("block").cogroup(starts.groupBy("block")).applyInArrow(last_pass, "id long, n_bytes long, n_removed long, n_spans long, content binary, none boolean")
     return done.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "content")
