@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe, exact_dedup, line_dedup, media, packing, quality, secret_scan, simhash, substring_dedup, suffix_dedup
+from tidewire.llm import bpe, exact_dedup, filter_audit, line_dedup, lm_score, media, packing, quality, secret_scan, simhash, substring_dedup, suffix_dedup, vector_codes
 from tidewire.llm.common import documents
 
 
@@ -57,4 +57,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.col("lines_before").alias("n_lines"), F.col("lines_dropped").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_suffix_dedup, op3_quality, op4_substring_dedup, op5_secret_scans, op6_packing, op7_simhash, op8_byte_bpe, op9_media, op10_line_dedup)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return got.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(documents(spark, sf_dir))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_suffix_dedup, op3_quality, op4_substring_dedup, op5_secret_scans, op6_packing, op7_simhash, op8_byte_bpe, op9_media, op10_line_dedup, op11_vector_codes, op12_lm_score, op13_filter_audit)}
