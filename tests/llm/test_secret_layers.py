@@ -94,3 +94,48 @@ def test_a_stream_that_holds_itself_ends():
 def test_one_bad_byte_keeps_the_map():
     text = "q=%FF" + percent(b"token=") + "abcdefghijklm&y"
     assert ("assign", text.index("%74"), text.index("&y")) in secret_scan.scan(text)[1]
+
+
+@pytest.mark.parametrize("depth", [600, 2000, 10_000])
+def test_depth_meets_no_limit(depth):
+    raw = SECRET.encode()
+    for _ in range(depth):
+        raw = zlib.compress(raw, 1)
+    start = time.process_time()
+    assert any(k == "assign" for k, _, _ in secret_scan.scan(base64.b64encode(raw).decode())[1])
+    assert time.process_time() - start < 60
+
+
+def test_nested_stored_blocks_end():
+    for n in (800, 4000):
+        secret_scan.scan(base64.b64encode(bytes.fromhex("780100ffff0000") * n).decode())
+
+
+@pytest.mark.parametrize("width", [0, 76])
+@pytest.mark.parametrize("lead", [b"lorem ipsum dolor sit\n", b"=" * 50, b"ab cd "])
+def test_no_cut_loses_a_layer(monkeypatch, lead, width):
+    """A layer within a compressed layer, at all offsets around the end of a chunk."""
+    monkeypatch.setattr(secret_scan, "CHUNK", 1 << 12)
+    noise = bytes(random.Random(5).choice(b"abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(900))
+    inner = gzip.compress(noise + b" " + SECRET.encode())
+    inner = wrapped(inner, width).encode() if width else base64.b64encode(inner)
+    for at in range((1 << 12) - len(inner) - 40, (1 << 12) + 40, 53):
+        outer = (lead * (1 << 12))[: at - 1] + b"\n" + inner + b"\n" + lead * 300
+        hidden = base64.b64encode(zlib.compress(outer)).decode()
+        assert any(k == "assign" for k, _, _ in secret_scan.scan(hidden)[1]), at
+
+
+def test_unpacking_gives_what_was_packed():
+    """Random nests of all compressions, fed in pieces of any size, against the bytes inside."""
+    rng = random.Random(8)
+    kinds = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress]
+    for _ in range(60):
+        inside = bytes(rng.choice(b"abc \n") for _ in range(rng.choice([0, 1, 9, 5000, 70_000])))
+        raw = inside
+        for _ in range(rng.randrange(1, 5)):
+            raw = rng.choice(kinds)(raw)
+        u, step, got = secret_scan.Unpacking(), rng.choice([1000, 1 << 16]), []
+        for k in range(0, len(raw), step):
+            got += u.feed(raw[k : k + step])
+        got += u.finish()
+        assert b"".join(map(bytes, got)) == inside

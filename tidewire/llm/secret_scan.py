@@ -7,7 +7,8 @@ of the original text that they come from.
 
 Codes that wrap codes (%25 and the like) are unwrapped one level a round for a few rounds and then to their end in one pass, so a
 deep nest takes time in proportion to its length. Decoded bytes are scanned in their readable stretches, whatever lies between.
-Compressed layers are read in chunks, of any length; chunks are cut at line ends, or overlap where a line is longer than that.
+Compressed layers are read in chunks, of any length. A chunk is cut only where no secret, code or run of base64 lines can lie over
+the cut, so a layer within it is whole; only a single run of more than HELD bytes inside a compressed layer is cut, with overlap.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Lines of base64 letters, wrapped at a width; a last line may be shorter.
 _LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")
 _LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
+_IS_LETTER = np.isin(np.arange(256), [ord(c) for c in _LETTERS])
 _BREAK = re.compile(r"\r?\n[\x20\t]*")
 #: Compressed bytes as percent codes or hexadecimal escapes: runs with plain characters between, and one byte of them.
 _PERCENT_BYTES = re.compile(r"%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~!*'();:@&=+$,/?#\[\]-])*")
@@ -49,8 +51,10 @@ _MAGIC = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|BZh|\xfd7zXZ\x00|\x28\xb5
 _HIDDEN = re.compile(r"%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}")
 #: Readable stretches of bytes: UTF-8 without control characters; no secret is shorter than this.
 _STRETCH = re.compile(rb"(?:[\t\n\x0b\x0c\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){16,}")
-#: Bytes of a chunk of a compressed layer; bytes that two chunks share where no line ends in one.
-CHUNK, OVERLAP = 4 << 20, 1 << 20
+_LETTER_BYTES = "".join(sorted(_LETTERS)).encode()
+#: Bytes of a chunk of a compressed layer; of its text held at most for a place to cut that no run lies over; and of the beginning
+#: by which a compressed stream is known again.
+CHUNK, HELD, HEAD = 4 << 20, 64 << 20, 4096
 #: Rounds in which wrapped codes are unwrapped one level; beyond, to their end.
 ROUNDS = 2
 
@@ -175,78 +179,70 @@ def settled(layer: Layer) -> Layer | None:
     return Layer("".join(out), old_s[at[:, 0]], old_e[at[:, 1] - 1], rounds=layer.rounds + 1)
 
 
-class Stream:
-    """Bytes that come in chunks, through any number of compressions; used is how many of the first bytes were read."""
-
-    def __init__(self, raw: bytes | memoryview):
-        self.raw, self.used, self.failed = memoryview(raw), 0, False
-
-    def _inflated(self, chunks):
-        """One level less: the streams of one kind that follow each other, a chunk at a time."""
-        rest, d, begun = b"", None, False
-        for chunk in chunks:
-            rest = rest + bytes(chunk) if rest else bytes(chunk)
-            while rest:
-                if d is None:
-                    d = _opener(rest)
-                    if d is None:
-                        return
-                out, rest = _step(d, rest)
-                begun = True
-                if out:
-                    yield out
-                while not rest and not d.eof and getattr(d, "needs_input", True) is False:
-                    out = d.decompress(b"", CHUNK)
-                    yield out
-                if d.eof:
-                    rest, d = (d.unused_data or b"") + rest, None
-        if not begun:
-            self.failed = True
-
-    def _input(self):
-        for at in range(0, len(self.raw), 1 << 16):
-            self.used = min(len(self.raw), at + (1 << 16))
-            yield self.raw[at : at + (1 << 16)]
-
-    def chunks(self):
-        """Decompressed chunks: again as long as a layer starts with a compressed one that was not seen."""
-        level, seen = self._input(), set()
-        while True:
-            try:
-                first = next(level, None)
-            except _BROKEN:
-                first = None
-            if first is None:
-                return
-            head = bytes(first[:4096])
-            key = hashlib.blake2b(head, digest_size=16).digest()
-            level = _with(first, level)
-            if _MAGIC.match(head) and key not in seen:
-                seen.add(key)
-                level = self._inflated(level)
-            else:
-                break
-        if not seen:
-            return
-        while True:
+class Unpacking:
+    """Bytes that come in pieces, through any number of compressions.
+
+    One decompressor for each level, in a list: what a level gives goes to the next by a stack of pieces, not by nested calls, so
+    depth meets no limit. A level opens where the innermost output begins with a compressed stream whose beginning was not seen
+    before (streams can hold themselves). Streams of one level that follow each other are one output. A level that has ended
+    keeps no state, and pieces are of a chunk, so levels smaller than that are open one at a time.
+    """
+
+    def __init__(self):
+        self.levels, self.seen, self.head, self.plain = [], set(), b"", False
+
+    def feed(self, piece: bytes):
+        """What comes out for one more piece."""
+        yield from self._run([(0, piece)])
+
+    def finish(self):
+        """What comes out once no piece follows: a beginning too short to be judged before is judged now."""
+        while self.head:
+            yield from self._run(self._judged())
+
+    def _judged(self) -> list:
+        head, self.head = self.head, b""
+        key = hashlib.blake2b(head[:HEAD], digest_size=16).digest()
+        if _MAGIC.match(head) and key not in self.seen:
+            self.seen.add(key)
+            self.levels.append(None)
+            return [(len(self.levels) - 1, head)]
+        self.plain = True
+        return [(len(self.levels), head)]
+
+    def _run(self, work: list):
+        while work:
+            k, piece = work.pop()
+            if k == len(self.levels):
+                if self.plain:
+                    if self.levels:
+                        yield piece
+                    continue
+                self.head += piece
+                if len(self.head) >= HEAD:
+                    work += self._judged()
+                continue
+            if self.levels[k] is None and len(piece):
+                self.levels[k] = _opener(bytes(piece[:8])) or False
+            d = self.levels[k]
+            if not d:  # nothing more, or what follows a level's streams and is none
+                continue
             try:
-                chunk = next(level, None)
+                out, rest = _step(d, piece)
+                if d.eof:
+                    rest, self.levels[k] = (d.unused_data or b"") + bytes(rest), None
             except _BROKEN:
-                return
-            if chunk is None:
-                return
-            yield bytes(chunk)
+                out, rest, self.levels[k] = b"", b"", False
+            if len(rest) or len(out) >= CHUNK or getattr(d, "needs_input", True) is False:
+                work.append((k, rest))
+            if out:
+                work.append((k + 1, out))
 
 
 _ZLIB = type(zlib.decompressobj())
 _BROKEN = (OSError, EOFError, zlib.error, lzma.LZMAError, zstandard.ZstdError, ValueError)
 
 
-def _with(first, rest):
-    yield first
-    yield from rest
-
-
 def _opener(head: bytes):
     if head[:2] == b"\x1f\x8b":
         return zlib.decompressobj(31)
@@ -268,7 +264,7 @@ def _step(d, raw: bytes) -> tuple[bytes, bytes]:
         return out, d.unconsumed_tail
     if hasattr(d, "needs_input"):  # bz2, lzma
         return d.decompress(raw, CHUNK), b""
-    return d.decompress(raw[:1024]), raw[1024:]  # zstd
+    return d.decompress(raw[:1024]), memoryview(raw)[1024:]  # zstd
 
 
 def unpacked(raw: bytes | memoryview):
@@ -277,18 +273,41 @@ def unpacked(raw: bytes | memoryview):
         if text := as_text(bytes(raw)):
             yield text
         return
-    held = b""
-    for chunk in Stream(raw).chunks():
-        held += chunk
-        if len(held) >= CHUNK:
-            cut = held.rfind(b"\n") + 1
+    unpacking, held, tried = Unpacking(), b"", 0
+    for at in range(0, len(raw), CHUNK):
+        for chunk in unpacking.feed(bytes(raw[at : at + CHUNK])):
+            held += chunk
+            if len(held) < CHUNK:
+                continue
+            cut = _seam(held, tried)
+            if not cut and len(held) < HELD:
+                tried = len(held)
+                continue
             if text := as_text(held[:cut] if cut else held):
                 yield text
-            held = held[cut:] if cut else held[-OVERLAP:]
+            held, tried = held[cut:] if cut else held[-HELD // 4 :], 0
+    held += b"".join(unpacking.finish())
     if text := as_text(held):
         yield text
 
 
+def _seam(held: bytes, since: int) -> int:
+    """The last place from since on that lies in no secret, code or run of base64 lines, whatever follows; 0 if there is none.
+
+    That is behind a control character, or behind a line that ends in fewer than 16 base64 letters after other characters: such
+    a line neither begins a run of wrapped lines nor goes on with one.
+    """
+    best = max(held.rfind(bytes([c]), since) for c in (*range(9), *range(14, 32))) + 1
+    end = len(held)
+    while (at := held.rfind(b"\n", max(since, best), end)) >= 0:
+        line = held[held.rfind(b"\n", 0, at) + 1 : at].rstrip(b"\r")
+        before = line.rstrip(_LETTER_BYTES)
+        if len(before) == len(line) or (len(line) - len(before) < 16 and before.strip(b" \t")):
+            return at + 1
+        end = at
+    return best
+
+
 def as_text(raw: bytes) -> str | None:
     """The readable stretches of bytes, apart from each other, or none."""
     got = [m[0].decode() for m in _STRETCH.finditer(raw)]
@@ -375,14 +394,14 @@ def blocks(layer: Layer):
             lines = _BREAK.split(m[0])
             for n in {len(lines), len(lines) - 1} - {0}:  # the last line may be a word that follows
                 run = "".join(lines[:n]).rstrip("=")
-                place = [k for k, c in enumerate(m[0]) if c in _LETTERS] if len(lines) > 1 else range(len(m[0]))
-                end = m.end() if n == len(lines) else m.start() + place[len(run) - 1] + 1
+                place = range(len(m[0])) if len(lines) == 1 or layer.whole else np.flatnonzero(_IS_LETTER[np.frombuffer(m[0].encode(), np.uint8)])
+                end = m.end() if n == len(lines) else m.start() + int(place[len(run) - 1]) + 1
                 for r in range(4):
                     raw = _decoded(run[r : len(run) - ((len(run) - r) % 4 == 1)])
                     if raw is None:
                         continue
                     for a, b in _starts(raw):
-                        first, last = m.start() + place[r + a // 3 * 4 + a % 3], end if b == len(raw) else m.start() + place[r + (b * 4 + 2) // 3 - 1] + 1
+                        first, last = m.start() + int(place[r + a // 3 * 4 + a % 3]), end if b == len(raw) else m.start() + int(place[r + (b * 4 + 2) // 3 - 1]) + 1
                         for text in unpacked(memoryview(raw)[a:b]):
                             yield Layer(text, whole=layer.span(first, last))
 
