@@ -37,7 +37,7 @@ from tidewire.llm.substring_dedup import mixed, pack_sorted, unpack_sorted, word
 
 ORDER, MU = 3, 100.0
 #: Bytes of text in a block and tokens' n-grams in a shard, at least; and n-grams in a message, on average at least.
-BLOCK_BYTES, SHARD_TOKENS, MESSAGE = 12 << 20, 1 << 21, 64
+BLOCK_BYTES, SHARD_TOKENS, MESSAGE = 5 << 20, 1 << 20, 64
 TOKEN_BYTES = 6
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: No word has a space in it, so these are no words.
