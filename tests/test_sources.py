@@ -51,7 +51,18 @@ def test_quakes_and_alerts(spark, tmp_path):
     assert [(r.lat, r.lon, r.band) for r in rows] == [(20.0, 10.0, "strong")]
     items = spark.createDataFrame([("t", "http://g/1", "Thu, 01 Jan 2026 00:00:00 GMT", "fl", "Red", "X", "1.5 2.5"), ("t", "http://g/2", None, "zz", None, None, "bad")], "title string, link string, pubDate string, eventtype string, alertlevel string, country string, point string")
     got = feeds.alerts(items).collect()
-    assert [(r.kind, r.level, r.lat, r.lon) for r in got] == [("flood", "red", 1.5, 2.5)] and got[0].published.year == 2026
+    assert [(r.kind, r.level, r.lat, r.lon) for r in got] == [("Flood", "Red", 1.5, 2.5)] and got[0].published.year == 2026
+    (tmp_path / "alerts.xml").write_text(
+        "<rss><channel><item><title></title><guid>TC7</guid><link>http://g/3</link><eventtype>tc</eventtype><Point><lat> 4.5</lat><long>-7</long></Point><point>1 2</point></item>"
+        "<item><title>named</title><link>http://g/4</link><eventtype>QQ</eventtype><point>10 20</point></item><item><title>far</title><link>http://g/5</link><point>100 20</point></item><item><title>none</title><point>1 2</point></item></channel></rss>"
+    )
+    schema = "title string, guid string, link string, eventtype string, Point struct<lat:string,long:string>, point string"
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        got = feeds.alerts(spark.read.schema(schema).option("rowTag", "item").xml(str(tmp_path / "alerts.xml"))).collect()
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+    assert sorted((r.title, r.kind, r.lat, r.lon) for r in got) == [("Tropical Cyclone TC7", "Tropical Cyclone", 4.5, -7.0), ("named", "QQ", 10.0, 20.0)]
 
 
 def test_feed(spark, tmp_path):

@@ -94,6 +94,29 @@ def test_paragraph_diffs(spark):
     assert all(r.changed >= max(r.added, r.removed) and len(r.excerpt) <= 1200 and r.truncated == ("[truncated at" in r.excerpt) for r in rows)
 
 
+def test_alignment_is_a_longest_one():
+    import random
+
+    from tidewire.functions import alignment as AL
+
+    def longest(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    rng = random.Random(2)
+    for _ in range(400):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(0, 12))] for _ in range(2))
+        pairs = AL.matches(a, b)
+        assert len(pairs) == longest(a, b) and all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+        changed, added, removed, excerpt, cut = AL._row(a, b)
+        assert (added, removed) == (len(b) - len(pairs), len(a) - len(pairs)) and max(added, removed) <= changed <= added + removed and not cut
+        assert (excerpt == "") == (a == b)
+    assert AL._row(["x" * 3000], [])[3:] == ("- " + "x" * (1200 - len("[truncated at 1200 characters]") - 3) + "\n[truncated at 1200 characters]", True)
+
+
 def test_snippets_kept_share_nothing(spark):
     kept = catalog.QUERIES["snippet_dedup"](spark, SF)
     text = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id").alias("id"), F.posexplode(F.split("text", r"(?<=[.!?])\\s+")).alias("k", "snippet"))

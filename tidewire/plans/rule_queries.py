@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidewire.functions import alignment as AL
 from tidewire.functions import extract as X
 from tidewire.functions import text as T
 from tidewire.operators import assign as A
@@ -131,7 +132,7 @@ def paragraph_diff(spark, sf):
     """Each turn against the one before: paragraphs changed, added and removed, and an excerpt of the difference."""
     w = Window.partitionBy("article_id").orderBy("revision")
     r = revisions(spark, sf).withColumn("before", F.coalesce(F.lag("content").over(w), F.lit("")))
-    return r.select("article_id", "revision", X.paragraph_diff(T.paragraphs(F.col("before")), T.paragraphs(F.col("content"))).alias("d")).select("article_id", "revision", "d.*")
+    return r.select("article_id", "revision", AL.paragraph_diff(T.paragraphs(F.col("before")), T.paragraphs(F.col("content"))).alias("d")).select("article_id", "revision", "d.*")
 
 
 @query("""WITH t AS (SELECT event_id AS id, 'Rates stand at ' || (event_id % 50) || ' percent and ' || (event_id % 9) || '% here' AS a, 'Rates stand at ' || CASE event_id % 4 WHEN 0 THEN event_id % 50 WHEN 1 THEN (event_id % 50) * 2 ELSE event_id % 50 END || ' percent and ' || (event_id % 9) || CASE WHEN event_id % 4 = 2 THEN ' here  ' ELSE '% here' END AS b FROM events)

@@ -119,4 +119,4 @@ def breaker_runs(polls: DataFrame, late: str, hours: float = IDLE_HOURS, least:
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKS:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     rows = polls.withWatermark("ts", late).withColumn("at", F.unix_millis("ts"))
-    return rows.groupBy("source").transformWithStateInPandas(Breaker(int(hours * 3_600_000), least, share), "source long, begins long, tries long, good long, opened boolean", "append", "eventTime")
+    return rows.groupBy("source").transformWithStateInPandas(Breaker(int(hours * 3_600_000), least, share), f"source {polls.schema['source'].dataType.simpleString()}, begins long, tries long, good long, opened boolean", "append", "eventTime")
