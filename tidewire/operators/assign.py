@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import extract as X
@@ -92,17 +92,56 @@ def word_similarity(rows: DataFrame, query: str, limit: int, least: float = LEAS
     """
     words = [w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()]
     wanted = sorted({f"  {w} "[i : i + 3] for w in words for i in range(len(w) + 1)})
-    asked = F.array(*[F.lit(t) for t in wanted])
-    t = rows.select("story", "title", trigrams(F.col("title")).alias("t"))
-    # Runs that begin and end at a shared trigram: any other run scores less than the one within it.
-    at = F.filter(F.transform("t", lambda x, i: F.when(F.array_contains(asked, x), i)), lambda i: i.isNotNull())
-    run = lambda a, b: F.array_distinct(F.slice("t", a + 1, b - a + 1))
-    score = lambda r: F.size(F.array_intersect(r, asked)) / (F.size(r) + len(wanted) - F.size(F.array_intersect(r, asked)))
-    best = F.aggregate(F.flatten(F.transform("at", lambda a: F.transform(F.filter("at", lambda b: b >= a), lambda b: score(run(a, b))))), F.lit(0.0), lambda m, s: F.greatest(m, s))
-    s = t.withColumn("at", at).select("story", "title", best.alias("score")).where((F.col("score") >= least) | F.contains(F.lower("title"), F.lit(query.lower())))
+    s = rows.select("story", "title", best_run(trigrams(F.col("title")), F.array(*[F.lit(t) for t in wanted])).alias("score")).where((F.col("score") >= least) | F.contains(F.lower("title"), F.lit(query.lower())))
     return s.groupBy("story").agg(F.round(F.max("score"), 6).alias("score")).orderBy(F.desc("score"), "story").limit(limit)
 
 
+def best_run(t: Column, asked: Column) -> Column:
+    """The best share of asked (distinct trigrams) in any run of trigrams t; a run's score is what it shares over all of both.
+
+    Only runs that begin and end at a shared trigram are tried: any other scores less than the one within it.
+    """
+    at = F.filter(F.transform(t, lambda x, i: F.when(F.array_contains(asked, x), i)), lambda i: i.isNotNull())
+
+    def score(a: Column, b: Column) -> Column:
+        run = F.array_distinct(F.slice(t, a + 1, b - a + 1))
+        both = F.size(F.array_intersect(run, asked))
+        return both / (F.size(run) + F.size(asked) - both)
+
+    return F.aggregate(F.flatten(F.transform(at, lambda a: F.transform(F.filter(at, lambda b: b >= a), lambda b: score(a, b)))), F.lit(0.0), lambda m, s: F.greatest(m, s))
+
+
+def search(titles: DataFrame, queries: DataFrame, limit: int, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """(q, id, score) for the best titles (id, title) of each query (q, query), by the share of its trigrams in some run; ties by id.
+
+    A posting index of trigrams gives the candidates. A title of score s shares s of a query's n trigrams at least, so it holds one
+    of any n - ceil(s n) + 1 of them: of each query its rarest so many are sought, and the titles found are scored exactly. Titles
+    that hold the query itself are in whatever their score, and are found by its rarest trigram that has no word's edge in it;
+    queries without such a one (words of under three letters) are looked for in each title.
+    """
+    text = titles.select("id", F.coalesce("title", F.lit("")).alias("title")).withColumn("t", trigrams(F.col("title")))
+    postings = text.select("id", F.explode(F.array_distinct("t")).alias("gram"))
+    asked = queries.select("q", F.coalesce("query", F.lit("")).alias("query")).withColumn("asked", F.array_distinct(trigrams(F.col("query"))))
+    n = F.size("asked")
+    grams = asked.select("q", n.alias("n"), F.explode("asked").alias("gram"))
+    # Trigrams with a space are at a word's edge; within a longer word the query's edge may lie anywhere.
+    often = postings.groupBy("gram").agg(F.count("*").alias("held"))
+    rank = grams.join(often, "gram").withColumns({
+        "nth": F.row_number().over(Window.partitionBy("q").orderBy("held", "gram")), "inner": ~F.contains("gram", F.lit(" ")),
+    })
+    first_inner = F.row_number().over(Window.partitionBy("q", "inner").orderBy("held", "gram"))
+    # Trigrams that no title holds count among the sought ones, as they are the rarest.
+    missing = F.col("n") - F.count("*").over(Window.partitionBy("q"))
+    rank = rank.withColumns({"first": first_inner, "missing": missing})
+    seek = rank.where((F.col("nth") + F.col("missing") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1) | (F.col("inner") & (F.col("first") == 1))).select("q", "gram")
+    found = seek.join(postings, "gram").select("q", "id").distinct()
+    short = asked.where(~F.exists("asked", lambda g: ~F.contains(g, F.lit(" ")))).select("q", F.lower("query").alias("held"))
+    found = found.unionByName(text.join(short, F.contains(F.lower("title"), F.col("held"))).select("q", "id")).distinct()
+    scored = found.join(text, "id").join(asked, "q").withColumn("score", best_run(F.col("t"), F.col("asked"))).where((F.col("score") >= least) | F.contains(F.lower("title"), F.lower("query")))
+    nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
+    return scored.withColumn("score", F.round("score", 6)).withColumn("nth", nth).where(F.col("nth") <= limit).select("q", "id", "score")
+
+
 def plain_similarity(query: str, title: str) -> float:
     """The same of one title, for tests: every run of its trigrams."""
     split = lambda s: ["  " + w + " " for w in "".join(c if c.isalnum() else " " for c in s.lower()).split()]

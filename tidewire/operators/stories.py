@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.operators.graph import connected_components
+from tidewire.operators.graph import connected_components, cut_lineage
 
 JACCARD = 0.4
 STORED = 10
@@ -87,6 +87,30 @@ def grown(units: DataFrame, assigned: DataFrame, recent: DataFrame | None = None
     return sets.select("story_id", "entities", "updated")
 
 
+def stories_by_run(units: DataFrame, threshold: float = JACCARD, hours: int = RECENT_HOURS) -> DataFrame:
+    """unit_id and story_id for units of (unit_id, at: epoch seconds, entities), run by run: a run takes the units of one day.
+
+    A run's units see the stories that a unit joined in the hours before the run's first unit, so a story that was left alone for
+    longer takes no more, and a run reads those few stories and its own day, not the past. Within a run the units are folded as
+    in build_stories, by components of that run alone.
+    """
+    rows = cut_lineage(units.select("unit_id", F.col("at").cast("long").alias("at"), F.floor(F.col("at") / 86400).alias("day"), "entities"))
+    days = [r[0] for r in rows.select("day").distinct().orderBy("day").collect()]
+    out, stories = None, None
+    for day in days:
+        run = rows.where(F.col("day") == day)
+        begins = run.agg(F.min("at")).first()[0]
+        recent = None if stories is None else cut_lineage(stories.where(F.col("updated") >= begins - hours * 3600))
+        seen = None if recent is None else recent.select("story_id", "entities")
+        assigned = cut_lineage(build_stories(run.select("unit_id", "day", "entities"), threshold, seen))
+        now = grown(run.select("unit_id", F.col("at").alias("day"), "entities"), assigned, seen)
+        if recent is not None:
+            now = now.unionByName(recent.join(now, "story_id", "left_anti"))
+        stories = cut_lineage(now)
+        out = assigned if out is None else out.unionByName(assigned)
+    return out if out is not None else rows.select("unit_id", F.col("unit_id").alias("story_id"))
+
+
 def viewpoints(members: DataFrame, least: int = 3) -> DataFrame:
     """(story_id, label, units) of stories with at least ``least`` units and two labels, of rows (story_id, unit_id, label)."""
     per = members.groupBy("story_id", "label").agg(F.countDistinct("unit_id").alias("units"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import with_shingles
+from tidewire.operators.graph import cut_lineage
 
 #: Queries of one block of a search.
 BLOCK = 4096
@@ -73,25 +74,62 @@ def _nearest(shared, k: int):
     return run
 
 
+#: Vectors of a group that are decided in one task in a round, and vectors of a task that are held against the round's leaders.
+BLOCK, CHUNK = 512, 8192
+
+
 def leader_clusters(df: DataFrame, group: str, id_col: str, vector: str, threshold: float) -> DataFrame:
-    """(group, id, leader): in the order of ids a vector joins the first leader at least threshold near, or becomes one."""
+    """(group, id, leader): in the order of ids a vector joins the first leader at least threshold near, or becomes one.
 
+    Rounds: of each group the first BLOCK open vectors are folded in order. No leader found before is near them, or they would not be
+    open, so the fold is exact. The leaders it makes go to all open vectors of the group, dealt in chunks; those that are near one
+    join the first such and are open no more. So no task sees a group, whatever its size; a round takes BLOCK vectors of each
+    group at least, and all that are near their leaders. Cosines are held against the threshold to nine decimals.
+    """
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    own = df.select(F.col(group).alias("g"), F.col(id_col).alias("id"), F.col(vector).alias("v"))
+    open_, done = own, None
+    kind = f"g {fields[group]}, id {fields[id_col]}"
+    while True:
+        first = open_.withColumn("nth", F.row_number().over(Window.partitionBy("g").orderBy("id"))).where(F.col("nth") <= BLOCK).drop("nth")
+        leaders = cut_lineage(first.groupBy("g").applyInPandas(_leaders(threshold), f"{kind}, v {fields[vector]}"))
+        if leaders.isEmpty():
+            break
+        # A group's vectors are dealt to as many parts as its chunks; each part meets all of the round's leaders of the group.
+        parts = open_.groupBy(F.col("g").alias("pg")).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
+        same = F.col("g").eqNullSafe(F.col("pg"))
+        dealt = open_.join(parts, same).select("g", "id", "v", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+        sent = leaders.join(parts, same).select("g", "id", "v", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        met = cut_lineage(dealt.groupBy("g", "part").cogroup(sent.groupBy("g", "part")).applyInPandas(_joined(threshold), f"{kind}, v {fields[vector]}, leader {fields[id_col]}"))
+        told = met.where("leader IS NOT NULL").select("g", "id", "leader")
+        done = told if done is None else done.unionByName(told)
+        open_ = met.where("leader IS NULL").drop("leader")
+    out = done if done is not None else own.select("g", "id", F.col("id").alias("leader"))
+    return out.select(F.col("g").alias(group), F.col("id").alias(id_col), "leader")
+
+
+def _leaders(threshold: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(id_col)
-        v = np.stack(pdf[vector].to_numpy()).astype(np.float64)
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-        leaders: list[int] = []
-        out = []
+        pdf = pdf.sort_values("id")
+        v = _unit(np.stack(pdf["v"].to_numpy()).astype(np.float64))
+        near, leaders = np.round(v @ v.T, 9) >= threshold, []
         for i in range(len(v)):
-            near = np.flatnonzero(v[leaders] @ v[i] >= threshold) if leaders else []
-            if len(near):
-                out.append(leaders[near[0]])
-            else:
+            if not near[i, leaders].any():
                 leaders.append(i)
-                out.append(i)
-        return pd.DataFrame({group: pdf[group], id_col: pdf[id_col], "leader": pdf[id_col].to_numpy()[out]})
+        return pdf.iloc[leaders][["g", "id", "v"]]
+
+    return run
+
 
-    return df.select(group, id_col, vector).groupBy(group).applyInPandas(run, f"{group} int, {id_col} long, leader long")
+def _joined(threshold: float):
+    def run(own: pd.DataFrame, leaders: pd.DataFrame) -> pd.DataFrame:
+        leaders = leaders.sort_values("id")
+        ids = leaders["id"].to_numpy()
+        near = np.round(_unit(np.stack(own["v"].to_numpy()).astype(np.float64)) @ _unit(np.stack(leaders["v"].to_numpy()).astype(np.float64)).T, 9) >= threshold
+        near |= own["id"].to_numpy()[:, None] == ids[None]  # a leader is its own, a zero vector too
+        return own[["g", "id", "v"]].assign(leader=pd.Series(ids[near.argmax(1)], index=own.index, dtype=object).where(near.any(1), None))
+
+    return run
 
 
 def minhash(df: DataFrame, shingles: str, out: str, permutations: int = 128) -> DataFrame:

@@ -26,9 +26,8 @@ def key_entities(spark, sf):
 
 @query()
 def story_attach_greedy(spark, sf):
-    """Stories of all articles by the capitalised words of their titles, in order of day and id."""
-    u = articles(spark, sf).select(F.col("id").alias("unit_id"), F.floor(F.col("fetched") / 86400).alias("day"), _entities().alias("entities"))
-    return S.build_stories(u)
+    """Stories of all articles by the capitalised words of their titles, a run a day, each with the stories of the last 48 hours."""
+    return S.stories_by_run(articles(spark, sf).select(F.col("id").alias("unit_id"), F.col("fetched").alias("at"), _entities().alias("entities")))
 
 
 @query(f"WITH {_EVIDENCE}, p AS (SELECT claim_id, label, count(DISTINCT unit_id) AS units FROM v GROUP BY ALL), w AS (SELECT claim_id FROM p GROUP BY claim_id HAVING sum(units) >= 3 AND count(*) >= 2) SELECT claim_id AS story_id, label, units FROM p WHERE claim_id IN (SELECT claim_id FROM w)")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewire.functions import html as P
+from tidewire.operators import assign as S
 from tidewire.operators import language as L
 from tidewire.plans.registry import query
 from tidewire.sources.tables import table
@@ -34,3 +35,13 @@ def language_gaps(spark, sf):
     langs, profiles = L.fitted(L.sampled(docs, "doc_id", "lang"), "lang", "text")
     told = docs.where("lang IS NOT NULL").select("lang", L.detected(F.col("text"), langs, profiles).alias("told"))
     return told.groupBy("lang").agg(F.count("*").alias("texts"), F.count_if(F.col("told").isNull()).alias("unknown"))
+
+
+@query()
+def page_search(spark, sf):
+    """Search by trigrams: each fiftieth page's title, its first two words cut short, asked of the titles of all pages; fifty best each."""
+    titles = table(spark, sf, "pages").select(F.col("page_id").alias("id"), P.article(F.col("html"))["title"].alias("title"))
+    words = F.slice(F.filter(F.split("title", r"[^\p{L}\p{N}]+"), lambda w: w != ""), 1, 2)
+    asked = titles.where("id % 50 = 0").select(F.col("id").alias("q"), F.array_join(words, " ").alias("query"))
+    asked = asked.select("q", F.when(F.length("query") > 5, F.expr("substring(query, 1, length(query) - 1)")).otherwise(F.col("query")).alias("query"))
+    return S.search(titles, asked, 50)
