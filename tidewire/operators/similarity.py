@@ -11,24 +11,30 @@ from tidewire.operators.graph import cut_lineage
 BLOCK = 2048
 
 
-def jaccard_pairs(items: DataFrame, threshold: float) -> DataFrame:
+def jaccard_pairs(items: DataFrame, threshold: float, times: DataFrame | None = None, span: int = 0) -> DataFrame:
     """(a, b, jaccard), a < b, of sets given as distinct rows (id, e) with jaccard >= threshold, and above zero.
 
     Elements are ranked by how many sets hold them, rarest first. Two sets of a Jaccard similarity t share one of the first
     n - ceil(t n) + 1 elements of each, so only these prefixes are joined, among sets of sizes within t of each other; the exact
     similarity of what met follows. An element that many sets hold is paired in blocks, so that it is never one task's.
+
+    With times (id, t), only sets at most span apart are paired: a set lies in the slot of its time and in the next one, and two
+    sets meet in the later of theirs. So an element's join grows with what falls into two spans, not with all time.
     """
     df = items.groupBy("e").agg(F.count("*").alias("df"))
     sets = items.join(df, "e").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "e"))).alias("s"))
     sets = cut_lineage(sets.select("id", F.transform("s", lambda x: x["e"]).alias("s"), F.filter("s", lambda x: x["df"] > 1).alias("held"), F.size("s").alias("n")))
     lone = F.col("n") - F.size("held")  # elements of one set alone come first and are in no pair
     length = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + F.lit(1 if threshold > 0 else 0) - lone)
-    prefix = sets.select("id", "n", F.explode(F.slice("held", 1, length)).alias("x")).select("id", "n", F.col("x.e").alias("e"))
-    parts = prefix.groupBy("e").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"), F.count("*").alias("c")).where("c > 1").select("e", "parts")
-    own = prefix.join(parts, "e").withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("e", "id", "n", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    a, b = own.select("e", "i", "j", F.col("id").alias("a"), F.col("n").alias("na"), F.col("block").alias("p")), own.select("e", "i", "j", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("block").alias("q"))
-    near = a.join(b, ["e", "i", "j"]).where(f"a < b AND (p != q OR i = j) AND least(na, nb) >= {threshold!r} * greatest(na, nb) - 1e-9").select("a", "b").distinct()
+    timed = sets.withColumns({"t": F.lit(0).cast("long"), "k": F.lit(0).cast("long")}) if times is None else sets.join(times.select("id", F.col("t").cast("long").alias("t"), F.floor(F.col("t") / span).alias("k")), "id")
+    prefix = timed.select("id", "n", "t", "k", F.explode(F.slice("held", 1, length)).alias("x")).select("id", "n", "t", "k", F.col("x.e").alias("e"))
+    prefix = prefix.withColumn("slot", F.col("k") if times is None else F.explode(F.array("k", F.col("k") + 1)))
+    parts = prefix.groupBy("e", "slot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"), F.count("*").alias("c")).where("c > 1").select("e", "slot", "parts")
+    own = prefix.join(parts, ["e", "slot"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("e", "slot", "id", "n", "t", "k", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    key = ["e", "slot", "i", "j"]
+    side = lambda x, p: own.select(*key, F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("block").alias(p), F.col("t").alias(f"t{x}"), F.col("k").alias(f"k{x}"))
+    near = side("a", "p").join(side("b", "q"), key).where(f"a < b AND (p != q OR i = j) AND slot = greatest(ka, kb) AND abs(ta - tb) <= {span} AND least(na, nb) >= {threshold!r} * greatest(na, nb) - 1e-9").select("a", "b").distinct()
     x, y = (sets.select(F.col("id").alias(k), F.col("s").alias(f"s{k}"), F.col("n").alias(f"n{k}")) for k in ("a", "b"))
     met = F.size(F.array_intersect("sa", "sb"))
     return near.join(x, "a").join(y, "b").select("a", "b", (met / (F.col("na") + F.col("nb") - met)).alias("jaccard")).where(F.col("jaccard") >= threshold)

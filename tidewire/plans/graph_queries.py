@@ -172,7 +172,7 @@ def _sets(spark, sf):
 def narrative_edges(spark, sf):
     """Edges from each story to every other of 90 days whose entities are alike: Jaccard from 0.5 on the same event, from 0.2 on one narrative."""
     items, when = _sets(spark, sf)
-    near = S.jaccard_pairs(items, 0.2).join(when.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(when.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").where(F.abs(F.col("ta") - F.col("tb")) <= 90 * 86400)
+    near = S.jaccard_pairs(items, 0.2, when, 90 * 86400)
     both = near.select("a", "b", "jaccard").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "jaccard"))
     return both.select(F.col("a").alias("subject"), F.col("b").alias("object"), F.when(F.col("jaccard") >= 0.5, "same_event_as").otherwise("part_of_narrative").alias("predicate"), (F.col("jaccard") * 100 + 1e-9).cast("int").alias("confidence"))
 
@@ -193,8 +193,8 @@ def _best_matches(spark, sf):
     """Each unit's best Jaccard with a unit of another owner within 48 hours; units with none of these (no candidate) at zero."""
     items, when = _sets(spark, sf)
     own = when.join(items.select("id").distinct(), "id", "left_semi")
-    pairs = S.jaccard_pairs(items, 0.0).join(own.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("owner").alias("oa")), "a").join(own.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("owner").alias("ob")), "b")
-    pairs = pairs.where((F.col("oa") != F.col("ob")) & (F.abs(F.col("ta") - F.col("tb")) <= 172800)).select("a", "b", "jaccard")
+    pairs = S.jaccard_pairs(items, 0.0, own, 172_800).join(own.select(F.col("id").alias("a"), F.col("owner").alias("oa")), "a").join(own.select(F.col("id").alias("b"), F.col("owner").alias("ob")), "b")
+    pairs = pairs.where("oa != ob").select("a", "b", "jaccard")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "jaccard"))
     best = both.groupBy("a").agg(F.max("jaccard").alias("best"), F.min_by("b", F.struct(-F.col("jaccard"), "b")).alias("with_unit"))
     # A unit has a candidate if days near it hold another owner's unit: counts for each day and owner, no pairs.

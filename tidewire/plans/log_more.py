@@ -27,19 +27,29 @@ def log_entries(spark, sf):
     return _entries(spark, sf).select("log", "payload", F.sha2(F.col("payload").cast("binary"), 256).alias("leaf"))
 
 
-@query(f"WITH {_CHAIN} SELECT log, entries, gapless, head, CASE WHEN log % 7 = 0 AND entries > 1 THEN false ELSE gapless END AS valid FROM c")
-def chain_verify(spark, sf):
-    """Chains of sha256(previous || leaf) from the genesis value, folded in order within a log and held against the stored ones.
-
-    Of every seventh log one stored leaf is not what its payload hashes to, so its chain does not verify.
-    """
+def _stored_log(spark, sf):
+    """Entries as they are stored: (log, idx, payload, leaf, chain). Payloads of every seventh log's second entry were changed since,
+    leaves of every eleventh log's third were replaced with their payload, and every thirteenth log lost its second entry."""
     e = _entries(spark, sf).withColumn("leaf", F.sha2(F.col("payload").cast("binary"), 256))
-    logs = e.groupBy("log").agg(F.array_sort(F.collect_list(F.struct("idx", "leaf"))).alias("e"))
-    chain = H.chain(F.transform("e", lambda x: x["leaf"]))
-    stored = F.when((F.col("log") % 7 == 0) & (F.size("e") > 1), H.chain(F.transform("e", lambda x: F.when(x["idx"] == 1, F.sha2(x["leaf"].cast("binary"), 256)).otherwise(x["leaf"])))).otherwise(F.col("chain"))
-    gapless = (F.element_at("e", -1)["idx"] - F.get("e", F.lit(0))["idx"] + 1 == F.size("e")) & (F.get("e", F.lit(0))["idx"] == 0)
-    c = logs.withColumn("chain", chain).withColumn("stored", stored)
-    return c.select("log", F.size("e").cast("long").alias("entries"), gapless.alias("gapless"), F.element_at("chain", -1).alias("head"), (gapless & (F.col("chain") == F.col("stored"))).alias("valid"))
+    logs = e.groupBy("log").agg(F.array_sort(F.collect_list(F.struct("idx", "payload", "leaf"))).alias("e"))  # a conversation's turns
+    each = logs.select("log", F.explode(F.arrays_zip("e", H.chain(F.transform("e", lambda x: x["leaf"])).alias("c"))).alias("x")).select("log", "x.e.*", F.col("x.c").alias("chain"))
+    forged = (F.col("log") % 11 == 0) & (F.col("idx") == 2)
+    other = F.when(((F.col("log") % 7 == 0) & (F.col("idx") == 1)) | forged, F.concat("payload", F.lit("!"))).otherwise(F.col("payload"))
+    each = each.withColumn("payload", other).withColumn("leaf", F.when(forged, F.sha2(F.col("payload").cast("binary"), 256)).otherwise(F.col("leaf")))
+    return each.where("NOT (log % 13 = 0 AND idx = 1)")
+
+
+@query(f"""WITH {_CHAIN}, s AS (SELECT l.log, idx, payload, sha256(payload) AS leaf, list_reduce(list_prepend('{H.GENESIS}', leaves[1 : place + 1]), lambda acc, x: sha256(unhex(acc) || unhex(x))) AS chain FROM l JOIN f USING (log)),
+    q AS (SELECT log, idx, CASE WHEN (log % 7 = 0 AND idx = 1) OR (log % 11 = 0 AND idx = 2) THEN payload || '!' ELSE payload END AS payload, leaf, chain FROM s WHERE NOT (log % 13 = 0 AND idx = 1)),
+    r AS (SELECT log, idx, payload, CASE WHEN log % 11 = 0 AND idx = 2 THEN sha256(payload) ELSE leaf END AS leaf, chain, coalesce(lag(chain) OVER w, '{H.GENESIS}') AS before, row_number() OVER w - 1 AS place FROM q WINDOW w AS (PARTITION BY log ORDER BY idx))
+    SELECT log, count(*) AS entries, bool_and(idx = place) AS gapless, arg_max(chain, idx) AS head, bool_and(idx = place AND sha256(payload) = leaf AND sha256(unhex(before) || unhex(leaf)) = chain) AS valid FROM r GROUP BY log""")
+def chain_verify(spark, sf):
+    """Stored logs, each entry held against the one before it alone: its leaf is its payload's, its chain follows, its index is the next."""
+    w = Window.partitionBy("log").orderBy("idx")
+    e = _stored_log(spark, sf).withColumns({"before": F.coalesce(F.lag("chain").over(w), F.lit(H.GENESIS)), "next": F.coalesce(F.lag("idx").over(w) + 1, F.lit(0))})
+    link = F.sha2(F.concat(F.unhex("before"), F.unhex("leaf")), 256)
+    ok = (F.col("idx") == F.col("next")) & (F.sha2(F.col("payload").cast("binary"), 256) == F.col("leaf")) & (link == F.col("chain"))
+    return e.groupBy("log").agg(F.count("*").alias("entries"), F.bool_and(F.col("idx") == F.col("next")).alias("gapless"), F.max_by("chain", "idx").alias("head"), F.bool_and(ok).alias("valid"))
 
 
 @query("""WITH RECURSIVE t AS (SELECT 0 AS lvl, list(sha256(coalesce(text, '')) ORDER BY doc_id) AS h FROM documents UNION ALL
