@@ -74,6 +74,35 @@ def inclusion_proofs(spark, sf):
     return M.proof_paths(leaves).select("i", F.size("path").cast("long").alias("steps"), F.sha2(F.array_join(F.transform("path", lambda p: p["sibling"]), "").cast("binary"), 256).alias("path_hash"), "valid")
 
 
+_BOTH = """WITH RECURSIVE t AS (SELECT 'rfc6962' AS scheme, 0 AS lvl, list(sha256(unhex('00') || encode(coalesce(text, ''))) ORDER BY doc_id) AS h FROM documents UNION ALL SELECT 'ct/v1', 0, list(sha256(coalesce(text, '')) ORDER BY doc_id) FROM documents UNION ALL
+    SELECT scheme, lvl + 1, list_transform(range(1, len(h) + 1, 2), lambda k: CASE WHEN k < len(h) THEN sha256(unhex('01') || unhex(h[k]) || unhex(h[k + 1])) WHEN scheme = 'ct/v1' THEN sha256(unhex('01') || unhex(h[k]) || unhex(h[k])) ELSE h[k] END) FROM t WHERE len(h) > 1),
+    d AS (SELECT doc_id AS i, coalesce(text, '') AS body, count(*) OVER () AS size FROM documents), g AS (SELECT scheme, d.i, lvl, CASE WHEN xor(d.i >> lvl, 1) < len(h) THEN h[xor(d.i >> lvl, 1) + 1] WHEN scheme = 'ct/v1' THEN h[len(h)] END AS sibling FROM d, t WHERE len(h) > 1),
+    p AS (SELECT scheme, i, list(sibling ORDER BY lvl) FILTER (WHERE sibling IS NOT NULL) AS path FROM g GROUP BY ALL), r AS (SELECT scheme, h[1] AS root FROM t WHERE len(h) = 1),
+    m AS (SELECT scheme, i AS leaf, i % 7 AS fault, CASE WHEN i % 7 = 4 THEN xor(i, 1) ELSE i END AS i, CASE WHEN i % 7 = 3 THEN size * 2 ELSE size END AS size, CASE WHEN i % 7 = 1 THEN body || '.' ELSE body END AS body, CASE WHEN i % 7 = 5 THEN path[1 : len(path) - 1] ELSE path END AS path, CASE WHEN i % 7 = 2 THEN sha256(root) ELSE root END AS root FROM p JOIN d USING (i) JOIN r USING (scheme)),
+    l AS (SELECT *, list_filter(range(0, 40), lambda k: ((size - 1) >> k) > 0 AND (scheme = 'ct/v1' OR (i >> k) < ((size - 1) >> k) OR ((size - 1) >> k) % 2 = 1)) AS levels FROM m),
+    f AS (SELECT *, CASE WHEN i < size AND len(levels) = len(path) THEN list_reduce(list_prepend(CASE WHEN scheme = 'ct/v1' THEN sha256(body) ELSE sha256(unhex('00') || encode(body)) END, list_transform(list_zip(levels, path), lambda z: CASE WHEN (i >> z[1]) % 2 = 1 THEN 'L' ELSE 'R' END || z[2])), lambda acc, x: CASE WHEN x[1] = 'L' THEN sha256(unhex('01') || unhex(x[2:]) || unhex(acc)) ELSE sha256(unhex('01') || unhex(acc) || unhex(x[2:])) END) END AS got FROM l)"""
+
+
+@query(f"{_BOTH} SELECT scheme, leaf, fault, coalesce(got = root, false) AS valid, got AS folded FROM f")
+def proof_checks(spark, sf):
+    """Proofs of every leaf in both schemes, most of them with a fault: another payload, root, size or index, or a sibling less."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("i"), F.coalesce("text", F.lit("")).alias("body"))
+    n = docs.count()
+    out = None
+    for scheme in (M.RFC, M.OLD):
+        leaves = docs.select("i", (M.leaf_hash(F.col("body")) if scheme == M.RFC else F.sha2(F.col("body").cast("binary"), 256)).alias("h"))
+        root = M.levels(leaves, scheme == M.OLD)[-1].select(F.col("h").alias("root"))
+        p = M.proof_paths(leaves, scheme == M.OLD).select("i", F.transform("path", lambda x: x["sibling"]).alias("path")).join(docs, "i").crossJoin(F.broadcast(root))  # one row
+        k = F.col("i") % 7
+        p = p.select(
+            F.lit(scheme).alias("scheme"), F.col("i").alias("leaf"), k.alias("fault"), F.when(k == 4, F.col("i").bitwiseXOR(F.lit(1))).otherwise(F.col("i")).alias("i"), F.when(k == 3, n * 2).otherwise(n).cast("long").alias("size"),
+            F.when(k == 1, F.concat("body", F.lit("."))).otherwise(F.col("body")).alias("body"), F.when(k == 5, F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0)))).otherwise(F.col("path")).alias("path"), F.when(k == 2, F.sha2(F.col("root").cast("binary"), 256)).otherwise(F.col("root")).alias("root"),
+        )
+        out = p if out is None else out.unionByName(p)
+    args = [F.col(c) for c in ("body", "i", "size", "path", "scheme")]
+    return out.select("scheme", "leaf", "fault", M.included(*args, F.col("root")).alias("valid"), F.element_at(M.fold_steps(*args), -1).alias("folded"))
+
+
 @query("""WITH p AS (SELECT conv_id AS id, list_sort(list_distinct(list(CAST(turn AS VARCHAR)))) AS members, count(*) AS n, any_value(role) FILTER (WHERE turn = 0) AS role FROM conversations GROUP BY conv_id),
     c AS (SELECT id, ['analyzer_version=unit/v1', array_to_string(members, chr(30)), coalesce(role, chr(0) || 'none'), 'n=' || n] AS parts FROM p)
     SELECT id, sha256(array_to_string(list_transform(parts, lambda x: lpad(upper(to_hex(octet_length(encode(x)))), 16, '0') || hex(encode(x))), '')) AS hex_hash FROM c""")
