@@ -181,12 +181,12 @@ def country_coverage(spark, sf):
     return j.select("country", "events", "articles", F.when(F.col("articles") == 0, 0.0).otherwise(F.round(F.col("articles") / F.col("events"), 6)).alias("ratio"))
 
 
-@query("SELECT n_nationkey AS country, o_orderpriority AS family FROM nation, (SELECT DISTINCT o_orderpriority FROM orders) EXCEPT SELECT s_nationkey, o_orderpriority FROM supplier JOIN orders ON s_suppkey = o_custkey")
+@query("SELECT n_nationkey AS country, o_orderpriority AS family FROM nation, (SELECT DISTINCT o_orderpriority FROM orders) EXCEPT SELECT s_nationkey, o_orderpriority FROM supplier JOIN orders ON s_suppkey = o_custkey WHERE s_acctbal > 5000")
 def zero_cells(spark, sf):
     """Country x family cells without coverage: the grid of two small dimensions less the cells that occur."""
     families = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("family")).distinct()
     grid = table(spark, sf, "nation").select(F.col("n_nationkey").alias("country")).crossJoin(F.broadcast(families))
-    held = table(spark, sf, "supplier").join(table(spark, sf, "orders"), F.col("s_suppkey") == F.col("o_custkey")).select(F.col("s_nationkey").alias("country"), F.col("o_orderpriority").alias("family"))
+    held = table(spark, sf, "supplier").where("s_acctbal > 5000").join(table(spark, sf, "orders"), F.col("s_suppkey") == F.col("o_custkey")).select(F.col("s_nationkey").alias("country"), F.col("o_orderpriority").alias("family"))
     return grid.join(held, ["country", "family"], "left_anti").distinct()
 
 

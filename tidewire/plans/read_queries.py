@@ -66,11 +66,11 @@ def story_entities(spark, sf):
     return e.select("story", F.array_join(F.slice("e", 1, 10), ",").alias("entities"), F.size("e").cast("long").alias("n"))
 
 
-@query("""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source, lang FROM documents), e AS (SELECT doc_id, lang, source, list_distinct(regexp_extract_all(substring(text, 1, 120), '[A-Z][a-z]{3,}')) AS person, [source] AS org FROM d)
+@query("""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source, lang FROM documents), e AS (SELECT doc_id, lang, source, list_distinct(regexp_extract_all(text, '[A-Z][a-z]{3,}')) AS person, [source] AS org FROM d)
     SELECT doc_id, len(list_distinct(list_concat(person, org))) AS primary_size, CASE WHEN len(person) > 0 THEN list_sort(person)[1] ELSE lang END AS event_key FROM e""")
 def entity_sets(spark, sf):
     """Entities of persons, bodies and places as one set; an event's keys are its story's, or else its place."""
-    person = F.array_distinct(F.regexp_extract_all(F.substring(F.coalesce("text", F.lit("")), 1, 120), F.lit("[A-Z][a-z]{3,}"), F.lit(0)))
+    person = F.array_distinct(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Z][a-z]{3,}"), F.lit(0)))
     e = table(spark, sf, "documents").select("doc_id", "lang", F.create_map(F.lit("PERSON"), person, F.lit("ORG"), F.array("source"), F.lit("DATE"), F.array(F.lit("today"))).alias("m"))
     primary = F.array_distinct(F.flatten(F.map_values(F.map_filter("m", lambda k, v: k.isin("PERSON", "ORG", "GPE")))))
     keys = F.coalesce(F.nullif(F.col("m")["PERSON"], F.array().cast("array<string>")), F.array("lang"))

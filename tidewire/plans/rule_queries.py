@@ -37,12 +37,12 @@ def entity_keys(spark, sf):
     return mentions(spark, sf).select("surface", "kind", N.normal(F.col("surface"), F.col("kind")).alias("key")).withColumn("entity_id", N.mint(F.col("key")))
 
 
-@query("""WITH n AS (SELECT c_custkey % 60 AS k FROM customer WHERE c_custkey < 60), s AS (SELECT k, CASE k % 6 WHEN 0 THEN 'the US' WHEN 1 THEN 'Mr. Trump''s' WHEN 2 THEN 'London, London, City Of, United Kingdom' WHEN 3 THEN 'NATO' WHEN 4 THEN 'Dr.  Jane   Doe' ELSE 'Britain, Europe' END AS surface, CASE k % 6 WHEN 1 THEN 'PERSON' WHEN 3 THEN 'ORG' WHEN 4 THEN 'PERSON' ELSE 'GPE' END AS kind FROM n)
+@query("""WITH n AS (SELECT c_custkey AS k FROM customer), s AS (SELECT k, CASE k % 6 WHEN 0 THEN 'the US' WHEN 1 THEN 'Mr. Trump''s' WHEN 2 THEN 'London, London, City Of, United Kingdom' WHEN 3 THEN 'NATO' WHEN 4 THEN 'Dr.  Jane   Doe' ELSE 'Britain, Europe' END AS surface, CASE k % 6 WHEN 1 THEN 'PERSON' WHEN 3 THEN 'ORG' WHEN 4 THEN 'PERSON' ELSE 'GPE' END AS kind FROM n)
     SELECT k, surface, CASE k % 6 WHEN 0 THEN 'United States' WHEN 1 THEN 'Donald Trump' WHEN 2 THEN 'London' WHEN 3 THEN 'North Atlantic Treaty Organization' WHEN 4 THEN 'Jane Doe' ELSE 'United Kingdom' END AS display FROM s""")
 def display_surfaces(spark, sf):
     """Names as they are shown: known spellings, places without what follows the comma, no titles or possessives."""
     k = F.col("c_custkey")
-    s = table(spark, sf, "customer").where("c_custkey < 60").select(
+    s = table(spark, sf, "customer").select(
         k.alias("k"), F.when(k % 6 == 0, "the US").when(k % 6 == 1, "Mr. Trump's").when(k % 6 == 2, "London, London, City Of, United Kingdom").when(k % 6 == 3, "NATO").when(k % 6 == 4, "Dr.  Jane   Doe").otherwise("Britain, Europe").alias("surface"),
         F.when((k % 6).isin(1, 4), "PERSON").when(k % 6 == 3, "ORG").otherwise("GPE").alias("kind"))
     return N.display_surfaces(s).select("k", "surface", "display")
@@ -79,19 +79,26 @@ def statistics_and_claims(spark, sf):
     return t.select("story", "line", "part", F.array_join(F.transform(X.statistics(F.col("x")), lambda v: v["stat_text"]), "|").alias("stats"), F.array_join(X.claims(F.col("x")), "|").alias("claims")).distinct()
 
 
-_URLS = """u AS (SELECT event_id AS id, CASE event_id % 7 WHEN 0 THEN 'https://www.youtube.com/watch?v=abc' || lpad(CAST(event_id AS VARCHAR), 8, '0') WHEN 1 THEN 'https://youtu.be/xyz' || lpad(CAST(event_id AS VARCHAR), 8, '0') WHEN 2 THEN 'https://vimeo.com/' || event_id WHEN 3 THEN 'https://x.com/someone/status/' || event_id
-    WHEN 4 THEN 'https://bsky.app/profile/a.b/post/p' || event_id WHEN 5 THEN 'https://open.spotify.com/' || event_id ELSE CASE WHEN event_id % 2 = 0 THEN 'https://example.com/' ELSE 'https://www.instagram.com/reel/' END || event_id END AS url FROM events)"""
+_ADDRESSES = [
+    "https://www.youtube.com/watch?v=abc{p}", "https://youtu.be/xyz{p}", "https://vimeo.com/{n}", "https://x.com/someone/status/{n}", "https://bsky.app/profile/a.b/post/p{n}", "https://open.spotify.com/{n}", "https://example.com/{n}", "https://www.instagram.com/reel/{n}",
+    "https://www.youtube.com/shorts/sho{p}", "https://www.tiktok.com/@some.one/video/{n}", "https://www.dailymotion.com/video/d{n}", "https://www.twitch.tv/videos/{n}", "https://www.facebook.com/someone/posts/{n}", "https://notes.example.org/watch?v={n}",
+]
+_URLS = f"u AS (SELECT event_id AS id, replace(replace(({_ADDRESSES!r})[event_id % {len(_ADDRESSES)} + 1], '{{n}}', CAST(event_id AS VARCHAR)), '{{p}}', lpad(CAST(event_id AS VARCHAR), 8, '0')) AS url FROM events)"
 
 
-@query(f"""WITH {_URLS} SELECT id, CASE id % 7 WHEN 0 THEN 'youtube' WHEN 1 THEN 'youtube' WHEN 2 THEN 'vimeo' WHEN 3 THEN 'twitter' WHEN 4 THEN 'bluesky' WHEN 5 THEN 'spotify' ELSE CASE WHEN id % 2 = 0 THEN 'embed' ELSE 'instagram' END END AS platform,
-    CASE id % 7 WHEN 0 THEN 'https://www.youtube.com/embed/abc' || lpad(CAST(id AS VARCHAR), 8, '0') WHEN 1 THEN 'https://www.youtube.com/embed/xyz' || lpad(CAST(id AS VARCHAR), 8, '0') WHEN 2 THEN 'https://player.vimeo.com/video/' || id
-    WHEN 3 THEN 'https://publish.twitter.com/oembed?url=https://twitter.com/user/status/' || id WHEN 4 THEN 'https://bsky.app/profile/user/post/p' || id WHEN 6 THEN CASE WHEN id % 2 = 1 THEN 'https://www.instagram.com/p/' || id || '/embed/' END END AS embed_url FROM u""")
+@query(rf"""WITH {_URLS}, h AS (SELECT id, url, regexp_extract(url, '^https://([^/]+)', 1) AS host FROM u)
+    SELECT id, CASE WHEN contains(host, 'youtu') THEN 'youtube' WHEN contains(host, 'vimeo') THEN 'vimeo' WHEN host = 'x.com' THEN 'twitter' WHEN contains(host, 'instagram') THEN 'instagram' WHEN contains(host, 'tiktok') THEN 'tiktok' WHEN contains(host, 'bsky') THEN 'bluesky'
+        WHEN contains(host, 'facebook') THEN 'facebook' WHEN contains(host, 'dailymotion') THEN 'dailymotion' WHEN contains(host, 'twitch') THEN 'twitch' WHEN contains(host, 'spotify') THEN 'spotify' ELSE 'embed' END AS platform,
+    CASE WHEN contains(host, 'youtu') THEN 'https://www.youtube.com/embed/' || regexp_extract(url, '(?:v=|youtu\.be/|shorts/)([\w-]{{11}})', 1) WHEN host = 'vimeo.com' THEN 'https://player.vimeo.com/video/' || regexp_extract(url, '/(\d+)$', 1)
+        WHEN host = 'x.com' THEN 'https://publish.twitter.com/oembed?url=https://twitter.com/user/status/' || regexp_extract(url, 'status/(\d+)', 1) WHEN host = 'bsky.app' THEN 'https://bsky.app/profile/user/post/' || regexp_extract(url, 'post/(\w+)', 1)
+        WHEN host = 'www.instagram.com' THEN 'https://www.instagram.com/p/' || regexp_extract(url, 'reel/(.+)$', 1) || '/embed/' WHEN host = 'www.tiktok.com' AND regexp_matches(url, '@\w+/video') THEN 'https://www.tiktok.com/embed/' || regexp_extract(url, 'video/(\d+)', 1)
+        WHEN host = 'www.dailymotion.com' THEN 'https://www.dailymotion.com/embed/video/' || regexp_extract(url, 'video/(\w+)', 1) WHEN host = 'www.twitch.tv' THEN 'https://clips.twitch.tv/embed?clip=' || regexp_extract(url, 'videos/(\d+)', 1)
+        WHEN host = 'www.facebook.com' THEN 'https://www.facebook.com/plugins/post.php?href=https://www.facebook.com/user/posts/' || regexp_extract(url, 'posts/(\d+)', 1) END AS embed_url FROM h""")
 def embeds(spark, sf):
     """Platforms of addresses, ids of videos and posts, and the addresses that embed them."""
     n = F.col("event_id")
-    s, p = n.cast("string"), F.lpad(n.cast("string"), 8, "0")
-    lead = lambda a, b: F.concat(F.lit(a), b)
-    url = F.when(n % 7 == 0, lead("https://www.youtube.com/watch?v=abc", p)).when(n % 7 == 1, lead("https://youtu.be/xyz", p)).when(n % 7 == 2, lead("https://vimeo.com/", s)).when(n % 7 == 3, lead("https://x.com/someone/status/", s)).when(n % 7 == 4, lead("https://bsky.app/profile/a.b/post/p", s)).when(n % 7 == 5, lead("https://open.spotify.com/", s)).when(n % 2 == 0, lead("https://example.com/", s)).otherwise(lead("https://www.instagram.com/reel/", s))
+    form = F.element_at(F.array(*[F.lit(a) for a in _ADDRESSES]), (n % len(_ADDRESSES) + 1).cast("int"))
+    url = F.replace(F.replace(form, F.lit("{n}"), n.cast("string")), F.lit("{p}"), F.lpad(n.cast("string"), 8, "0"))
     u = table(spark, sf, "events").select(n.alias("id"), url.alias("url"))
     return u.select("id", X.platform(F.col("url")).alias("platform"), F.get(X.embeds(F.col("url")), F.lit(0))["url"].alias("embed_url"))
 
@@ -135,14 +142,20 @@ def paragraph_diff(spark, sf):
     return r.select("article_id", "revision", AL.paragraph_diff(T.paragraphs(F.col("before")), T.paragraphs(F.col("content"))).alias("d")).select("article_id", "revision", "d.*")
 
 
-@query("""WITH t AS (SELECT event_id AS id, 'Rates stand at ' || (event_id % 50) || ' percent and ' || (event_id % 9) || '% here' AS a, 'Rates stand at ' || CASE event_id % 4 WHEN 0 THEN event_id % 50 WHEN 1 THEN (event_id % 50) * 2 ELSE event_id % 50 END || ' percent and ' || (event_id % 9) || CASE WHEN event_id % 4 = 2 THEN ' here  ' ELSE '% here' END AS b FROM events)
-    SELECT id, CASE id % 4 WHEN 1 THEN id % 50 > 0 ELSE false END AS numbers, CASE id % 4 WHEN 1 THEN id % 50 > 0 ELSE false END AS significant FROM t""")
+@query(r"""WITH t AS (SELECT event_id AS id, 'Rates stand at ' || (event_id % 50) || ' percent and ' || (event_id % 9) || '% here' AS a FROM events),
+    x AS (SELECT id, a, CASE id % 6 WHEN 1 THEN 'Rates stand at ' || (id % 50 * 2) || ' percent and ' || (id % 9) || '% here' WHEN 2 THEN replace(a, '% here', ' here  ') WHEN 3 THEN 'Nothing of what was said about ' || (id % 50) || ' holds, nor about ' || (id % 9) || '% there' WHEN 4 THEN a || '.' WHEN 5 THEN 'No figure is known' ELSE a END AS b FROM t),
+    f AS (SELECT id, a, b, regexp_extract_all(a, '\b\d+(?:\.\d+)?%?\b') AS p, regexp_extract_all(b, '\b\d+(?:\.\d+)?%?\b') AS q FROM x),
+    z AS (SELECT id, a, b, len(p) = len(q) AND len(p) > 0 AND len(list_filter(list_zip(p, q), lambda v: suffix(v[1], '%') <> suffix(v[2], '%') OR CASE WHEN CAST(replace(v[1], '%', '') AS DOUBLE) = 0 THEN CAST(replace(v[2], '%', '') AS DOUBLE) <> 0 ELSE abs(CAST(replace(v[2], '%', '') AS DOUBLE) / CAST(replace(v[1], '%', '') AS DOUBLE) - 1) > 0.05 END)) > 0 AS numbers FROM f)
+    SELECT id, numbers, CASE WHEN a = b THEN false WHEN numbers THEN true WHEN abs(length(a) - length(b)) < 0.05 * greatest(length(a), length(b)) THEN false ELSE levenshtein(a, b) > 0.1 * greatest(length(a), length(b)) END AS significant FROM z""")
 def change_significance(spark, sf):
-    """Whether a revision says something else: figures that moved by more than a twentieth."""
+    """Whether a revision says something else: figures that moved by more than a twentieth, or other words."""
     n = F.col("event_id")
     s = lambda c: c.cast("string")
-    line = lambda v, end: F.concat(F.lit("Rates stand at "), s(v), F.lit(" percent and "), s(n % 9), end)
-    t = table(spark, sf, "events").select(n.alias("id"), line(n % 50, F.lit("% here")).alias("a"), line(F.when(n % 4 == 1, n % 50 * 2).otherwise(n % 50), F.when(n % 4 == 2, " here  ").otherwise("% here")).alias("b"))
+    line = lambda v: F.concat(F.lit("Rates stand at "), s(v), F.lit(" percent and "), s(n % 9), F.lit("% here"))
+    a = line(n % 50)
+    other = F.concat(F.lit("Nothing of what was said about "), s(n % 50), F.lit(" holds, nor about "), s(n % 9), F.lit("% there"))
+    b = F.when(n % 6 == 1, line(n % 50 * 2)).when(n % 6 == 2, F.replace(a, F.lit("% here"), F.lit(" here  "))).when(n % 6 == 3, other).when(n % 6 == 4, F.concat(a, F.lit("."))).when(n % 6 == 5, "No figure is known").otherwise(a)
+    t = table(spark, sf, "events").select(n.alias("id"), a.alias("a"), b.alias("b"))
     return t.select("id", X.numbers_changed(F.col("a"), F.col("b")).alias("numbers"), X.differs(F.col("a"), F.col("b")).alias("significant"))
 
 

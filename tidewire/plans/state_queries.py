@@ -117,10 +117,10 @@ def reference_blockers(spark, sf):
     return a.unionByName(b)
 
 
-@query("SELECT vec_id FROM embeddings WHERE vec_id IN (SELECT l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1993-01-01'))")
+@query("SELECT vec_id FROM embeddings WHERE vec_id IN (SELECT l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1993-01-01' AND o_totalprice > 480000))")
 def expired_embeddings(spark, sf):
     """Vectors of articles of units of stories that have expired: a chain of semi-joins."""
-    old = table(spark, sf, "orders").where("o_orderstatus = 'P'").where(F.col("o_orderdate").cast("timestamp") < F.lit("1993-01-01 00:00:00").cast("timestamp"))
+    old = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_totalprice > 480000").where(F.col("o_orderdate").cast("timestamp") < F.lit("1993-01-01 00:00:00").cast("timestamp"))
     gone = table(spark, sf, "lineitem").join(old, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select(F.col("l_suppkey").alias("vec_id"))
     return table(spark, sf, "embeddings").join(gone, "vec_id", "left_semi").select("vec_id")
 
@@ -161,10 +161,10 @@ def grouping_report(spark, sf):
     return s.select(F.inline(rows)).groupBy("kind", "bucket").agg(F.count("*").alias("stories"))
 
 
-@query("WITH e AS (SELECT source, lang, unnest(regexp_extract_all(substring(coalesce(text, ''), 1, 200), '[A-Z][a-z]+')) AS entity, unnest(range(len(regexp_extract_all(substring(coalesce(text, ''), 1, 200), '[A-Z][a-z]+')))) AS k, doc_id FROM documents), n AS (SELECT doc_id, lang, entity, count(*) AS n, min(k) AS k FROM e GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, k) AS nth FROM n) SELECT doc_id, string_agg(entity, '|' ORDER BY nth) AS entities FROM r WHERE nth <= 3 GROUP BY doc_id")
+@query("WITH e AS (SELECT source, lang, unnest(regexp_extract_all(coalesce(text, ''), '[A-Z][a-z]+')) AS entity, unnest(range(len(regexp_extract_all(coalesce(text, ''), '[A-Z][a-z]+')))) AS k, doc_id FROM documents), n AS (SELECT doc_id, lang, entity, count(*) AS n, min(k) AS k FROM e GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, k) AS nth FROM n) SELECT doc_id, string_agg(entity, '|' ORDER BY nth) AS entities FROM r WHERE nth <= 3 GROUP BY doc_id")
 def entities_top_n(spark, sf):
-    """The three names that a text's opening names most, the first named of equals."""
-    e = table(spark, sf, "documents").select("doc_id", F.posexplode(F.regexp_extract_all(F.substring(F.coalesce("text", F.lit("")), 1, 200), F.lit("[A-Z][a-z]+"), F.lit(0))).alias("k", "entity"))
+    """The three names that a text names most, the first named of equals."""
+    e = table(spark, sf, "documents").select("doc_id", F.posexplode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Z][a-z]+"), F.lit(0))).alias("k", "entity"))
     n = e.groupBy("doc_id", "entity").agg(F.count("*").alias("n"), F.min("k").alias("k"))
     top = n.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "k"))).where("nth <= 3")
     return top.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", "entity"))), lambda x: x["entity"]), "|").alias("entities"))
@@ -264,13 +264,13 @@ def timestamp_commitment(spark, sf):
     return M.root(e.select("i", F.sha2(F.concat(F.unhex(F.lit("00")), F.unhex("d")), 256).alias("h")))
 
 
-@query("SELECT vec_id, round(list_reduce(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x), lambda p, q: p + q), 4) > 0 AS has_length, CASE WHEN list_reduce(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x), lambda p, q: p + q) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS length FROM embeddings")
+@query("WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS n FROM embeddings), u AS (SELECT vec_id, n, CASE WHEN n > 0 THEN list_transform(v, lambda x: x / n) ELSE v END AS u FROM e) SELECT vec_id, n > 0 AS has_length, round(u[1], 6) AS first, round(u[-1], 6) AS last, round(list_max(u), 6) AS most, round(list_min(u), 6) AS least FROM u")
 def unit_vectors(spark, sf):
     """Vectors brought to length one; a zero vector stays."""
     e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
     length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
     u = e.withColumn("n", length("e")).withColumn("u", F.when(F.col("n") > 0, F.transform("e", lambda x: x / F.col("n"))).otherwise(F.col("e")))
-    return u.select("vec_id", (F.col("n") > 0).alias("has_length"), F.round(length("u"), 6).alias("length"))
+    return u.select("vec_id", (F.col("n") > 0).alias("has_length"), *[F.round(c, 6).alias(n) for n, c in (("first", F.element_at("u", 1)), ("last", F.element_at("u", -1)), ("most", F.array_max("u")), ("least", F.array_min("u")))])
 
 
 _FKS = [("nation", "region"), ("customer", "nation"), ("supplier", "nation"), ("orders", "customer"), ("lineitem", "orders"), ("lineitem", "part"), ("lineitem", "supplier"), ("labels", "documents")]
@@ -342,16 +342,20 @@ def unpublish(spark, sf):
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("story"), F.when(named, "unpublished").otherwise(F.col("o_orderstatus")).alias("status"), (named & (F.col("o_orderstatus") != "P")).alias("changed"))
 
 
-@query(f"WITH {_LK}, d AS (SELECT story, sha256(string_agg(unit || '-' || source, ',' ORDER BY unit, source)) AS digest, count(*) AS n FROM lk GROUP BY story) SELECT story, n, n % 2 = 0 AS current FROM d")
+@query(f"WITH {_LK}, d AS (SELECT story, sha256(string_agg(unit || '-' || source, ',' ORDER BY unit, source)) AS digest, sha256(coalesce(string_agg(unit || '-' || source, ',' ORDER BY unit, source) FILTER (WHERE source % 5 > 0), '')) AS stored, count(*) AS n FROM lk GROUP BY story) SELECT story, n, digest, digest = stored AS current FROM d")
 def claim_currency(spark, sf):
-    """Whether claims were made from the units that a story has now, by the digest of these."""
-    units = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("unit", "source"))), lambda x: F.concat_ws("-", x["unit"].cast("string"), x["source"].cast("string"))), ",")
-    d = links(spark, sf).groupBy("story").agg(F.sha2(units.cast("binary"), 256).alias("digest"), F.count("*").alias("n"))
-    stored = F.when(F.col("n") % 2 == 0, F.col("digest")).otherwise(F.sha2(F.lit("older").cast("binary"), 256))
-    return d.select("story", "n", (F.col("digest") == stored).alias("current"))
+    """Whether claims were made from the units that a story has now, by the digest of these; links of every fifth source came later."""
 
+    def digest(members):
+        pairs = F.transform(F.array_sort(members), lambda x: F.concat_ws("-", x["unit"].cast("string"), x["source"].cast("string")))
+        return F.sha2(F.array_join(pairs, ",").cast("binary"), 256)
 
-@query("SELECT event_id AS id, CASE WHEN event_id % 3 = 1 AND event_id % 50 > 0 THEN 'moderate' ELSE 'minor' END AS severity FROM events")
+    link = F.struct("unit", "source")
+    d = links(spark, sf).groupBy("story").agg(digest(F.collect_list(link)).alias("digest"), digest(F.collect_list(F.when(F.col("source") % 5 > 0, link))).alias("stored"), F.count("*").alias("n"))
+    return d.select("story", "n", "digest", (F.col("digest") == F.col("stored")).alias("current"))
+
+
+@query(r"WITH t AS (SELECT event_id AS id, 'it is ' || (event_id % 50) || ' now' AS a, 'it is ' || CASE WHEN event_id % 3 = 1 THEN event_id % 50 * 3 ELSE event_id % 50 END || ' today' AS b FROM events), v AS (SELECT id, CAST(regexp_extract(a, '\d+') AS DOUBLE) AS a, CAST(regexp_extract(b, '\d+') AS DOUBLE) AS b FROM t) SELECT id, CASE WHEN a = 0 AND b <> 0 OR a <> 0 AND abs(b - a) / a > 0.05 THEN 'moderate' ELSE 'minor' END AS severity FROM v")
 def correction_severity(spark, sf):
     """How grave a correction is: moderate where figures moved, else minor."""
     n = F.col("event_id")
