@@ -117,10 +117,10 @@ def reference_blockers(spark, sf):
     return a.unionByName(b)
 
 
-@query("SELECT vec_id FROM embeddings WHERE vec_id IN (SELECT l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1993-01-01' AND o_totalprice > 480000))")
+@query("SELECT vec_id FROM embeddings WHERE vec_id IN (SELECT l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1996-01-01' AND o_totalprice > 480000))")
 def expired_embeddings(spark, sf):
     """Vectors of articles of units of stories that have expired: a chain of semi-joins."""
-    old = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_totalprice > 480000").where(F.col("o_orderdate").cast("timestamp") < F.lit("1993-01-01 00:00:00").cast("timestamp"))
+    old = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_totalprice > 480000").where(F.col("o_orderdate").cast("timestamp") < F.lit("1996-01-01 00:00:00").cast("timestamp"))
     gone = table(spark, sf, "lineitem").join(old, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select(F.col("l_suppkey").alias("vec_id"))
     return table(spark, sf, "embeddings").join(gone, "vec_id", "left_semi").select("vec_id")
 
