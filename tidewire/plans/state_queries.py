@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import extract as X
 from tidewire.functions import hashes as H
+from tidewire.functions import text as T
 from tidewire.functions import url as U
+from tidewire.operators import corpus as CO
 from tidewire.operators import dimensions as D
 from tidewire.operators import merkle as M
+from tidewire.operators import vectors as V
 from tidewire.plans.graph_queries import _LK, links
 from tidewire.plans.registry import query
 from tidewire.plans.text_queries import _CANONICAL
@@ -371,16 +374,25 @@ def entity_refresh(spark, sf):
     return table(spark, sf, "documents").select("doc_id", other.alias("refreshed"), F.when(other, F.concat(F.lit("en:"), "source")).otherwise(F.col("source")).alias("entities_from"))
 
 
-_SNIP = "s AS (SELECT l_orderkey AS story, l_linenumber AS k, ['quote', 'stat', 'fact', 'summary', 'claim'][l_suppkey % 5 + 1] AS kind, 'part ' || l_partkey || ' was shipped with care' AS text FROM lineitem)"
+_SNIP = """s AS (SELECT l_orderkey AS story, list({'text': 'part ' || l_partkey || ' was shipped with care', 'type': ['quote', 'stat', 'fact', 'summary', 'opinion'][l_suppkey % 5 + 1], 'confidence': CASE WHEN l_partkey % 3 > 0 THEN CAST(l_quantity AS INTEGER) END,
+    'entities': ['Part ' || l_partkey, 'ACME']} ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS x FROM lineitem GROUP BY l_orderkey)"""
+_SPOILT = """p AS (SELECT story, x, 'drop_confidence' AS way, list_transform(x, lambda v: {'text': v.text, 'type': v.type, 'confidence': CAST(NULL AS INTEGER), 'entities': v.entities}) AS y FROM s
+    UNION ALL SELECT story, x, 'collapse_type', list_transform(x, lambda v: {'text': v.text, 'type': 'summary', 'confidence': v.confidence, 'entities': v.entities}) FROM s
+    UNION ALL SELECT story, x, 'cycle_type', list_transform(x, lambda v: {'text': v.text, 'type': CASE v.type WHEN 'quote' THEN 'stat' WHEN 'stat' THEN 'fact' WHEN 'fact' THEN 'summary' WHEN 'summary' THEN 'claim' WHEN 'claim' THEN 'quote' ELSE v.type END, 'confidence': v.confidence, 'entities': v.entities}) FROM s
+    UNION ALL SELECT story, x, 'truncate_text', list_transform(x, lambda v: {'text': substring(v.text, 1, 19), 'type': v.type, 'confidence': v.confidence, 'entities': v.entities}) FROM s
+    UNION ALL SELECT story, x, 'first_only', x[1:1] FROM s UNION ALL SELECT story, x, 'shout_entities', list_transform(x, lambda v: {'text': v.text, 'type': v.type, 'confidence': v.confidence, 'entities': list_transform(v.entities, lambda e: upper(e))}) FROM s)"""
 
 
-@query(f"WITH {_SNIP} SELECT DISTINCT story, k, kind, text, 'summary' AS collapsed, list_extract(['quote', 'stat', 'fact', 'summary', 'claim'], list_position(['quote', 'stat', 'fact', 'summary', 'claim'], kind) % 5 + 1) AS cycled, substring(text, 1, 19) AS truncated, upper(text) AS shouted FROM s")
+@query(f"""WITH {_SNIP}, {_SPOILT} SELECT story, way AS perturbation, y IS DISTINCT FROM x AS changed, array_to_string(list_transform(y, lambda v: v.text || '/' || v.type || '/' || coalesce(CAST(v.confidence AS VARCHAR), '') || '/' || array_to_string(v.entities, '+')), ';') AS spoilt FROM p""")
 def snippet_perturbations(spark, sf):
-    """Answers spoilt on purpose: one type for all, types moved on by one, texts cut short, all in capitals."""
-    kinds = ["quote", "stat", "fact", "summary", "claim"]
-    names = F.array(*[F.lit(x) for x in kinds])
-    s = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("story"), F.col("l_linenumber").alias("k"), F.element_at(names, (F.col("l_suppkey") % 5 + 1).cast("int")).alias("kind"), F.concat(F.lit("part "), F.col("l_partkey").cast("string"), F.lit(" was shipped with care")).alias("text"))
-    return s.select("*", F.lit("summary").alias("collapsed"), F.element_at(names, (F.array_position(names, F.col("kind")) % 5 + 1).cast("int")).alias("cycled"), F.substring("text", 1, 19).alias("truncated"), F.upper("text").alias("shouted")).distinct()
+    """Answers spoilt on purpose in six ways, and which of them that changed."""
+    names = F.array(*[F.lit(x) for x in ("quote", "stat", "fact", "summary", "opinion")])
+    part = F.col("l_partkey").cast("string")
+    one = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.concat(F.lit("part "), part, F.lit(" was shipped with care")).alias("text"), F.element_at(names, (F.col("l_suppkey") % 5 + 1).cast("int")).alias("type"), F.when(F.col("l_partkey") % 3 > 0, F.col("l_quantity").cast("int")).alias("confidence"), F.array(F.concat(F.lit("Part "), part), F.lit("ACME")).alias("entities"))
+    s = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("story")).agg(F.array_sort(F.collect_list(one)).alias("x"))
+    s = s.select("story", F.transform("x", lambda v: F.struct(v["text"].alias("text"), v["type"].alias("type"), v["confidence"].alias("confidence"), v["entities"].alias("entities"))).alias("x"))
+    text = lambda v: F.concat(v["text"], F.lit("/"), v["type"], F.lit("/"), F.coalesce(v["confidence"].cast("string"), F.lit("")), F.lit("/"), F.array_join(v["entities"], "+"))
+    return CO.perturbed(s, "x").select("story", "perturbation", "changed", F.array_join(F.transform("spoilt", text), ";").alias("spoilt"))
 
 
 @query("SELECT count(*) AS gold, count(*) FILTER (WHERE d.doc_id IS NOT NULL) AS in_corpus, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS unlabelled FROM labels LEFT JOIN documents d USING (doc_id)")
@@ -410,21 +422,39 @@ def dead_feeds(spark, sf):
     return e.where("errors >= 3").orderBy("feed")
 
 
-@query("WITH s AS (SELECT conv_id, turn, list_slice(list_transform(range(1, 5), lambda i: (conv_id * 31 + turn * 7 + i) % 97), 1, 4) AS sig FROM conversations) SELECT conv_id, turn, '[' || array_to_string(sig, ',') || ']' AS stored, len(sig) AS slots FROM s")
+@query()
 def stored_signatures(spark, sf):
-    """Signatures as they are stored, and read again."""
-    sig = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (F.col("conv_id") * 31 + F.col("turn") * 7 + i) % 97)
-    s = table(spark, sf, "conversations").select("conv_id", "turn", F.to_json(sig).alias("stored"))
-    return s.select("conv_id", "turn", "stored", F.size(F.from_json("stored", "array<bigint>")).cast("long").alias("slots"))
+    """MinHash signatures of the turns' shingles as JSON, read again: as many slots, each the least hash that a fresh one has."""
+    r = revisions(spark, sf)
+    s = V.minhash(T.with_shingles(r, "content", "s"), "s", "sig").select(F.col("article_id").alias("conv_id"), F.col("revision").alias("turn"), "sig", F.to_json("sig").alias("stored"))
+    back = F.from_json("stored", "array<bigint>")
+    return s.select("conv_id", "turn", F.size(back).cast("long").alias("slots"), (back == F.col("sig")).alias("same"))
 
 
-@query("WITH s AS (SELECT id, sha256(body) AS body_hash, CASE WHEN id % 9 = 0 THEN sha256(body || 'x') ELSE sha256(body) END AS recorded, length(body) AS n, CASE WHEN lang = 'en' AND tier = 1 THEN 'en tier1' WHEN lang = 'en' THEN 'en' WHEN tier <= 2 THEN 'other tier1-2' ELSE 'other' END AS stratum FROM a), v AS (SELECT * FROM s WHERE body_hash = recorded), r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY n DESC, id) AS nth FROM v) SELECT id, stratum FROM r WHERE nth <= CASE stratum WHEN 'en tier1' THEN 12 WHEN 'en' THEN 8 WHEN 'other tier1-2' THEN 6 ELSE 4 END", articles=True)
+#: Twenty strata of articles: name, condition (in SQL that both engines read), and how many of each.
+_STRATA = [
+    ("de", "lang = 'de'", 4), ("es", "lang = 'es'", 4), ("fr", "lang = 'fr'", 4), ("it", "lang = 'it'", 4), ("no language", "lang IS NULL", 2), ("en short", "lang = 'en' AND n BETWEEN 200 AND 400", 6), ("en middle", "lang = 'en' AND n BETWEEN 401 AND 1500", 6),
+    ("en long", "lang = 'en' AND n BETWEEN 1501 AND 5000", 5), ("en longest", "lang = 'en' AND n > 5000", 5), ("en tier 1", "lang = 'en' AND tier = 1", 4), ("en tier 2", "lang = 'en' AND tier = 2", 4), ("en tier 3", "lang = 'en' AND tier = 3", 3), ("en tier 4", "lang = 'en' AND tier = 4", 3),
+    ("owner 0", "owner = 'owner0'", 2), ("owner 3", "owner = 'owner3'", 2), ("owner 5", "owner = 'owner5' AND lang <> 'en'", 2), ("figures", "body LIKE '%000%'", 3), ("lines", "body LIKE '%' || chr(10) || chr(10) || '%'", 3), ("any tier 1", "tier = 1", 5), ("any", "n >= 0", 6),
+]
+
+
+def _strata_sql() -> str:
+    parts, before = [], []
+    for k, (name, condition, most) in enumerate(_STRATA):
+        out = "".join(f" AND id NOT IN (SELECT id FROM s{j})" for j in before)
+        parts.append(f"s{k} AS MATERIALIZED (SELECT id, '{name}' AS stratum, digest FROM l WHERE n > 200 AND ({condition}){out} ORDER BY n DESC, id LIMIT {most})")
+        before.append(k)
+    union = " UNION ALL ".join(f"SELECT * FROM s{k}" for k in before)
+    return f"WITH l AS MATERIALIZED (SELECT id, body, lang, tier, owner, length(body) AS n, sha256(body) AS digest FROM a), {', '.join(parts)}, u AS ({union}) SELECT id, stratum, CASE WHEN id % 9 = 0 THEN 'changed' WHEN id % 10 = 3 THEN 'missing' END AS fault FROM u"
+
+
+@query(_strata_sql(), articles=True)
 def frozen_corpus(spark, sf):
-    """A sample frozen by strata, the first that fits, the longest bodies first; only those whose digest is the one recorded."""
-    h = F.sha2(F.col("body").cast("binary"), 256)
-    recorded = F.when(F.col("id") % 9 == 0, F.sha2(F.concat("body", F.lit("x")).cast("binary"), 256)).otherwise(h)
-    stratum = F.when((F.col("lang") == "en") & (F.col("tier") == 1), "en tier1").when(F.col("lang") == "en", "en").when(F.col("tier") <= 2, "other tier1-2").otherwise("other")
-    v = articles(spark, sf).where(h == recorded).select("id", stratum.alias("stratum"), F.length("body").alias("n"))
-    r = v.withColumn("nth", F.row_number().over(Window.partitionBy("stratum").orderBy(F.desc("n"), "id")))
-    most = F.when(F.col("stratum") == "en tier1", 12).when(F.col("stratum") == "en", 8).when(F.col("stratum") == "other tier1-2", 6).otherwise(4)
-    return r.where(F.col("nth") <= most).select("id", "stratum")
+    """A sample frozen by twenty strata, each taking its longest bodies that none before it took, and held against the articles as
+    they are since: every ninth has changed, of the others every tenth is gone."""
+    a = articles(spark, sf).withColumn("n", F.length("body"))
+    sample = CO.stratified(a.where("n > 200"), [(name, F.expr(c.replace("chr(10)", "char(10)")), most) for name, c, most in _STRATA], F.col("n"), "id")
+    kept = sample.join(a.select("id", F.sha2(F.col("body").cast("binary"), 256).alias("body_sha256")), "id")
+    since = a.where("id % 9 = 0 OR id % 10 <> 3").select("id", F.when(F.col("id") % 9 == 0, F.concat("body", F.lit("x"))).otherwise(F.col("body")).alias("body"))
+    return CO.frozen(kept, since)
