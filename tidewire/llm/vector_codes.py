@@ -31,8 +31,8 @@ from tidewire.llm.common import id_back, id_of, spread_join, staged
 
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 MOST = 1 << 27
-#: Entries of an annulus evaluated in a step on each side of the middle, and pairs of part and entry held at once.
-STEP, PAIRS = 8, 1 << 20
+#: Entries of an annulus evaluated in a step on each side of the middle, parts of like norm taken together, and parts read at once.
+STEP, GROUP, ROWS = 32, 256, 1 << 16
 
 
 class Codebook:
@@ -42,44 +42,50 @@ class Codebook:
         norms = np.sqrt((entries.astype(np.float64) ** 2).sum(1))
         self.order = np.argsort(norms, kind="stable")
         self.entries, self.norms = entries[self.order], norms[self.order]
+        self.largest = int(np.abs(entries).max(initial=0))
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index, squared distance) of each row's nearest entry."""
-        n, k = len(x), len(self.norms)
+        """(index, squared distance) of each row's nearest entry.
+
+        Rows are taken in groups of like norm, so that their annuli overlap and one product evaluates them together.
+        """
         norm = np.sqrt((x.astype(np.float64) ** 2).sum(1))
-        middle = np.searchsorted(self.norms, norm)
-        lo, hi = np.zeros(n, np.int64), np.full(n, k, np.int64)
-        best, at = np.full(n, np.iinfo(np.int64).max), np.full(n, k, np.int64)
-        left, right = middle.copy(), middle.copy()
-        open_ = np.arange(n)
-        while len(open_):
-            a, b = np.maximum(left[open_] - STEP, lo[open_]), np.minimum(right[open_] + STEP, hi[open_])
-            spans = np.concatenate([np.stack([a, left[open_]], 1), np.stack([right[open_], b], 1)])
-            self._evaluate(x, np.concatenate([open_, open_]), spans, best, at)
-            left[open_], right[open_] = np.minimum(a, left[open_]), np.maximum(b, right[open_])
-            # The annulus that the best distance allows; rounding of the roots is given room, so that its ends are inclusive.
-            reach = np.sqrt(best[open_].astype(np.float64)) * (1 + 1e-12) + norm[open_] * 1e-12 + 1e-6
-            lo[open_] = np.searchsorted(self.norms, norm[open_] - reach, "left")
-            hi[open_] = np.searchsorted(self.norms, norm[open_] + reach, "right")
-            open_ = open_[(left[open_] > lo[open_]) | (right[open_] < hi[open_])]
+        at, best = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+        by = np.argsort(norm, kind="stable")
+        for k in range(0, len(by), GROUP):
+            rows = by[k : k + GROUP]
+            at[rows], best[rows] = self._group(x[rows], norm[rows])
+        return at, best
+
+    def _group(self, x: np.ndarray, norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        best, at = np.full(len(x), np.iinfo(np.int64).max), np.full(len(x), len(self.norms), np.int64)
+        lo, hi = 0, len(self.norms)
+        left = right = int(np.searchsorted(self.norms, norm[len(norm) // 2]))
+        while left > lo or right < hi:
+            a, b = max(left - STEP, lo), min(right + STEP, hi)
+            for start, end in ((a, left), (right, b)):
+                if start < end:
+                    far = self._distances(x, start, end)
+                    least = far.min(1)
+                    index = np.where(far == least[:, None], self.order[start:end], len(self.norms)).min(1)
+                    nearer = (least < best) | ((least == best) & (index < at))
+                    best[nearer], at[nearer] = least[nearer], index[nearer]
+            left, right = min(a, left), max(b, right)
+            # The annulus that the best distances allow; rounding of the roots is given room, so that its ends are inclusive.
+            reach = np.sqrt(best.astype(np.float64)) * (1 + 1e-12) + norm * 1e-12 + 1e-6
+            lo = int(np.searchsorted(self.norms, (norm - reach).min(), "left"))
+            hi = int(np.searchsorted(self.norms, (norm + reach).max(), "right"))
         return at, best
 
-    def _evaluate(self, x, rows, spans, best, at):
-        size = np.maximum(spans[:, 1] - spans[:, 0], 0)
-        rows, start, size = rows[size > 0], spans[size > 0, 0], size[size > 0]
-        if not len(rows):
-            return
-        each = np.repeat(np.arange(len(rows)), size)
-        entry = start[each] + np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
-        gap = x[rows[each]] - self.entries[entry]
-        far = np.einsum("ij,ij->i", gap, gap)
-        index = self.order[entry]
-        # The least (distance, index) of each row in rows: a row may stand in rows twice, so both are reduced one after the other.
-        by = np.lexsort((index, far, rows[each]))
-        first = by[np.flatnonzero(np.diff(rows[each][by], prepend=-1))]
-        r, f, i = rows[each][first], far[first], index[first]
-        nearer = (f < best[r]) | ((f == best[r]) & (i < at[r]))
-        best[r[nearer]], at[r[nearer]] = f[nearer], i[nearer]
+    def _distances(self, x: np.ndarray, start: int, end: int) -> np.ndarray:
+        """Exact squared distances; as a product of doubles where all sums are whole numbers below 2^53."""
+        e = self.entries[start:end]
+        largest = max(self.largest, int(np.abs(x).max(initial=0)))
+        if 4 * x.shape[1] * largest**2 < 1 << 53:
+            a, b = x.astype(np.float64), e.astype(np.float64)
+            return ((a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * (a @ b.T)).astype(np.int64)
+        gap = x[:, None] - e[None]
+        return np.einsum("ijk,ijk->ij", gap, gap)
 
 
 def finite(vec: Column) -> Column:
@@ -103,7 +109,7 @@ def integers(vectors: pa.Array, width: int) -> np.ndarray:
 
 def parts_of(vectors: pa.Array, width: int, parts: int) -> Iterator[list[np.ndarray]]:
     """The parts of so many vectors at a time that the pairs of a step are bounded."""
-    step = max(1, PAIRS // (2 * STEP * max(1, width // parts)))
+    step = max(1, ROWS * 16 // max(1, width))
     for k in range(0, len(vectors), step):
         yield np.split(integers(vectors.slice(k, step), width), parts, axis=1)
 
