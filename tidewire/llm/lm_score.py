@@ -32,13 +32,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import staged, text_of
+from tidewire.llm.common import shuffle_parts, staged, text_of
 from tidewire.llm.substring_dedup import mixed, pack_sorted, unpack_sorted, word_hashes
 
 ORDER, MU = 3, 100.0
 #: Bytes of text in a block and tokens' n-grams in a shard, at least; and n-grams in a message, on average at least.
 BLOCK_BYTES, SHARD_TOKENS, MESSAGE = 5 << 20, 1 << 20, 64
 TOKEN_BYTES = 6
+#: Shards or blocks that one task takes one after the other, about.
+GROUPS = 4
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: No word has a space in it, so these are no words.
 START, END = b" s", b" e"
@@ -228,7 +230,12 @@ def score_documents(docs: DataFrame, order: int = ORDER, mu: float = MU, block_b
                 names=["block", "row", "doc_id", "held_out", "text"],
             )
 
-    asks = rows.mapInArrow(ask, "order int, shard int, block long, grams binary, counts binary")
+    def spread(df: DataFrame, groups: int, *keys: str) -> DataFrame:
+        """By the keys of the grouping that follows, into more partitions than the session's if there are far more groups."""
+        parts = groups // GROUPS
+        return df.repartition(parts, *keys) if parts > shuffle_parts(df.sparkSession) else df
+
+    asks = spread(rows.mapInArrow(ask, "order int, shard int, block long, grams binary, counts binary"), order * shards, "order", "shard")
     replies = staged(asks.groupBy("order", "shard").applyInArrow(answered, "order int, shard int, block long, counts binary, total long, distinct long"))
     n, v = replies.where("order = 1").agg(F.sum("total"), F.sum("distinct")).first()
 
@@ -248,5 +255,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, mu: float = MU, block_b
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
-    texts = rows.mapInArrow(dealt, "block long, row long, doc_id long, held_out boolean, text binary")
-    return texts.groupBy("block").cogroup(replies.select("block", "order", "shard", "counts").groupBy("block")).applyInArrow(score, out)
+    runs = size // block_bytes
+    texts = spread(rows.mapInArrow(dealt, "block long, row long, doc_id long, held_out boolean, text binary"), runs, "block")
+    told = spread(replies.select("block", "order", "shard", "counts"), runs, "block")
+    return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, out)
