@@ -92,12 +92,23 @@ class Layer:
             return Layer(text, whole=self.whole, rounds=self.rounds + 1)
         old_s = np.arange(len(self.text)) if self.starts is None else self.starts
         old_e = np.arange(1, len(self.text) + 1) if self.ends is None else self.ends
-        starts, ends, at = [], [], 0
-        for a, b, _, spans in subs:
-            starts += [old_s[at:a], np.array([old_s[x] for x, _ in spans], np.int64)]
-            ends += [old_e[at:a], np.array([old_e[y - 1] for _, y in spans], np.int64)]
-            at = b
-        return Layer(text, np.concatenate([*starts, old_s[at:]]), np.concatenate([*ends, old_e[at:]]), rounds=self.rounds + 1)
+        starts, ends, at, run = [], [], 0, []
+        for a, b, _, spans in [*subs, (len(self.text), 0, "", [])]:
+            if a > at and run:  # substitutions that follow each other are looked up together
+                place = np.array(run, np.int64)
+                starts.append(old_s[place[:, 0]])
+                ends.append(old_e[place[:, 1] - 1])
+                run = []
+            if a > at:
+                starts.append(old_s[at:a])
+                ends.append(old_e[at:a])
+            run += spans
+            at = b or at
+        if run:
+            place = np.array(run, np.int64)
+            starts.append(old_s[place[:, 0]])
+            ends.append(old_e[place[:, 1] - 1])
+        return Layer(text, np.concatenate([old_s[:0], *starts]), np.concatenate([old_e[:0], *ends]), rounds=self.rounds + 1)
 
 
 def _parts(raw: bytes):
