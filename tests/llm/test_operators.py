@@ -9,10 +9,12 @@ from collections import defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -184,6 +186,33 @@ def test_bytes(spark, small, monkeypatch):
     assert suffix_dedup.deduplicate_bytes(edge.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("ranges, shared", [(40, True), (12, False)])
+def test_bytes_of_hot_tokens_and_strings(spark, monkeypatch, ranges, shared):
+    """A lead that most texts have spreads over many buckets, and a passage that most have over several, and none is lost."""
+    for name, value in (("RANGES", ranges), ("BLOCK_BYTES", 9000), ("BUCKET_RECORDS", 60), ("STRINGS", 700), ("PASS_BYTES", 3000)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rng = np.random.default_rng(8)
+    words = ["".join(map(chr, rng.integers(97, 123, 30))) for _ in range(400)]
+    lead, passage = "a lead of more than twenty-four bytes", "a passage of over fifty bytes that is the same wherever it stands, whole"
+
+    def word():
+        return words[int(len(words) * rng.random() ** 3)]
+
+    rows = [(k, f"{word()}{lead if k % 3 else passage}{word()}") for k in rng.permutation(900).tolist()]
+    df = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string").repartition(3)
+    docs = df.select(F.col("doc_id").alias("id"), "text")
+    splitters = suffix_dedup.sampled_splitters(docs, sum(len(t) for _, t in rows), ranges, 50, 24)
+    assert len(splitters.hot) and (len(splitters.shared) > 0) == shared
+    block = pa.table({"id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    own = suffix_dedup.Block(block)
+    to, at, first, last, _ = splitters.deal(own, 5, own.anchors(50, 24), 50, 24, 4)
+    assert (last - first + 1).sum() == sum(len(t) - 49 for _, t in rows)
+    hot = np.isin(suffix_dedup.leading(own.bytes, at, 24), splitters.hot[:1])
+    assert len(np.unique(to[hot])) >= min(8, ranges)
+    got = suffix_dedup.deduplicate_bytes(df).collect()
+    assert ordered((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.content)) for r in got) == ordered(plain_bytes(rows))
+
+
 @pytest.mark.parametrize("small_range", [16, 1024])
 def test_multikey_sort(monkeypatch, small_range):
     monkeypatch.setattr(suffix_dedup, "SMALL", small_range)

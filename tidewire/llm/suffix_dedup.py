@@ -4,8 +4,10 @@ Only suffixes that start at anchors are sorted. An anchor of a string of ``size`
 the least hash, so equal strings have equal anchors, and one suffix in about a dozen is one. A suffix record carries the bytes
 that the strings of its anchor cover. Records are range-partitioned by their leading tokens (the ``LEAD`` bytes at the anchor)
 at sampled splitters; a bucket sorts its strings by a multikey quicksort, eight bytes a step, that goes deeper only into ties, and
-compares neighbours. A splitter compares whole leading tokens and sends those equal to it to one side, so that a run of equal
-strings never lies on both sides of a boundary: what would be compared across it is known to differ.
+compares neighbours. A leading token that one splitter has goes to one side of it. One that several splitters have is hot: its
+strings are dealt one by one, by the token, where it lies in them and their other bytes, so that it spreads over all the ranges
+that its share of the sample asks for. A string that several splitters equal is dealt over the ranges between them by its block;
+its buckets tell the smallest id that each has seen, and these are compared across the boundaries.
 
 Before that, leading tokens that no two documents can share are found as in the count-min prefilter (an overestimate, so none
 is lost), and records that a block holds more than once are sent once, with their places.
@@ -13,10 +15,12 @@ is lost), and records that a block holds more than once are sent once, with thei
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.common import id_of, text_of
@@ -27,8 +31,10 @@ SIZE, LEAD = 50, 24
 CELLS, SHARD_CELLS, BLOCK_BYTES, PASS_BYTES = 16, 1 << 25, 12 << 20, 1 << 20
 #: Suffix records of a bucket, about; suffixes sampled for a splitter; strings sorted at once.
 BUCKET_RECORDS, SAMPLED, STRINGS = 1 << 17, 32, 1 << 18
-#: Splitters at most, the bound on what the driver samples; beyond, each range is dealt to several buckets by the leading tokens' hash.
+#: Ranges at most, the bound on what the driver samples; a range is dealt to as many buckets as it needs by the leading tokens' hash.
 RANGES = 1 << 16
+#: Ranges of a hot token for each that its share of the sample asks for, as its strings are dealt one by one.
+FINER = 8
 #: Rows of a range that is sorted outright.
 SMALL = 1024
 
@@ -132,21 +138,66 @@ def leading(text: np.ndarray, at: np.ndarray, lead: int) -> np.ndarray:
     return np.ascontiguousarray(text[at[:, None] + np.arange(lead)]).view(f"S{lead}").ravel()
 
 
+def turned(text: np.ndarray, start: np.ndarray, at: np.ndarray, size: int, lead: int) -> np.ndarray:
+    """Each string as its leading token, the place of that in it, and its bytes from the token's end on, round to the token again."""
+    k = at - start
+    rest = start[:, None] + (k[:, None] + np.arange(lead, size)) % size
+    place = k[:, None] >> np.array([8, 0]) & 255
+    return np.ascontiguousarray(np.concatenate([text[at[:, None] + np.arange(lead)], place.astype(np.uint8), text[rest]], axis=1)).view(f"S{size + 2}").ravel()
+
+
+class Splitters:
+    """Sampled strings, turned, in order: what they tell of leading tokens, hot ones, and strings that several of them equal."""
+
+    def __init__(self, picks: list[bytes], size: int, lead: int):
+        self.strings = np.array(picks, f"S{size + 2}")
+        self.tokens = np.array([p[:lead] for p in picks], f"S{lead}")
+        self.hot = np.unique(self.tokens[1:][self.tokens[1:] == self.tokens[:-1]])
+        self.shared = np.unique(self.strings[1:][self.strings[1:] == self.strings[:-1]])
+
+    def deal(self, own: Block, block: int, got: tuple, size: int, lead: int, parts: int) -> tuple[np.ndarray, ...]:
+        """Bucket, anchor, first and last string start, document number of every record; those of hot tokens are cut where the bucket changes."""
+        at, first, last, h, doc = got
+        tokens = leading(own.bytes, at, lead)
+        bucket = np.searchsorted(self.tokens, tokens, side="right") * parts + (h >> np.uint64(7)).astype(np.int64) % parts
+        hot = np.isin(tokens, self.hot)
+        out, rest = [(bucket[~hot], at[~hot], first[~hot], last[~hot], doc[~hot])], np.flatnonzero(hot)
+        ends = np.cumsum(last[rest] - first[rest] + 1)
+        for rec in np.split(rest, np.unique(np.searchsorted(ends, np.arange(STRINGS, ends[-1], STRINGS)))) if len(rest) else ():
+            if not len(rec):
+                continue
+            n = last[rec] - first[rec] + 1
+            which = np.repeat(rec, n)
+            start = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+            keys = turned(own.bytes, start, at[which], size, lead)
+            left, right = np.searchsorted(self.strings, keys, side="left"), np.searchsorted(self.strings, keys, side="right")
+            over = (right - left) * parts
+            words = np.zeros((len(keys), -(-(size + 2) // 8) * 8), np.uint8)
+            words[:, : size + 2] = keys.view(np.uint8).reshape(len(keys), size + 2)
+            mix = np.zeros(len(keys), np.uint64)
+            for w in words.view("<u8").T:
+                mix = mixed(mix ^ w)
+            to = np.where(right - left > 1, (left + 1) * parts + block % np.maximum(over, 1), right * parts + (mix >> np.uint64(7)).astype(np.int64) % parts)
+            a = np.flatnonzero(np.concatenate([[True], (which[1:] != which[:-1]) | (to[1:] != to[:-1])]))
+            z = np.append(a[1:], len(to)) - 1
+            out.append((to[a], at[which[a]], start[a], start[z], doc[which[a]]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 _SUFFIX = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("records", pa.binary())])
-_RUNS = pa.schema([("block", pa.int64()), ("starts", pa.binary())])
+_RUNS = pa.schema([("block", pa.int64()), ("starts", pa.binary()), ("shared", pa.int64()), ("least", pa.int64())])
 
 
-def records(docs: pa.Table, replies: pa.Table, splitters: np.ndarray, size: int, lead: int, width: int, shards: int, parts: int = 1) -> pa.Table:
+def records(docs: pa.Table, replies: pa.Table, splitters: Splitters, size: int, lead: int, width: int, shards: int, parts: int = 1) -> pa.Table:
     """A block's suffix records, dealt to buckets; equal ones are one record with several places."""
     if not docs.num_rows:
         return _SUFFIX.empty_table()
     own = Block(docs)
-    at, first, last, h, doc = shared_anchors(own, replies, size, lead, width, shards)
-    if not len(at):
+    got = shared_anchors(own, replies, size, lead, width, shards)
+    if not len(got[0]):
         return _SUFFIX.empty_table()
-    bucket = np.searchsorted(splitters, leading(own.bytes, at, lead), side="right") if len(splitters) else np.zeros(len(at), np.int64)
-    bucket = bucket * parts + (h >> np.uint64(7)).astype(np.int64) % parts
     raw, block, out = own.bytes.tobytes(), docs["block"][0].as_py(), []
+    bucket, at, first, last, doc = splitters.deal(own, block, got, size, lead, parts)
     order = np.argsort(bucket, kind="stable")
     names, cut = np.unique(bucket[order], return_index=True)
     for b, mine in zip(names.tolist(), np.split(order, cut[1:]), strict=True):
@@ -191,8 +242,12 @@ def multikey_sort(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def compare(suffixes: pa.Table, size: int, lead: int) -> pa.Table:
-    """Sort a bucket's strings and give, for each block, the starts of those that a document of smaller id holds too."""
+def compare(suffixes: pa.Table, splitters: Splitters, size: int, lead: int) -> pa.Table:
+    """Sort a bucket's strings and give, for each block, the starts of those that a document of smaller id holds too.
+
+    Of a string that several splitters equal, the starts that no document seen here takes are given with its number and the
+    smallest id seen here, to be compared with what its other buckets have seen.
+    """
     texts, lens, anchors_, counts, ids, places, blocks = [], [], [], [], [], [], []
     for block, raw in zip(suffixes["block"].to_pylist(), suffixes["records"].to_pylist(), strict=True):
         text, *rest = unframed(raw)
@@ -215,44 +270,66 @@ def compare(suffixes: pa.Table, size: int, lead: int) -> pa.Table:
     pick[same] = np.arange(len(same))
     del known
     begin, anchor, strings = begin[pick], anchor[pick], lens[pick] - size + 1
-    # Only records whose leading tokens another record holds.
+    # Only records whose leading tokens another record holds, here or in another bucket.
     tokens = leading(text, begin + anchor, lead)
     order = np.argsort(tokens, kind="stable")
     run = np.cumsum(np.concatenate([[True], tokens[order[1:]] != tokens[order[:-1]]])) - 1
-    alone = np.bincount(run)[run] == 1
+    alone = (np.bincount(run)[run] == 1) & ~np.isin(tokens[order], splitters.hot)
     a = 0
     order, run = order[~alone], run[~alone]
     ends = np.flatnonzero(np.append(run[1:] != run[:-1], True)) + 1 if len(run) else []
     until, total = 0, np.cumsum(strings[order]) if len(order) else np.zeros(0, np.int64)
     best = np.repeat(least, strings)  # of each string of each record
     row0 = np.cumsum(strings) - strings
+    number_of = np.full(len(best) if len(splitters.shared) else 0, -1, np.int64)
     while a < len(order):
         limit = (total[a - 1] if a else 0) + STRINGS
         until = np.searchsorted(total, limit, side="right")
         k = max(np.searchsorted(ends, until, side="right") - 1, np.searchsorted(ends, a, side="right"))
         b = int(ends[min(k, len(ends) - 1)])
         rec = order[a:b]
-        which = np.repeat(rec, strings[rec])
-        number = np.arange(len(which)) - np.repeat(np.cumsum(strings[rec]) - strings[rec], strings[rec])
-        cols = np.zeros((len(which), -(-size // 8) * 8), np.uint8)
-        cols[:, :size] = text[(begin[which] + number)[:, None] + np.arange(size)]
-        sort, new = multikey_sort(cols.view(">u8").astype(np.uint64))
-        group = np.cumsum(new) - 1
-        smallest = np.minimum.reduceat(least[which[sort]], np.flatnonzero(new))
-        best[row0[which[sort]] + number[sort]] = smallest[group]
+        if total[b - 1] - (total[a - 1] if a else 0) <= STRINGS:
+            which = np.repeat(rec, strings[rec])
+            sorts = [(which, np.arange(len(which)) - np.repeat(np.cumsum(strings[rec]) - strings[rec], strings[rec]))]
+        else:  # strings that differ in the place of the token are not alike
+            sorts = ((rec[ok], anchor[rec[ok]] - k) for k in range(size - lead + 1) if (ok := (anchor[rec] >= k) & (anchor[rec] - k < strings[rec])).any())
+        for which, number in sorts:
+            cols = np.zeros((len(which), -(-size // 8) * 8), np.uint8)
+            cols[:, :size] = text[(begin[which] + number)[:, None] + np.arange(size)]
+            sort, new = multikey_sort(cols.view(">u8").astype(np.uint64))
+            group, heads = np.cumsum(new) - 1, np.flatnonzero(new)
+            smallest = np.minimum.reduceat(least[which[sort]], heads)
+            best[row0[which[sort]] + number[sort]] = smallest[group]
+            if len(number_of):
+                one = sort[heads]
+                keys = turned(text, begin[which[one]] + number[one], (begin + anchor)[which[one]], size, lead)
+                at = np.searchsorted(splitters.shared, keys)
+                at = np.where(splitters.shared[np.minimum(at, len(splitters.shared) - 1)] == keys, at, -1)
+                number_of[row0[which[sort]] + number[sort]] = at[group]
         a = b
     # A place loses a string if its document's id is above the string's smallest.
     owner = np.repeat(np.arange(len(counts)), counts)
     rec, held = same[owner], np.repeat(np.arange(len(places)), strings[same[owner]])
     number = np.arange(len(held)) - np.repeat(np.cumsum(strings[rec]) - strings[rec], strings[rec])
-    lost = ids[held] > best[row0[rec[held]] + number]
-    start, block = (places[held] + number)[lost], blocks[owner[held]][lost]
+    string = row0[rec[held]] + number
+    lost = ids[held] > best[string]
     out = []
-    by = np.argsort(block, kind="stable")
-    names, firsts = np.unique(block[by], return_index=True)
-    for x, s in zip(names.tolist(), np.split(start[by], firsts[1:]) if len(names) else (), strict=True):
-        out.append((x, pack_sorted(np.sort(s).astype(np.uint64))))
-    cols = list(zip(*out, strict=True)) if out else [()] * 2
+
+    def tell(chosen: np.ndarray, shared: int | None, smallest: int | None) -> None:
+        start, block = (places[held] + number)[chosen], blocks[owner[held]][chosen]
+        by = np.argsort(block, kind="stable")
+        names, firsts = np.unique(block[by], return_index=True)
+        for x, s in zip(names.tolist(), np.split(start[by], firsts[1:]) if len(names) else (), strict=True):
+            out.append((x, pack_sorted(np.sort(s).astype(np.uint64)), shared, smallest))
+
+    tell(lost, None, None)
+    if len(number_of):
+        open_ = np.flatnonzero(~lost & (number_of[string] >= 0))
+        by = open_[np.argsort(number_of[string[open_]], kind="stable")]
+        names, firsts = np.unique(number_of[string[by]], return_index=True)
+        for x, chosen in zip(names.tolist(), np.split(by, firsts[1:]) if len(names) else (), strict=True):
+            tell(chosen, x, int(best[string[chosen[0]]]))
+    cols = list(zip(*out, strict=True)) if out else [()] * 4
     return pa.table([pa.array(c, t) for c, t in zip(cols, _RUNS.types, strict=True)], schema=_RUNS)
 
 
@@ -308,7 +385,7 @@ def deduplicate_bytes(docs: DataFrame, size: int = SIZE, lead: int = LEAD, id_co
         return records(docs, replies, splitters, size, lead, width, shards, per_range)
 
     def sort(rows: pa.Table) -> pa.Table:
-        return compare(rows, size, lead)
+        return compare(rows, splitters, size, lead)
 
     def last_pass(docs: pa.Table, starts: pa.Table) -> pa.Table:
         return remove(docs, starts, size)
@@ -316,29 +393,39 @@ def deduplicate_bytes(docs: DataFrame, size: int = SIZE, lead: int = LEAD, id_co
     sketched = dealt.groupBy("block").applyInArrow(first_pass, "row int, shard int, block long, cells binary, many binary")
     replies = sketched.groupBy("shard").applyInArrow(merge, "row int, shard int, block long, bits binary")
     suffixes = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(second_pass, "bucket long, block long, records binary")
-    starts = suffixes.groupBy("bucket").applyInArrow(sort, "block long, starts binary")
+    starts = suffixes.groupBy("bucket").applyInArrow(sort, "block long, starts binary, shared long, least long")
+    if len(splitters.shared):  # a row for each bucket of such a string and block of its smallest id there
+        seen = Window.partitionBy("shared", F.when(F.col("shared").isNull(), F.col("block")))
+        starts = starts.withColumn("smallest", F.min("least").over(seen)).where("shared IS NULL OR least > smallest")
     done = dealt.groupBy("block").cogroup(starts.groupBy("block")).applyInArrow(last_pass, "id long, n_bytes long, n_removed long, n_spans long, content binary, none boolean")
     return done.select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "content")
 
 
-def sampled_splitters(rows: DataFrame, n_bytes: int, buckets: int, size: int, lead: int) -> np.ndarray:
-    """Leading tokens that cut all suffixes into ``buckets`` about even ranges, from SAMPLED anchors for each bucket."""
-    if buckets < 2:
-        return np.zeros(0, f"S{lead}")
-    share = SAMPLED * buckets * (size - lead + 2) / 2 / n_bytes
+def sampled_splitters(rows: DataFrame, n_bytes: int, ranges: int, size: int, lead: int) -> Splitters:
+    """Strings, turned, that cut all suffixes into ``ranges`` about even ranges, from one of each of SAMPLED anchors for a range."""
+    if ranges < 2:
+        return Splitters([], size, lead)
+    share = SAMPLED * ranges * (size - lead + 2) / 2 / n_bytes
 
     def run(batches):
         for batch in batches:
             out = []
-            for x in batch.column(0).cast(pa.binary()).to_pylist():
+            for i, x in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 text = np.frombuffer(x, np.uint8)
-                at, _, _, h = anchors(text, size, lead)
-                out += leading(text, at[mixed(h) < np.uint64(int(share * ((1 << 64) - 1)))], lead).tolist()
+                at, first, last, h = anchors(text, size, lead)
+                # Document and place take part, so that the places of one token are sampled one by one.
+                draw = mixed(h ^ mixed(np.uint64(i * 0x9E3779B97F4A7C15 % (1 << 64)) ^ at.astype(np.uint64)))
+                some = np.flatnonzero(draw >> np.uint64(1) < np.uint64(int(share * (1 << 63))))
+                start = first[some] + (mixed(draw[some]) % (last - first + 1)[some].astype(np.uint64)).astype(np.int64)
+                out += [k.ljust(size + 2, b"\0") for k in turned(text, start, at[some], size, lead).tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["lead"])
 
     # Documents are thinned before they are cut up; the sample serves the balance alone, never the result.
-    some = rows.where(F.pmod(F.xxhash64("text"), F.lit(8)) == 0).select("text")
+    some = rows.where(F.pmod(F.xxhash64("text", "id"), F.lit(8)) == 0).select("id", "text")
     share = min(1.0, 8 * share)
     got = sorted(r["lead"] for r in some.mapInArrow(run, "lead binary").collect())
-    picks = [got[i * len(got) // buckets] for i in range(1, buckets)] if got else []
-    return np.unique(np.array(picks, f"S{lead}")) if picks else np.zeros(0, f"S{lead}")
+    picks = [got[i * len(got) // ranges] for i in range(1, ranges)] if got else []
+    hot = {a[:lead] for a, b in zip(picks, picks[1:], strict=False) if a[:lead] == b[:lead]}
+    step = max(1, SAMPLED // FINER)
+    fine = [k for _, keys in groupby((k for k in got if k[:lead] in hot), key=lambda k: k[:lead]) for k in list(keys)[::step]]
+    return Splitters(sorted([p for p in {p[:lead]: p for p in picks}.values() if p[:lead] not in hot] + fine), size, lead)
