@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import words
@@ -19,8 +19,9 @@ def shingle_sets(articles: DataFrame, k: int = 5) -> DataFrame:
     """
     own = articles.select("id", "day", F.transform(words(F.col("body")), lambda w: F.xxhash64(w)).alias("w"))
     n = F.size("w")
-    many = F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, k)))
-    hashed = own.select("id", "day", F.array_sort(F.array_distinct(many)).alias("s"))
+    # Past a short text's end there is null, which a hash passes over.
+    many = F.transform(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))), lambda i: F.xxhash64(*[F.get("w", i + j) for j in range(k)]))
+    hashed = own.select("id", "day", F.sort_array(F.array_distinct(many)).alias("s"))
     return hashed.withColumn("key", F.struct(F.xxhash64("s").alias("a"), F.xxhash64(F.reverse("s"), F.lit(7)).alias("b")))
 
 
@@ -38,15 +39,14 @@ def containment_pairs(articles: DataFrame, containment: float = CONTAINMENT, rev
     named = rows.select("id", "day", "key").join(reps.select("day", "key", "rep"), ["day", "key"]).select("id", "day", "rep")
     each = reps.select("day", "rep", "n", F.explode("s").alias("h"))
     rank = each.groupBy("day", "h").agg(F.count("*").alias("df")).where("df > 1")
-    # Shingles of one set are in no pair; the others' places count from the front, the lone ones first.
-    own = Window.partitionBy("day", "rep")
-    common = each.join(rank, ["day", "h"]).select("day", "rep", "n", "h", (F.row_number().over(own.orderBy("df", "h")) + F.col("n") - F.count("*").over(own)).alias("place"))
-    within = lambda share: F.col("place") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9).cast("int") + 1
-    prefix = cut_lineage(common.where(within(reverse)).select("day", "rep", "n", "h", within(containment).alias("small")))
+    # Shingles of one set are in no pair: places count from the front, the lone ones first, and only the others are kept.
+    common = each.join(rank, ["day", "h"]).groupBy("day", "rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
+    held = cut_lineage(common.select("day", "rep", "n", F.transform("s", lambda x: x["h"]).alias("s")))
+    length = lambda share: F.greatest(F.lit(0), F.size("s") - F.ceil(F.col("n") * share - 1e-9).cast("int") + 1)
+    prefix = held.select("day", "rep", "n", length(containment).alias("few"), F.posexplode(F.slice("s", 1, length(reverse))).alias("place", "h")).select("day", "rep", "n", "h", (F.col("place") < F.col("few")).alias("small"))
     small, large = prefix.where("small").select("day", "h", F.col("rep").alias("a"), F.col("n").alias("na")), prefix.select("day", "h", F.col("rep").alias("b"), F.col("n").alias("nb"))
     near = small.join(large, ["day", "h"]).where("a != b AND na <= nb AND na >= " + repr(reverse) + " * nb").select("day", "a", "b").distinct()
-    sets = reps.select("day", "rep", "s", "n")
-    checked = near.join(sets.withColumnsRenamed({"rep": "a", "s": "sa", "n": "na"}), ["day", "a"]).join(sets.withColumnsRenamed({"rep": "b", "s": "sb", "n": "nb"}), ["day", "b"])
+    checked = near.join(held.withColumnsRenamed({"rep": "a", "s": "sa", "n": "na"}), ["day", "a"]).join(held.withColumnsRenamed({"rep": "b", "s": "sb", "n": "nb"}), ["day", "b"])
     inter = F.size(F.array_intersect("sa", "sb"))
     ok = (F.col("inter") >= containment * F.col("na") - 1e-9) & (F.col("inter") >= reverse * F.col("nb") - 1e-9) & (F.col("inter") >= F.least(F.lit(overlap), F.col("na")))
     pairs = checked.withColumn("inter", inter).where(ok).select("day", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "inter").distinct()
