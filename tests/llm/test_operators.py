@@ -392,6 +392,8 @@ def test_queries_have_their_columns(spark, sf):
         "op4_substring_dedup": "doc_id n_words n_removed kept_sha256", "op5_secret_scans": "doc_id n_assign n_access n_hex base_sha256 spans",
         "op6_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset", "op7_simhash": "doc_id fingerprint component_id", "op8_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
         "op9_media": "page_id n_features component_id", "op10_line_dedup": "doc_id n_lines n_dropped kept_sha256",
+        "op11_vector_codes": "vec_id code error label_error codebooks_sha256", "op12_lm_score": "doc_id held_out n_tokens n_known train_tokens base_score score",
+        "op13_filter_audit": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
     }
     assert set(queries.QUERIES) == set(want)
     for name, cols in want.items():
