@@ -125,3 +125,15 @@ def test_snippets_kept_share_nothing(spark):
         own = A._grams(r.snippet)
         assert not own & seen.setdefault(r.id, set())
         seen[r.id] |= own
+
+
+def test_search_of_copies(spark):
+    """Equal titles and queries are sought once; each copy of a query is answered, and no title is scored twice in the plan."""
+    titles = [(k, "The long way round") for k in range(100, 130)] + [(k, "A long waiting line") for k in range(30)] + [(500, None), (501, "")]
+    asked = [(1, "long way"), (2, "long way"), (3, "long wai")]
+    df = A.search(spark.createDataFrame(titles, "id long, title string"), spark.createDataFrame(asked, "q long, query string"), 12)
+    got = {(r.q, r.id): r.score for r in df.collect()}
+    near = lambda query, title: round(A.plain_similarity(query, title), 6)
+    want = {(q, k): near("long way", "The long way round") for q in (1, 2) for k in range(100, 112)} | {(3, k): near("long wai", "A long waiting line") for k in range(12)}
+    assert got == want
+    assert "aggregate(flatten(transform" not in df._jdf.queryExecution().optimizedPlan().toString()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import extract as X
+from tidewire.operators.graph import cut_lineage
 
 MATCH, LEAST_SIMILARITY = 0.5, 0.6
 
@@ -111,6 +112,23 @@ def best_run(t: Column, asked: Column) -> Column:
     return F.aggregate(F.flatten(F.transform(at, lambda a: F.transform(F.filter(at, lambda b: b >= a), lambda b: score(a, b)))), F.lit(0.0), lambda m, s: F.greatest(m, s))
 
 
+def _best_runs(titles: pd.Series, asked: pd.Series) -> pd.Series:
+    """best_run of many pairs: runs grow by one shared trigram at a time instead of being cut out anew."""
+    return pd.Series([0.0 if t is None or a is None else _best_run(list(t), set(a)) for t, a in zip(titles, asked, strict=True)], dtype="float64")
+
+
+def _best_run(t: list[str], asked: set[str]) -> float:
+    at, best = [i for i, x in enumerate(t) if x in asked], 0.0
+    for k, a in enumerate(at):
+        run, both, upto = set(), set(), a
+        for b in at[k:]:
+            run.update(t[upto : b + 1])
+            both.add(t[b])
+            upto = b + 1
+            best = max(best, len(both) / (len(run) + len(asked) - len(both)))
+    return best
+
+
 def search(titles: DataFrame, queries: DataFrame, limit: int, least: float = LEAST_SIMILARITY) -> DataFrame:
     """(q, id, score) for the best titles (id, title) of each query (q, query), by the share of its trigrams in some run; ties by id.
 
@@ -118,10 +136,19 @@ def search(titles: DataFrame, queries: DataFrame, limit: int, least: float = LEA
     of any n - ceil(s n) + 1 of them: of each query its rarest so many are sought, and the titles found are scored exactly. Titles
     that hold the query itself are in whatever their score, and are found by its rarest trigram that has no word's edge in it;
     queries without such a one (words of under three letters) are looked for in each title.
+
+    Equal titles are sought once, and so are equal queries; of a title's copies a query can want no more than limit, the first by id.
+    What shares too few trigrams for the score, wherever they stand, is left out before runs are tried.
     """
-    text = titles.select("id", F.coalesce("title", F.lit("")).alias("title")).withColumn("t", trigrams(F.col("title")))
+    named = cut_lineage(titles.select("id", F.coalesce("title", F.lit("")).alias("title")))
+    copies = named.withColumn("nth", F.row_number().over(Window.partitionBy("title").orderBy("id"))).where(F.col("nth") <= limit)
+    copies = cut_lineage(copies.select("id", "title", "nth", F.min("id").over(Window.partitionBy("title")).alias("first")))
+    text = cut_lineage(copies.where("nth = 1").select("id", "title", trigrams(F.col("title")).alias("t")))
     postings = text.select("id", F.explode(F.array_distinct("t")).alias("gram"))
-    asked = queries.select("q", F.coalesce("query", F.lit("")).alias("query")).withColumn("asked", F.array_distinct(trigrams(F.col("query"))))
+    wanted = cut_lineage(queries.select("q", F.coalesce("query", F.lit("")).alias("query")))
+    asked = wanted.groupBy("query").agg(F.min("q").alias("q"))
+    same = wanted.join(asked.withColumnRenamed("q", "first_q"), "query").select("q", "first_q")
+    asked = cut_lineage(asked.select("q", "query", F.array_distinct(trigrams(F.col("query"))).alias("asked")))
     n = F.size("asked")
     grams = asked.select("q", n.alias("n"), F.explode("asked").alias("gram"))
     # Trigrams with a space are at a word's edge; within a longer word the query's edge may lie anywhere.
@@ -137,9 +164,14 @@ def search(titles: DataFrame, queries: DataFrame, limit: int, least: float = LEA
     found = seek.join(postings, "gram").select("q", "id").distinct()
     short = asked.where(~F.exists("asked", lambda g: ~F.contains(g, F.lit(" ")))).select("q", F.lower("query").alias("held"))
     found = found.unionByName(text.join(short, F.contains(F.lower("title"), F.col("held"))).select("q", "id")).distinct()
-    scored = found.join(text, "id").join(asked, "q").withColumn("score", best_run(F.col("t"), F.col("asked"))).where((F.col("score") >= least) | F.contains(F.lower("title"), F.lower("query")))
-    nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
-    return scored.withColumn("score", F.round("score", 6)).withColumn("nth", nth).where(F.col("nth") <= limit).select("q", "id", "score")
+    holds = F.contains(F.lower("title"), F.lower("query"))
+    met = found.join(asked, "q").join(text, "id").where((F.size(F.array_intersect("t", "asked")) >= F.ceil(n * least - 1e-9)) | holds)
+    # Written, so that a run is tried once: a filter on the score would try it again.
+    scored = cut_lineage(met.select("q", "id", F.pandas_udf(_best_runs, "double")("t", "asked").alias("score"), holds.alias("holds")))
+    best = lambda df: df.withColumn("best", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).where(F.col("best") <= limit).drop("best")
+    first = best(scored.where((F.col("score") >= least) | F.col("holds"))).select("q", F.col("id").alias("first"), "score")
+    each = best(first.join(copies, "first").select("q", "id", "score")).withColumnRenamed("q", "first_q")
+    return each.join(same, "first_q").select("q", "id", F.round("score", 6).alias("score"))
 
 
 def plain_similarity(query: str, title: str) -> float:
