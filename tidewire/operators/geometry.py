@@ -42,15 +42,17 @@ def boxes(west: Column, east: Column) -> Column:
 
 
 def as_of_counts(events: DataFrame, time: str, cursors: DataFrame, key: str, at: str, step: int) -> DataFrame:
-    """(key, shown): events up to each cursor's time. Buckets are counted and added up; only a cursor's own bucket is compared."""
-    bucket = F.floor(F.col(time) / step)
-    per = events.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    # One row for each bucket of the whole span: the running sum is over buckets, not events.
-    before = per.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"), (F.lead("bucket").over(Window.orderBy("bucket"))).alias("next"), F.sum("n").over(Window.orderBy("bucket")).alias("upto"))
-    c = cursors.select(key, at, F.floor(F.col(at) / step).alias("b"))
-    own = c.join(events.select(bucket.alias("b"), F.col(time).alias("t")), "b").where(F.col("t") <= F.col(at)).groupBy(key).agg(F.count("*").alias("own"))
-    # A cursor in an empty bucket takes what the bucket before it holds: buckets are given to all cursors up to the next one.
-    spans = before.select(F.explode(F.sequence("bucket", F.coalesce(F.col("next") - 1, F.col("bucket")))).alias("b"), "bucket", "before", "upto")
-    last = before.agg(F.max("bucket").alias("last"), F.max("upto").alias("all"))
-    j = c.join(spans, "b", "left").join(own, key, "left").crossJoin(F.broadcast(last))  # one row
-    return j.select(key, F.when(F.col("b") > F.col("last"), F.col("all")).when(F.col("bucket").isNull(), F.lit(0)).when(F.col("bucket") < F.col("b"), F.col("upto")).otherwise(F.col("before") + F.coalesce("own", F.lit(0))).alias("shown"))
+    """(key, shown): events up to each cursor's time; none of a null time, on either side.
+
+    Events and cursors of a bucket of time are put in one order, and a running count is what a cursor has of its own bucket: a row is
+    seen once, however many fall into a bucket. The buckets before it are added up, one row for each of the span.
+    """
+    bucket = lambda t: F.floor(F.col(t) / step).alias("bucket")
+    seen = events.where(F.col(time).isNotNull()).select(bucket(time), F.col(time).alias("t"), F.lit(1).alias("n"))
+    asked = cursors.select(bucket(at), F.col(at).alias("t"), F.lit(0).alias("n"), F.col(key).alias("key"), F.lit(True).alias("asked"))
+    rows = seen.unionByName(asked, allowMissingColumns=True)
+    # Peers are counted too: a frame by range holds all events of the cursor's very time.
+    own = rows.withColumn("own", F.sum("n").over(Window.partitionBy("bucket").orderBy("t"))).where("asked").select("bucket", "key", "own")
+    per = rows.groupBy("bucket").agg(F.sum("n").alias("n"))
+    before = per.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"))
+    return own.join(before, "bucket", "left").select(F.col("key").alias(key), (F.col("own") + F.coalesce("before", F.lit(0))).alias("shown"))
