@@ -133,8 +133,30 @@ def _joined(threshold: float):
 
 
 def minhash(df: DataFrame, shingles: str, out: str, permutations: int = 128) -> DataFrame:
-    """df with a signature: for each seed the least hash of the shingles."""
-    return df.withColumn(out, F.transform(F.sequence(F.lit(1), F.lit(permutations)), lambda s: F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, s)))))
+    """df with a signature: for each seed the least xxhash64(shingle, seed).
+
+    Such a hash goes on from the shingle's own one, which is made once; the seeds are folded in by blocks of hashes.
+    """
+
+    def least(hashes: pd.Series) -> pd.Series:
+        return pd.Series([[None] * permutations if h is None or not len(h) else _least_hashes(np.asarray(h, dtype=np.int64), permutations) for h in hashes])
+
+    return df.withColumn(out, F.pandas_udf(least, "array<bigint>")(F.transform(shingles, lambda x: F.xxhash64(x))))
+
+
+def _least_hashes(h: np.ndarray, permutations: int) -> np.ndarray:
+    """For each of the seeds from one on, the least of XXH64(seed as four bytes) that begin with the hashes h."""
+    p1, p2, p3, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+    seeds = (np.arange(1, permutations + 1, dtype=np.uint64) * p1)[:, None]
+    found = None
+    for k in range(0, len(h), 2048):
+        x = (h[k : k + 2048].view(np.uint64) + (p5 + np.uint64(4)))[None, :] ^ seeds
+        x = (x << np.uint64(23) | x >> np.uint64(41)) * p2 + p3
+        x = (x ^ x >> np.uint64(33)) * p2
+        x = (x ^ x >> np.uint64(29)) * p3
+        block = (x ^ x >> np.uint64(32)).view(np.int64).min(axis=1)
+        found = block if found is None else np.minimum(found, block)
+    return found
 
 
 def minhash_neighbours(revisions: DataFrame) -> DataFrame:
