@@ -62,21 +62,28 @@ def _grams(text: str, n: int = 5) -> set[str]:
 def distinct_snippets(snippets: DataFrame, n: int = 5) -> DataFrame:
     """(id, k, kept) of snippets (id, k, snippet, confidence): one stays if it shares no n words in a row with one that stays before it.
 
-    The order is by confidence, then place. An article's snippets are one group: it is as large as one text.
+    The order is by confidence, then place. An article's snippets are one row, as large as one text, and many such rows go to Python
+    at a time.
     """
 
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["confidence", "k"], ascending=[False, True])
-        seen: set[str] = set()
-        kept = []
-        for text in pdf["snippet"]:
-            own = _grams(text, n)
-            kept.append(not own & seen)
-            if kept[-1]:
-                seen |= own
-        return pd.DataFrame({"id": pdf["id"], "k": pdf["k"], "kept": kept})
-
-    return snippets.groupBy("id").applyInPandas(pick, "id long, k int, kept boolean")
+    def pick(articles: pd.Series) -> pd.Series:
+        return articles.map(lambda texts: _first_of_grams(texts, n))
+
+    own = F.struct(F.col("confidence").isNull().alias("none"), (-F.col("confidence")).alias("less"), "k", "snippet")
+    rows = snippets.groupBy("id").agg(F.array_sort(F.collect_list(own)).alias("s"))
+    picked = rows.select("id", F.transform("s", lambda x: x["k"]).alias("k"), F.pandas_udf(pick, "array<boolean>")(F.transform("s", lambda x: x["snippet"])).alias("kept"))
+    return picked.select("id", F.explode(F.arrays_zip("k", "kept")).alias("x")).select("id", "x.k", "x.kept")
+
+
+def _first_of_grams(texts: list[str], n: int) -> list[bool]:
+    seen: set[str] = set()
+    kept = []
+    for text in texts:
+        own = _grams(text, n)
+        kept.append(seen.isdisjoint(own))
+        if kept[-1]:
+            seen |= own
+    return kept
 
 
 def trigrams(text: Column) -> Column:
