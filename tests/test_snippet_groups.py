@@ -18,3 +18,13 @@ def test_distinct_snippets_by_rows(spark):
             seen |= own if want[i, k] else set()
     assert {(r.id, r.k): r.kept for r in df.collect()} == want
     assert "FlatMapGroupsInPandas" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_matches_by_rows(spark):
+    texts = ["river stone light", "stone light cloud", "river stone", "cloud", "", "green paper horse", "horse"]
+    rows = [(f"a{k}", [texts[(k + j) % 7] for j in range(5)], [texts[(k * j + 2) % 7] for j in range(4)]) for k in range(30)]
+    df = A.match_snippets(spark.createDataFrame(rows, "article string, gold array<string>, pred array<string>"))
+    got = sorted((r.article, r.gold_index, r.pred_index) for r in df.collect())
+    f1 = lambda a, b: A.token_f1(a.split(), b.split()) if a or b else 1.0
+    assert got == sorted((a, i, j) for a, g, p in rows for i, j in A.plain_matches(g, p, f1))
+    assert "FlatMapGroupsInPandas" not in df._jdf.queryExecution().optimizedPlan().toString()

@@ -28,17 +28,25 @@ def match_snippets(rows: DataFrame, threshold: float = MATCH) -> DataFrame:
     scored = met.select("article", "gold_index", "pred_index", f1)
     bare = g.where("size(gt) = 0").join(p.where("size(pt) = 0"), (g.article == p.article) & (F.col("g") == F.col("p"))).select(g.article, "gold_index", "pred_index", F.lit(1.0).alias("f1"))
 
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["f1", "gold_index", "pred_index"], ascending=[False, True, True])
-        gold, pred, keep = set(), set(), []
-        for a, b in zip(pdf["gold_index"], pdf["pred_index"], strict=True):
-            keep.append(a not in gold and b not in pred)
-            if keep[-1]:
-                gold.add(a)
-                pred.add(b)
-        return pdf[keep]
-
-    return scored.unionByName(bare).where(F.col("f1") >= threshold).groupBy("article").applyInPandas(pick, "article string, gold_index int, pred_index int, f1 double")
+    def pick(gold: pd.Series, pred: pd.Series) -> pd.Series:
+        return pd.Series([_each_once(a, b) for a, b in zip(gold, pred, strict=True)])
+
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("f1")).alias("less"), "gold_index", "pred_index", "f1")))
+    rows = scored.unionByName(bare).where(F.col("f1") >= threshold).groupBy("article").agg(ranked.alias("s"))
+    picked = rows.select("article", "s", F.pandas_udf(pick, "array<boolean>")(F.transform("s", lambda x: x["gold_index"]), F.transform("s", lambda x: x["pred_index"])).alias("kept"))
+    out = picked.select("article", F.explode(F.arrays_zip("s", "kept")).alias("x")).where("x.kept")
+    return out.select(F.col("article").cast("string").alias("article"), "x.s.gold_index", "x.s.pred_index", "x.s.f1")
+
+
+def _each_once(gold: list[int], pred: list[int]) -> list[bool]:
+    used: tuple[set, set] = (set(), set())
+    keep = []
+    for a, b in zip(gold, pred, strict=True):
+        keep.append(a not in used[0] and b not in used[1])
+        if keep[-1]:
+            used[0].add(a)
+            used[1].add(b)
+    return keep
 
 
 def plain_matches(gold: list[str], pred: list[str], f1, threshold: float = MATCH) -> list[tuple[int, int]]:
