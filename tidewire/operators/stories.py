@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from tidewire.operators.graph import connected_components, cut_lineage
 
 JACCARD = 0.4
 STORED = 10
+#: Rows, on average, whose components are folded in one go.
+GROUPED = 8192
 #: Hours for which a story that is pending or blocked takes further units.
 RECENT_HOURS = 48
 
@@ -22,40 +26,81 @@ def attach(units: list[tuple[int, int, frozenset]], threshold: float = JACCARD,
     that share an entity with a unit are looked at.
     """
     names, sets = [s for s, _ in stories], [set(e) for _, e in stories]
-    holders: dict = {}
-    for k, own in enumerate(sets):
-        for e in own:
-            holders.setdefault(e, []).append(k)
+    # Stories by their size and entity, and by their whole set.
+    sized: dict[int, dict] = {}
+    whole: dict[frozenset, set[int]] = {}
+
+    def enter(k: int) -> None:
+        held = sized.setdefault(len(sets[k]), {})
+        for e in sets[k]:
+            held.setdefault(e, set()).add(k)
+        whole.setdefault(frozenset(sets[k]), set()).add(k)
+
+    def leave(k: int) -> None:
+        held = sized[len(sets[k])]
+        for e in sets[k]:
+            held[e].discard(k)
+        whole[frozenset(sets[k])].discard(k)
+
+    for k in range(len(sets)):
+        enter(k)
     out = []
     for _, unit, entities in units:
-        shared: dict[int, int] = {}
-        for e in entities:
-            for k in holders.get(e, ()):
-                shared[k] = shared.get(k, 0) + 1
-        best, most = None, 0.0
-        for k in sorted(shared):
-            j = shared[k] / (len(entities) + len(sets[k]) - shared[k])
-            if j > most and j >= threshold:
-                best, most = k, j
+        best = _nearest(frozenset(entities), sets, sized, whole, threshold)
         if best is None:
             best = len(sets)
             names.append(unit)
-            sets.append(set())
-            entities = sorted(entities)[:stored]
-        for e in entities:
-            if e not in sets[best]:
-                sets[best].add(e)
-                holders.setdefault(e, []).append(best)
+            sets.append(set(sorted(entities)[:stored]))
+            enter(best)
+        elif not sets[best].issuperset(entities):
+            leave(best)
+            sets[best].update(entities)
+            enter(best)
         out.append(names[best])
     return out
 
 
+def _nearest(own: frozenset, sets: list[set], sized: dict[int, dict], whole: dict[frozenset, set[int]], threshold: float) -> int | None:
+    """The place of the set of the greatest Jaccard similarity with own, from the threshold on and above zero, the first of equals.
+
+    An equal set is the best there is. Else sizes are tried from the likest on, until none can be as near as the best found. A set of
+    m elements that is as near as that shares at least ``least`` with own, so it holds one of all but least - 1 of own's elements:
+    those that fewest sets of that size hold.
+    """
+    n = len(own)
+    if not n:
+        return None
+    if threshold <= 1 and whole.get(own):
+        return min(whole[own])
+    best, most = None, 0.0
+    for m in sorted((m for m in sized if m), key=lambda m: -min(n, m) / max(n, m)):
+        near = max(threshold, most)
+        if min(n, m) / max(n, m) < near - 1e-9:
+            break
+        least = max(1, math.ceil(near * (n + m) / (1 + near) - 1e-9))
+        held = sorted(filter(None, (sized[m].get(e) for e in own)), key=len)
+        if len(held) < least:
+            continue
+        if n == 1:  # all are alike
+            met = (min(held[0]),)
+        else:
+            met = set().union(*held[: len(held) - least + 1])
+        for k in met:
+            shared = len(own & sets[k])
+            if shared >= least:
+                j = shared / (n + m - shared)
+                if j >= threshold and (j > most or j == most and k < best):
+                    best, most = k, j
+    return best
+
+
 def build_stories(units: DataFrame, threshold: float = JACCARD, recent: DataFrame | None = None) -> DataFrame:
     """unit_id and story_id (a recent story, or the first unit of a new one) for units of (unit_id, day, entities array<string>), in the order of day and unit.
 
     recent holds (story_id, entities) of the stories that still take units. A story only grows by units that share an entity
     with it, so units that no chain of shared entities links never meet: each component of that graph is folded by itself. Units
-    link to the first unit or story of each of their entities, never all with all.
+    link to the first unit or story of each of their entities, never all with all. Units that share nothing found stories of their own
+    without being folded, and some GROUPED rows' components are folded in one go, as they never meet in it.
     """
     rows = units.select(F.lit(1).alias("kind"), F.col("unit_id").alias("node"), F.col("day").cast("long").alias("day"), "entities")
     if recent is not None:
@@ -66,7 +111,9 @@ def build_stories(units: DataFrame, threshold: float = JACCARD, recent: DataFram
     hub = each.groupBy("e").agg(F.min("key").alias("src"))
     edges = each.join(hub, "e").select("src", F.col("key").alias("dst")).where("src != dst")
     parts = connected_components(edges).withColumnsRenamed({"node": "key", "component": "part"})
-    keyed = rows.join(parts, "key", "left").select("kind", "node", "day", "entities", F.coalesce("part", "key").alias("part"))
+    lone = rows.where("kind = 1").join(parts, "key", "left_anti").select(F.col("node").alias("unit_id"), F.col("node").alias("story_id"))
+    groups = max(1, -(-parts.count() // GROUPED))
+    keyed = rows.join(parts, "key").select("kind", "node", "day", "entities", F.pmod(F.xxhash64("part"), F.lit(groups)).alias("group"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = [frozenset(e if e is not None else ()) for e in pdf["entities"]]
@@ -75,7 +122,7 @@ def build_stories(units: DataFrame, threshold: float = JACCARD, recent: DataFram
         stories = attach([*zip(new["day"], new["node"], new["own"], strict=True)], threshold, stories=[*zip(old["node"], old["own"], strict=True)])
         return pd.DataFrame({"unit_id": new["node"], "story_id": stories})
 
-    return keyed.groupBy("part").applyInPandas(fold, "unit_id long, story_id long")
+    return keyed.groupBy("group").applyInPandas(fold, "unit_id long, story_id long").unionByName(lone)
 
 
 def grown(units: DataFrame, assigned: DataFrame, recent: DataFrame | None = None) -> DataFrame:
