@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tidewire.functions.text import with_shingles
 from tidewire.operators.graph import cut_lineage
 
-#: Queries of one block of a search.
-BLOCK = 4096
+#: Queries of one block of a search; cosines that a task holds at a time.
+BLOCK, CELLS = 4096, 1 << 20
 
 
 def norm(v: str) -> Column:
@@ -59,13 +59,16 @@ def _nearest(shared, k: int):
     def run(batches):
         qs, a = shared.value
         held = None
+        rows = max(1, CELLS // len(qs))
         for pdf in batches:
-            if len(pdf):
-                ids, cos = pdf["id"].to_numpy(), np.round(a @ _unit(np.stack(pdf["v"].to_numpy()).astype(np.float64)).T, 6)
-                own = pd.DataFrame({"q": np.repeat(qs, len(ids)), "id": np.tile(ids, len(qs)), "cosine": cos.ravel()})
-                # Of a batch, only what is not worse than a query's k-th best can be among its k.
-                kth = np.partition(cos, max(0, len(ids) - k - 1), axis=1)[:, max(0, len(ids) - k - 1)]
-                own = own[(own["q"] != own["id"]) & (own["cosine"] >= np.repeat(kth, len(ids)))]
+            for at in range(0, len(pdf), rows):
+                part = pdf.iloc[at : at + rows]
+                ids, cos = part["id"].to_numpy(), np.round(a @ _unit(np.stack(part["v"].to_numpy()).astype(np.float64)).T, 6)
+                # Of a slice, only what is not worse than a query's k-th best can be among its k.
+                place = max(0, len(ids) - k - 1)
+                i, j = np.nonzero(cos >= np.partition(cos, place, axis=1)[:, place, None])
+                own = pd.DataFrame({"q": qs[i], "id": ids[j], "cosine": cos[i, j]})
+                own = own[own["q"] != own["id"]]
                 held = own if held is None else pd.concat([held, own])
                 held = held.sort_values(["q", "cosine", "id"], ascending=[True, False, True]).groupby("q").head(k)
         if held is not None:
