@@ -124,6 +124,8 @@ def stories_without_event(spark, sf):
     return e.select("story", F.explode("entities").alias("entity")).join(entity, "entity").groupBy("entity").agg(F.count("*").alias("stories"))
 
 
+#: Edge of a block of events.
+CELL_KM = 200
 _GEO = """g AS (SELECT event_id AS id, event_type, epoch_us(ts) AS t, (user_id * 37) % 180 - 90 + value / 1000 AS lat, CAST((user_id * 53) % 360 - 180 AS DOUBLE) AS lon, coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS k, user_id % 6 AS e1, user_id % 10 + 6 AS e2 FROM events),
     r AS (SELECT *, CASE WHEN k > 0 AND k <= 25 THEN k ELSE 25 END AS radius FROM g)"""
 
@@ -137,13 +139,22 @@ def _located(spark, sf):
 @query(f"""WITH {_GEO} SELECT a.id AS a, b.id AS b FROM r a JOIN r b ON a.event_type = b.event_type AND a.id < b.id AND abs(a.t - b.t) < 86400000000 AND abs(floor(a.lat) - floor(b.lat)) <= 1 AND (a.e1 = b.e1 OR a.e2 = b.e2)
     WHERE 2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) <= a.radius + b.radius""")
 def same_event_blocked(spark, sf):
-    """Same-event pairs: one type, windows that overlap, distance within both radii, a shared key; blocks of type, day and degree, with their neighbours."""
-    e = _located(spark, sf).withColumns({"day": F.floor(F.col("t") / 86_400_000_000), "band": F.floor("lat").cast("long")})
-    left = e.select("event_type", "day", "band", *[F.col(c).alias(f"l_{c}") for c in ("id", "t", "lat", "lon", "radius", "keys")])
-    # The neighbour blocks that are not before an event's own: each pair of blocks meets once.
-    near = F.explode(F.array(*[F.struct((F.col("day") + d).alias("day"), (F.col("band") + b).alias("band"), F.lit(d == 0 and b == 0).alias("own")) for d, b in ((0, 0), (0, -1), (-1, -1), (-1, 0), (-1, 1))]))
-    right = e.select("event_type", near.alias("n"), *[F.col(c).alias(f"r_{c}") for c in ("id", "t", "lat", "lon", "radius", "keys")]).select("event_type", "n.day", "n.band", "n.own", *[f"r_{c}" for c in ("id", "t", "lat", "lon", "radius", "keys")])
-    pairs = left.join(right, ["event_type", "day", "band"]).where("(NOT own OR l_id < r_id) AND abs(l_t - r_t) < 86400000000").where(F.arrays_overlap("l_keys", "r_keys"))
+    """Same-event pairs: one type, windows that overlap, distance within both radii, a shared key; blocks of type, day and place.
+
+    A place is a square of CELL_KM of two coordinates of the point on the globe, which differ by no more than the distance does: there is
+    no seam at a meridian or pole. An event is sought in its own block by all whose reach (25 km, the largest radius, beyond
+    their own) touches it, on its day and the one before.
+    """
+    axis = lambda x: x * 6371.0088
+    z, x = axis(F.sin(F.radians("lat"))), axis(F.cos(F.radians("lat")) * F.cos(F.radians("lon")))
+    e = _located(spark, sf).withColumns({"day": F.floor(F.col("t") / 86_400_000_000), "z": z, "x": x})
+    cell = lambda v: F.floor(v / CELL_KM)
+    left = e.select("event_type", "day", cell(F.col("z")).alias("u"), cell(F.col("x")).alias("v"), *[F.col(c).alias(f"l_{c}") for c in ("id", "t", "lat", "lon", "radius", "keys")])
+    reach = F.col("radius") + 25.1
+    each = lambda v: F.explode(F.sequence(cell(F.col(v) - reach), cell(F.col(v) + reach)))
+    right = e.withColumn("u", each("z")).withColumn("v", each("x")).withColumn("own", F.explode(F.array(F.lit(True), F.lit(False))))
+    right = right.select("event_type", F.when(F.col("own"), F.col("day")).otherwise(F.col("day") - 1).alias("day"), "u", "v", "own", *[F.col(c).alias(f"r_{c}") for c in ("id", "t", "lat", "lon", "radius", "keys")])
+    pairs = left.join(right, ["event_type", "day", "u", "v"]).where("(NOT own OR l_id < r_id) AND abs(l_t - r_t) < 86400000000 AND abs(floor(l_lat) - floor(r_lat)) <= 1").where(F.arrays_overlap("l_keys", "r_keys"))
     met = pairs.where(haversine_km(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon")) <= F.col("l_radius") + F.col("r_radius"))
     return met.select(F.least("l_id", "r_id").alias("a"), F.greatest("l_id", "r_id").alias("b"))
 
