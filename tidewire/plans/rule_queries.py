@@ -76,7 +76,7 @@ def statistics_and_claims(spark, sf):
     s = lambda c: F.col(c).cast("string")
     x = F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(" percent of sales fell by "), s("l_linenumber"), F.lit(".5% and more than "), s("l_suppkey"), F.lit(" million people, about "), s("l_linenumber"), F.lit(" thousand. Officials confirmed that the part "), s("l_partkey"), F.lit(" will be made in the same place again next year."))
     t = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("story"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), x.alias("x"))
-    return t.select("story", "line", "part", F.array_join(F.transform(X.statistics(F.col("x")), lambda v: v["stat_text"]), "|").alias("stats"), F.array_join(X.claims(F.col("x")), "|").alias("claims")).distinct()
+    return t.select("story", "line", "part", F.array_join(X.figures(F.col("x")), "|").alias("stats"), F.array_join(X.claims(F.col("x")), "|").alias("claims")).distinct()
 
 
 _ADDRESSES = [
