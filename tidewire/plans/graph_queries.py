@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewire.operators import similarity as S
 from tidewire.operators.events import haversine_km
 from tidewire.plans.registry import query
-from tidewire.sources.tables import articles, map_events, table
+from tidewire.sources.tables import articles, map_events, spread, table
 
 _LK = """lk AS (SELECT l_orderkey AS story, l_partkey AS unit, l_suppkey AS source, 1 + l_suppkey % 4 AS tier, 'owner' || (l_suppkey % 7) AS owner, l_returnflag AS flag, CAST(l_quantity AS INTEGER) AS quantity, p_size AS articles, p_brand AS brand
     FROM lineitem JOIN part ON l_partkey = p_partkey)"""
@@ -101,9 +101,13 @@ def evidence_star(spark, sf):
 @query(f"WITH {_LK}, m AS (SELECT DISTINCT story, source FROM lk), t AS (SELECT DISTINCT story, unit FROM lk WHERE tier = 1) SELECT m.source, count(DISTINCT t.unit) AS tier1_units, count(DISTINCT m.story) AS stories FROM m JOIN t USING (story) GROUP BY m.source")
 def tier1_beside_source(spark, sf):
     """For each source, the tier-1 units of the stories that it covers."""
-    lk = links(spark, sf)
-    m, t = lk.select("story", "source").distinct(), lk.where("tier = 1").select("story", "unit").distinct()
-    return m.join(t, "story").groupBy("source").agg(F.countDistinct("unit").alias("tier1_units"), F.countDistinct("story").alias("stories"))
+    lk, rows = links(spark, sf), table(spark, sf, "lineitem").count()
+    m = spread(lk.select("story", "source"), rows, "story").distinct()
+    t = spread(lk.where("tier = 1").select("story", "unit"), rows, "story").distinct()
+    # A story counts by the first of its units, so that one table of sources and units tells both numbers.
+    t = t.withColumn("first", F.col("unit").eqNullSafe(F.min("unit").over(Window.partitionBy("story"))))
+    met = spread(m.join(t, "story").select("source", "unit", "first"), rows, "source", "unit").groupBy("source", "unit").agg(F.count_if("first").alias("stories"))
+    return met.groupBy("source").agg(F.count("unit").alias("tier1_units"), F.sum("stories").alias("stories"))
 
 
 @query("SELECT DISTINCT l_partkey AS unit, l_suppkey AS article FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size = 1) OR l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 9000)")
