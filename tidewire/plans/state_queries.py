@@ -16,7 +16,7 @@ from tidewire.operators import vectors as V
 from tidewire.plans.graph_queries import _LK, links
 from tidewire.plans.registry import query
 from tidewire.plans.text_queries import _CANONICAL
-from tidewire.sources.tables import articles, revisions, table
+from tidewire.sources.tables import articles, revisions, spread, table
 
 _HOSTS = """hs AS (SELECT page_id, lower(regexp_extract(trim(url), '^https?://([^/?#:]*)', 1)) AS host FROM pages), kn AS (SELECT known, 'group' || (length(known) % 5) AS owner, row_number() OVER (ORDER BY known) AS ordinal FROM (SELECT DISTINCT array_to_string(string_split(host, '.')[-2:], '.') AS known FROM hs WHERE page_id % 3 > 0))"""
 
@@ -84,9 +84,16 @@ def search_by_representative(spark, sf):
 @query("WITH l AS (SELECT DISTINCT l_orderkey AS story, l_partkey AS unit FROM lineitem) SELECT l.story, count(*) AS own_units FROM l WHERE NOT EXISTS (SELECT 1 FROM l p WHERE p.story = l.story - l.story % 4 AND p.story <> l.story AND p.unit = l.unit) GROUP BY l.story")
 def viewpoint_own_units(spark, sf):
     """Units of a viewpoint's story that are not its parent's too (every fourth story is the parent of the three after it)."""
-    line = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("story"), F.col("l_partkey").alias("unit")).distinct()
-    parent = line.where("story % 4 = 0").select(F.explode(F.array(*[F.col("story") + k for k in (1, 2, 3)])).alias("story"), "unit")
-    return line.join(parent, ["story", "unit"], "left_anti").groupBy("story").agg(F.count("*").alias("own_units"))
+    story = F.col("l_orderkey")
+    line = table(spark, sf, "lineitem")
+    # The stories of a parent that hold a unit are bits of one row: the parent itself is bit 3, as a remainder may be negative.
+    own = spread(line.select((story - story % 4).alias("parent"), F.col("l_partkey").alias("unit"), F.expr("shiftleft(1, 3 + coalesce(l_orderkey % 4, 0))").alias("bit")), line.count(), "parent")
+    held = own.groupBy("parent", "unit").agg(F.bit_or("bit").alias("held"))
+    child = lambda k: F.col("held").bitwiseAND(F.lit(1 << 3 + k)) != 0
+    free = F.col("unit").isNull() | F.col("parent").isNull() | ~child(0)
+    n = held.groupBy("parent").agg(*[F.count_if(child(k) & (F.lit(k == 0) | free)).alias(f"n{3 + k}") for k in range(-3, 4)])
+    each = n.select("parent", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"n{3 + k}").alias("own_units")) for k in range(-3, 4)])).alias("x"))
+    return each.where("x.own_units > 0").select((F.col("parent") + F.col("x.k")).alias("story"), "x.own_units")
 
 
 @query("WITH e AS (SELECT o_orderkey AS story, unnest([CAST(o_custkey AS VARCHAR), 'surface ' || (o_orderkey % 5), CAST(o_custkey + 1000000 AS VARCHAR)]) AS x FROM orders) SELECT story, string_agg(coalesce(c_name, CASE WHEN TRY_CAST(x AS BIGINT) IS NULL THEN x END), '|' ORDER BY coalesce(c_name, x)) AS names FROM e LEFT JOIN customer ON c_custkey = TRY_CAST(x AS BIGINT) WHERE c_name IS NOT NULL OR TRY_CAST(x AS BIGINT) IS NULL GROUP BY story")
