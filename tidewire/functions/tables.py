@@ -1,4 +1,7 @@
-"""Table functions that SQL can call: ``SELECT ... FROM docs, LATERAL paragraphs(text)``."""
+"""Table functions that SQL can call: ``SELECT ... FROM docs, LATERAL paragraphs(text)``.
+
+Rows go to Python by hundreds, not in Arrow batches, which hold up to ten thousand texts and all that they become.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from pyspark.sql.functions import udtf
 _BLANK, _SPACE = re.compile(r"\n\s*\n"), re.compile(r"\s+")
 
 
-@udtf(returnType="place int, paragraph string", useArrow=True)
+@udtf(returnType="place int, paragraph string", useArrow=False)
 class Paragraphs:
     """Blank-line blocks of a text, or its lines where no line is blank, collapsed, without empty ones; none for null."""
 
@@ -24,7 +27,7 @@ class Paragraphs:
                 place += 1
 
 
-@udtf(returnType="place int, shingle string", useArrow=True)
+@udtf(returnType="place int, shingle string", useArrow=False)
 class Shingles:
     """Runs of size words of a text in lower case, a row each, in order; a shorter text is one run; none for null or blank."""
 
