@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections.abc import Iterator
+from itertools import chain, combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -14,6 +17,8 @@ JACCARD = 0.4
 STORED = 10
 #: Rows, on average, whose components are folded in one go.
 GROUPED = 8192
+#: Entities up to which a story is found by the parts it shares; each story is listed under 2^SMALL of them at most.
+SMALL = 6
 #: Hours for which a story that is pending or blocked takes further units.
 RECENT_HOURS = 48
 
@@ -26,27 +31,38 @@ def attach(units: list[tuple[int, int, frozenset]], threshold: float = JACCARD,
     that share an entity with a unit are looked at.
     """
     names, sets = [s for s, _ in stories], [set(e) for _, e in stories]
-    # Stories by their size and entity, and by their whole set.
+    # Stories by their size and entity, and small ones by their size and each part of theirs that a unit as near can share.
     sized: dict[int, dict] = {}
-    whole: dict[frozenset, set[int]] = {}
+    parts: dict[int, dict[tuple, list[int]]] = {}
+    ranks: dict[int, list] = {}
+
+    def of(k: int) -> Iterator[tuple]:
+        own = sorted(sets[k])
+        return chain.from_iterable(combinations(own, c) for c in range(max(1, math.ceil(threshold * len(own) - 1e-9)), len(own) + 1))
 
     def enter(k: int) -> None:
-        held = sized.setdefault(len(sets[k]), {})
+        m = len(sets[k])
+        held = sized.setdefault(m, {})
         for e in sets[k]:
             held.setdefault(e, set()).add(k)
-        whole.setdefault(frozenset(sets[k]), set()).add(k)
+        if m <= SMALL:
+            held = parts.setdefault(m, {})
+            for part in of(k):
+                heapq.heappush(held.setdefault(part, []), k)
 
     def leave(k: int) -> None:
         held = sized[len(sets[k])]
         for e in sets[k]:
             held[e].discard(k)
-        whole[frozenset(sets[k])].discard(k)
 
     for k in range(len(sets)):
         enter(k)
     out = []
     for _, unit, entities in units:
-        best = _nearest(frozenset(entities), sets, sized, whole, threshold)
+        own, best, most = frozenset(entities), None, 0.0
+        if len(own) <= SMALL:
+            best, most = _nearest_small(own, sets, parts, threshold, ranks)
+        best = _nearest(own, sets, sized, threshold, best, most)
         if best is None:
             best = len(sets)
             names.append(unit)
@@ -60,20 +76,48 @@ def attach(units: list[tuple[int, int, frozenset]], threshold: float = JACCARD,
     return out
 
 
-def _nearest(own: frozenset, sets: list[set], sized: dict[int, dict], whole: dict[frozenset, set[int]], threshold: float) -> int | None:
+def _nearest_small(own: frozenset, sets: list[set], parts: dict[int, dict[tuple, list[int]]], threshold: float, ranks: dict[int, list]) -> tuple[int | None, float]:
+    """The nearest of the stories of at most SMALL entities, the first of equals, and its similarity, for a unit of no more.
+
+    Similarities are tried from the greatest on. One is had where a story of m entities shares c with own, so the stories of that size
+    that hold some c of own's are looked up; none of them shares more, as it would have been found before. So a unit costs as many
+    looks as it has parts, however many stories there are. A story that has grown stays in the lists of its old size until it comes up there.
+    """
+    n, ordered = len(own), sorted(own)
+    if n not in ranks:
+        tried: dict[float, list[tuple[int, int]]] = {}
+        for m in range(1, SMALL + 1):
+            for c in range(1, min(n, m) + 1):
+                if (j := c / (n + m - c)) >= threshold:
+                    tried.setdefault(j, []).append((m, c))
+        ranks[n] = sorted(tried.items(), reverse=True)
+    for j, tried in ranks[n]:
+        best = None
+        for m, c in tried:
+            held = parts.get(m)
+            for part in combinations(ordered, c) if held else ():
+                first = held.get(part)
+                while first and len(sets[first[0]]) != m:
+                    heapq.heappop(first)
+                if first and (best is None or first[0] < best):
+                    best = first[0]
+        if best is not None:
+            return best, j
+    return None, 0.0
+
+
+def _nearest(own: frozenset, sets: list[set], sized: dict[int, dict], threshold: float, best: int | None = None, most: float = 0.0) -> int | None:
     """The place of the set of the greatest Jaccard similarity with own, from the threshold on and above zero, the first of equals.
 
-    An equal set is the best there is. Else sizes are tried from the likest on, until none can be as near as the best found. A set of
-    m elements that is as near as that shares at least ``least`` with own, so it holds one of all but least - 1 of own's elements:
-    those that fewest sets of that size hold.
+    With own of SMALL elements at most, the nearest of the sets that are no larger is known (best, most), and only larger ones are
+    looked at. Sizes are tried from the likest on, until none can be as near as the best found. A set of m elements that is as near
+    as that shares at least ``least`` with own, so it holds one of all but least - 1 of own's elements: those that fewest sets of that
+    size hold.
     """
     n = len(own)
     if not n:
         return None
-    if threshold <= 1 and whole.get(own):
-        return min(whole[own])
-    best, most = None, 0.0
-    for m in sorted((m for m in sized if m), key=lambda m: -min(n, m) / max(n, m)):
+    for m in sorted((m for m in sized if m > (SMALL if n <= SMALL else 0)), key=lambda m: -min(n, m) / max(n, m)):
         near = max(threshold, most)
         if min(n, m) / max(n, m) < near - 1e-9:
             break
@@ -81,10 +125,7 @@ def _nearest(own: frozenset, sets: list[set], sized: dict[int, dict], whole: dic
         held = sorted(filter(None, (sized[m].get(e) for e in own)), key=len)
         if len(held) < least:
             continue
-        if n == 1:  # all are alike
-            met = (min(held[0]),)
-        else:
-            met = set().union(*held[: len(held) - least + 1])
+        met = set().union(*held[: len(held) - least + 1])
         for k in met:
             shared = len(own & sets[k])
             if shared >= least:
