@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import extract as X
+from tidewire.operators import runs as R
 from tidewire.operators.graph import cut_lineage
 
 MATCH, LEAST_SIMILARITY = 0.5, 0.6
+#: Titles of a block, and queries that are asked of it in one place.
+TITLES, ASKED = 1 << 13, 1 << 12
 
 
 def match_snippets(rows: DataFrame, threshold: float = MATCH) -> DataFrame:
@@ -127,65 +134,44 @@ def best_run(t: Column, asked: Column) -> Column:
     return F.aggregate(F.flatten(F.transform(at, lambda a: F.transform(F.filter(at, lambda b: b >= a), lambda b: score(a, b)))), F.lit(0.0), lambda m, s: F.greatest(m, s))
 
 
-def _best_runs(titles: pd.Series, asked: pd.Series) -> pd.Series:
-    """best_run of many pairs: runs grow by one shared trigram at a time instead of being cut out anew."""
-    return pd.Series([0.0 if t is None or a is None else _best_run(list(t), set(a)) for t, a in zip(titles, asked, strict=True)], dtype="float64")
-
-
-def _best_run(t: list[str], asked: set[str]) -> float:
-    at, best = [i for i, x in enumerate(t) if x in asked], 0.0
-    for k, a in enumerate(at):
-        run, both, upto = set(), set(), a
-        for b in at[k:]:
-            run.update(t[upto : b + 1])
-            both.add(t[b])
-            upto = b + 1
-            best = max(best, len(both) / (len(run) + len(asked) - len(both)))
-    return best
-
-
 def search(titles: DataFrame, queries: DataFrame, limit: int, least: float = LEAST_SIMILARITY) -> DataFrame:
     """(q, id, score) for the best titles (id, title) of each query (q, query), by the share of its trigrams in some run; ties by id.
 
-    A posting index of trigrams gives the candidates. A title of score s shares s of a query's n trigrams at least, so it holds one
-    of any n - ceil(s n) + 1 of them: of each query its rarest so many are sought, and the titles found are scored exactly. Titles
-    that hold the query itself are in whatever their score, and are found by its rarest trigram that has no word's edge in it;
-    queries without such a one (words of under three letters) are looked for in each title.
+    Titles that hold the query itself are in whatever their score. Titles are dealt to blocks, and so are queries; a block of titles has
+    an index of where each trigram stands, and each query of a block is asked of it. A title of score s shares s of a query's n
+    trigrams at least, in a run of n / s different ones at most, so only such runs are tried. A block answers with no more
+    than limit titles a query, so no pair that is merely a candidate is a row.
 
     Equal titles are sought once, and so are equal queries; of a title's copies a query can want no more than limit, the first by id.
-    What shares too few trigrams for the score, wherever they stand, is left out before runs are tried.
     """
     named = cut_lineage(titles.select("id", F.coalesce("title", F.lit("")).alias("title")))
     copies = named.withColumn("nth", F.row_number().over(Window.partitionBy("title").orderBy("id"))).where(F.col("nth") <= limit)
     copies = cut_lineage(copies.select("id", "title", "nth", F.min("id").over(Window.partitionBy("title")).alias("first")))
-    text = cut_lineage(copies.where("nth = 1").select("id", "title", trigrams(F.col("title")).alias("t")))
-    postings = text.select("id", F.explode(F.array_distinct("t")).alias("gram"))
     wanted = cut_lineage(queries.select("q", F.coalesce("query", F.lit("")).alias("query")))
     asked = wanted.groupBy("query").agg(F.min("q").alias("q"))
     same = wanted.join(asked.withColumnRenamed("q", "first_q"), "query").select("q", "first_q")
-    asked = cut_lineage(asked.select("q", "query", F.array_distinct(trigrams(F.col("query"))).alias("asked")))
-    n = F.size("asked")
-    grams = asked.select("q", n.alias("n"), F.explode("asked").alias("gram"))
-    # Trigrams with a space are at a word's edge; within a longer word the query's edge may lie anywhere.
-    often = postings.groupBy("gram").agg(F.count("*").alias("held"))
-    rank = grams.join(often, "gram").withColumns({
-        "nth": F.row_number().over(Window.partitionBy("q").orderBy("held", "gram")), "inner": ~F.contains("gram", F.lit(" ")),
-    })
-    first_inner = F.row_number().over(Window.partitionBy("q", "inner").orderBy("held", "gram"))
-    # Trigrams that no title holds count among the sought ones, as they are the rarest.
-    missing = F.col("n") - F.count("*").over(Window.partitionBy("q"))
-    rank = rank.withColumns({"first": first_inner, "missing": missing})
-    seek = rank.where((F.col("nth") + F.col("missing") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1) | (F.col("inner") & (F.col("first") == 1))).select("q", "gram")
-    found = seek.join(postings, "gram").select("q", "id").distinct()
-    short = asked.where(~F.exists("asked", lambda g: ~F.contains(g, F.lit(" ")))).select("q", F.lower("query").alias("held"))
-    found = found.unionByName(text.join(short, F.contains(F.lower("title"), F.col("held"))).select("q", "id")).distinct()
-    holds = F.contains(F.lower("title"), F.lower("query"))
-    met = found.join(asked, "q").join(text, "id").where((F.size(F.array_intersect("t", "asked")) >= F.ceil(n * least - 1e-9)) | holds)
-    # Written, so that a run is tried once: a filter on the score would try it again.
-    scored = cut_lineage(met.select("q", "id", F.pandas_udf(_best_runs, "double")("t", "asked").alias("score"), holds.alias("holds")))
-    best = lambda df: df.withColumn("best", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).where(F.col("best") <= limit).drop("best")
-    first = best(scored.where((F.col("score") >= least) | F.col("holds"))).select("q", F.col("id").alias("first"), "score")
-    each = best(first.join(copies, "first").select("q", "id", "score")).withColumnRenamed("q", "first_q")
+    text = cut_lineage(copies.where("nth = 1").select("id", F.lower("title").alias("text"), trigrams(F.col("title")).alias("t")))
+    asked = cut_lineage(asked.select(F.col("q").alias("id"), F.lower("query").alias("text"), F.array_distinct(trigrams(F.col("query"))).alias("t")))
+    p, r = (max(1, -(-df.count() // most)) for df, most in ((text, TITLES), (asked, ASKED)))
+    one = lambda n: F.array(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+    dealt = lambda df, x, y, mine: df.withColumn("x", F.explode(x)).withColumn("y", F.explode(y)).withColumn("query", F.lit(mine))
+    rows = dealt(text, one(p), every(r), False).unionByName(dealt(asked, every(p), one(r), True)).repartition(min(1024, 2 * p * r), "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        own = rows.filter(pc.invert(rows.column("query"))).combine_chunks()
+        if not own.num_rows:
+            return
+        block = R.Titles(own.column("id").to_numpy(), *(own.column(c).combine_chunks() for c in ("text", "t")))
+        for q in rows.filter(rows.column("query")).select(["id", "text", "t"]).to_batches(max_chunksize=1024):
+            out = [(k, *block.best(text, t, least, limit)) for k, text, t in zip(*(c.to_pylist() for c in q.columns), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat([k for k, _, _ in out], [len(i) for _, i, _ in out])), *(pa.array(np.concatenate([x[c] for x in out])) for c in (1, 2))], names=["q", "first", "score"])
+
+    # Written, so that titles are asked once.
+    found = cut_lineage(rows.groupBy("x", "y").applyInArrow(run, "q long, first long, score double"))
+    best = lambda df, k: df.withColumn("best", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), k))).where(F.col("best") <= limit).drop("best")
+    each = best(best(found, "first").join(copies, "first").select("q", "id", "score"), "id").withColumnRenamed("q", "first_q")
     return each.join(same, "first_q").select("q", "id", F.round("score", 6).alias("score"))
 
 
